@@ -1,0 +1,39 @@
+"""Size checks that decide between a plain plan and one that splits hot groups."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Inputs whose scans are below this fit one task even if every row shares a key.
+SMALL_INPUT_BYTES = 32 * 1024 * 1024
+# Largest group a single window task is asked to sort.
+MAX_GROUP_ROWS = 5_000_000
+# Key lists up to this many entries become an IN predicate.
+MAX_INLINE_KEYS = 1_000
+
+
+def scanned_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files and relations under `df`, as Catalyst knows them; None when it does not."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(
+            int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size())
+        )
+    except Exception:  # no JVM handle (Spark Connect)
+        return None
+
+
+def largest_group(df: DataFrame, keys: list[str]) -> int:
+    """Row count of the biggest key group. Partial counts make this safe on hot keys."""
+    if not keys:
+        return df.count()
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
+
+def groups_fit_one_task(df: DataFrame, keys: list[str], max_rows: int = MAX_GROUP_ROWS) -> bool:
+    """True when no group of `keys` can overload the task that sorts it."""
+    size = scanned_bytes(df)
+    if size is not None and size <= SMALL_INPUT_BYTES:
+        return True
+    return largest_group(df, keys) <= max_rows
