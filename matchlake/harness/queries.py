@@ -3,16 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchlake.functions import scoring
+from matchlake.functions.innings import innings_to_number
+from matchlake.functions.odds import EVENT_TYPE, consensus
 from matchlake.harness import tables as t
 from matchlake.operators.asof import asof_join
 from matchlake.operators.latest import latest_wins
-from matchlake.operators.sides import unpivot_sides
+from matchlake.operators.quantiles import exact_medians
 from matchlake.operators.trailing import Strategy
-from matchlake.plans import gold, panels, quality, silver
+from matchlake.plans import (
+    attribution,
+    gold,
+    grading,
+    market,
+    panels,
+    quality,
+    registry,
+    silver,
+    splits,
+    training,
+)
+from matchlake.session import materialise
+from matchlake.sources import landing, lake
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +109,466 @@ def home_away_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.team_games(t.games(spark, sf_dir))
 
 
+def team_rolling_unguarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rolled = gold.team_rolling(t.games(spark, sf_dir), guard_status=False)
+    return rounded(rolled.drop("days_rest"))
+
+
+# --- landing -----------------------------------------------------------------
+
+
+def json_extract_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    props = F.from_json("props", "struct<k:string,absent:string>")
+    return t.read(spark, sf_dir, "events").select(
+        "event_id",
+        F.get_json_object("props", "$.k").alias("k_text"),
+        props["k"].cast("int").alias("k"),
+        props["absent"].alias("absent"),
+    )
+
+
+def landed_schedule_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = landing.split_rejects(t.schedule_documents(spark, sf_dir))
+    return landing.schedule_games(good).select(
+        F.get_json_object("payload", "$.gamePk").cast("long").alias("game_pk"),
+        F.get_json_object("payload", "$.gameType").alias("game_type"),
+        "block_date",
+    )
+
+
+def landed_list_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = landing.transaction_items(t.transaction_documents(spark, sf_dir))
+    events = landing.odds_events(t.odds_documents(spark, sf_dir))
+    return items.select(
+        F.lit("transaction").alias("source"), F.get_json_object("payload", "$.id").alias("id"), "date"
+    ).unionByName(
+        events.select(
+            F.lit("odds").alias("source"), F.get_json_object("payload", "$.id").alias("id"), "date"
+        )
+    )
+
+
+def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = landing.split_rejects(t.schedule_documents(spark, sf_dir))
+    rows = landing.schedule_envelope(good, F.lit("2024-01-01 00:00:00"))
+    return rows.select(
+        "game_pk", "game_date", "date", F.get_json_object("payload", "$.gameType").alias("game_type"),
+        F.col("ingested_at").cast("string").alias("ingested_at"),
+    )
+
+
+def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, bad = landing.split_rejects(t.schedule_documents(spark, sf_dir))
+    return bad.select("name", "date")
+
+
+def landed_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = t.read(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("game_pk"), "l_linenumber", "l_suppkey"
+    )
+    return landing.for_scheduled(landed, t.games(spark, sf_dir).filter("status = 'Final'"))
+
+
+def season_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing.game_days(t.games(spark, sf_dir).filter("game_type = 'P'"))
+
+
+def resume_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    games = t.games(spark, sf_dir)
+    return landing.pending_days(landing.game_days(games), games.filter("game_type = 'P'"))
+
+
+def reingest_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = t.games(spark, sf_dir).select("game_date").distinct()
+    return days.select(
+        "game_date", F.explode(landing.reingest_days(F.col("game_date"))).alias("reingest_date")
+    )
+
+
+def season_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches per season of an inclusive range, seasons without matches included."""
+    played = t.games(spark, sf_dir).groupBy("season").agg(F.count(F.lit(1)).alias("n"))
+    wanted = landing.seasons_between(spark, 1996, 2003)
+    return wanted.join(played, "season", "left")
+
+
+# --- typed tables ------------------------------------------------------------
+
+
+def silver_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.games(t.landed_schedule(spark, sf_dir)).drop("ingested_at")
+
+
+def silver_team_game_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.team_game_stats(t.landed_boxscores(spark, sf_dir)).drop("ingested_at")
+
+
+def pitcher_map_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(silver.pitcher_game_stats(t.landed_boxscores(spark, sf_dir)).drop("ingested_at"))
+
+
+def silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.transactions(t.landed_transactions(spark, sf_dir)).drop("ingested_at")
+
+
+def latest_wins_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    newest = latest_wins(
+        t.predictions(spark, sf_dir), ["game_pk", "winner_model_run_id"], "predicted_at"
+    )
+    return rounded(newest.select("game_pk", "winner_model_run_id", "predicted_home_win_prob"))
+
+
+def latest_wins_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest order per customer group; one group holds about a third of all orders."""
+    orders = t.read(spark, sf_dir, "orders").withColumn(
+        "bucket", F.when(F.col("o_custkey") % 3 == 0, F.lit(0)).otherwise(F.col("o_custkey"))
+    )
+    newest = latest_wins(orders, ["bucket"], "o_orderdate", ["o_orderkey"])
+    return newest.select("bucket", "o_orderkey")
+
+
+def innings_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = t.read(spark, sf_dir, "lineitem")
+    text = F.expr(
+        """CASE CAST(l_quantity AS INT) % 5
+           WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN CAST(l_linenumber AS STRING)
+           ELSE concat(CAST(l_linenumber - 1 AS STRING), '.', CAST(l_suppkey % 3 AS STRING)) END"""
+    )
+    parsed = lines.select("l_linenumber", "l_suppkey", text.alias("ip"))
+    counted = parsed.groupBy("ip").agg(F.count(F.lit(1)).alias("n"))
+    return rounded(counted.select("ip", "n", innings_to_number("ip").alias("innings")))
+
+
+# --- market ------------------------------------------------------------------
+
+
+def odds_devig(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(t.market(spark, sf_dir))
+
+
+def odds_json_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = t.landed_odds(spark, sf_dir).withColumn("e", F.from_json("payload", EVENT_TYPE))
+    summary = consensus(F.col("e.bookmakers"), F.col("e.home_team"), F.col("e.away_team"))
+    return rounded(
+        events.select(
+            F.col("e.id").cast("long").alias("game_pk"), *[c.alias(n) for n, c in summary.items()]
+        )
+    )
+
+
+def odds_to_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = market.odds(t.landed_odds(spark, sf_dir), t.games(spark, sf_dir))
+    return rounded(
+        typed.select(
+            "odds_event_id", "odds_date", "home_team", "away_team", "market_home_win_prob",
+            "market_total_line", "n_books_moneyline", "game_pk",
+        )
+    )
+
+
+# --- grading and read queries ------------------------------------------------
+
+
+def outcomes_graded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    graded = grading.grade_predictions(t.predictions(spark, sf_dir), t.games(spark, sf_dir))
+    return rounded(
+        graded.select(
+            "game_pk", "winner_model_run_id", "predicted_home_win_prob", "actual_home_win",
+            "actual_total_runs", "winner_correct", "winner_log_loss", "winner_brier",
+            "runs_abs_error", "runs_squared_error",
+        )
+    )
+
+
+def outcomes_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(
+        t.outcomes(spark, sf_dir).select(
+            "game_pk", "market_home_win_prob", "market_total_line", "market_winner_brier",
+            "market_runs_abs_error",
+        )
+    )
+
+
+def rolling_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(panels.rolling_performance(t.outcomes(spark, sf_dir), 365))
+
+
+def baseline_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(panels.baseline_comparison(t.outcomes(spark, sf_dir)))
+
+
+def baseline_comparison_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = panels.baseline_comparison(t.outcomes(spark, sf_dir))
+    return rounded(panels.comparison_long(compared, "baseline"))
+
+
+def market_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(panels.market_comparison(t.outcomes(spark, sf_dir)))
+
+
+def market_comparison_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = panels.market_comparison(t.outcomes(spark, sf_dir))
+    return rounded(panels.comparison_long(compared, "market"))
+
+
+def confidence_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(panels.confidence_tiers(t.outcomes(spark, sf_dir)))
+
+
+def calibration_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(panels.calibration_bins(t.outcomes(spark, sf_dir)))
+
+
+def daily_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(panels.daily_trend(t.outcomes(spark, sf_dir)))
+
+
+def trend_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(panels.trend_long(panels.daily_trend(t.outcomes(spark, sf_dir))))
+
+
+def runs_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panels.runs_scatter(t.outcomes(spark, sf_dir))
+
+
+def _newest_day(games: DataFrame):
+    return games.agg(F.max("game_date")).scalar()
+
+
+def games_for_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    games = t.games(spark, sf_dir)
+    shown = panels.games_on(games, t.predictions(spark, sf_dir), _newest_day(games))
+    return rounded(
+        shown.select(
+            "game_pk", "game_date", "home_team_name", "away_team_name", "status",
+            "predicted_home_win_prob", "predicted_total_runs",
+        )
+    )
+
+
+def game_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A card for every match with its freshest prediction."""
+    freshest = latest_wins(t.predictions(spark, sf_dir), ["game_pk"], "predicted_at")
+    named = t.games(spark, sf_dir).withColumns(
+        {
+            f"{side}_probable_pitcher_name": F.concat(
+                F.lit("Pitcher "), F.col(f"{side}_probable_pitcher_id").cast("string")
+            )
+            for side in ("home", "away")
+        }
+    )
+    scored = named.join(
+        freshest.select("game_pk", "predicted_home_win_prob", "predicted_total_runs"), "game_pk", "left"
+    )
+    return panels.game_cards(scored)
+
+
+def history_explorer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = panels.history(t.outcomes(spark, sf_dir), t.games(spark, sf_dir))
+    chosen = panels.explore_history(
+        history,
+        F.lit("1996-03-01").cast("date"),
+        F.lit("2000-09-30").cast("date"),
+        ["Team 3", "Team 12", "Team 21"],
+    )
+    return panels.history_rows(chosen)
+
+
+def history_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panels.history_teams(panels.history(t.outcomes(spark, sf_dir), t.games(spark, sf_dir)))
+
+
+def history_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = panels.history(t.outcomes(spark, sf_dir), t.games(spark, sf_dir))
+    return rounded(
+        history.dropna(subset=["market_home_win_prob"])
+        .withColumnsRenamed({"actual_home_win": "home_won", "actual_total_runs": "runs"})
+        .select("game_pk", "game_date", "home_team_name", "home_won", "runs", "market_home_win_prob")
+    )
+
+
+def feature_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Match rows for the keys of returned order lines."""
+    wanted = t.read(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select("l_orderkey")
+    return panels.by_keys(t.games(spark, sf_dir), "game_pk", wanted).select(
+        "game_pk", "game_date", "status"
+    )
+
+
+def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    games = t.games(spark, sf_dir).select(
+        "game_pk", "game_date", "home_team_name", "home_score", "home_win"
+    )
+    return lake.json_records(games)
+
+
+def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lake.table_counts(
+        {
+            "games": t.games(spark, sf_dir),
+            "transactions": t.transactions(spark, sf_dir),
+            "predictions": t.predictions(spark, sf_dir),
+        }
+    )
+
+
+# --- quality -----------------------------------------------------------------
+
+
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(
+        t.games(spark, sf_dir), t.team_stats(spark, sf_dir), t.pitchers(spark, sf_dir)
+    )
+
+
+def declared_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = {"game_pk": ["unique", "not_null"], "home_score": ["not_null"]}
+    return quality.declared_checks(t.game_versions(spark, sf_dir), "games", rules)
+
+
+# --- models ------------------------------------------------------------------
+
+
+def classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(splits.classification_metrics(t.split_games(spark, sf_dir), "split"))
+
+
+def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(splits.regression_metrics(t.split_games(spark, sf_dir), "split"))
+
+
+def baselines_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = t.split_games(spark, sf_dir)
+    constants = splits.with_baselines(split)
+    return rounded(
+        splits.model_comparison(
+            {
+                "baseline": splits.classification_metrics(constants, "split"),
+                "predictions": splits.classification_metrics(split, "split"),
+            }
+        )
+    )
+
+
+def baselines_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = t.split_games(spark, sf_dir)
+    constants = splits.with_baselines(split)
+    return rounded(
+        splits.model_comparison(
+            {
+                "baseline": splits.regression_metrics(constants, "split"),
+                "predictions": splits.regression_metrics(split, "split"),
+            }
+        )
+    )
+
+
+def metric_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metrics = splits.regression_metrics(t.split_games(spark, sf_dir), "split")
+    return rounded(splits.metric_entries(metrics, ["n", "mae", "rmse", "within_1", "within_2"]))
+
+
+def metric_prefix_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(registry.metrics_long(t.model_runs(spark, sf_dir)))
+
+
+def promotion_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replayed = registry.replay_gate(t.model_runs(spark, sf_dir), "val_log_loss")
+    return rounded(replayed.drop("start_time"))
+
+
+def promotion_gate_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = t.model_runs(spark, sf_dir)
+    replayed = registry.replay_gate(runs, "val_log_loss", strategy=BLOCKS)
+    return rounded(replayed.drop("start_time"))
+
+
+def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.serving_runs(t.model_runs(spark, sf_dir)).select(
+        "experiment", "model_family", "run_id"
+    )
+
+
+def _medians(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
+    train = t.split_features(spark, sf_dir).filter("split = 'train'")
+    numbers = train.select(*[F.col(c).cast("double").alias(c) for c in NUMERIC_FEATURES])
+    medians = exact_medians(materialise(numbers), NUMERIC_FEATURES, **limits)
+    return rounded(spark.createDataFrame(list(medians.items()), "feature string, median double"))
+
+
+# All model inputs but the boolean one.
+NUMERIC_FEATURES = [c for c in gold.FEATURES if c != "is_day_game"]
+
+
+def impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _medians(spark, sf_dir)
+
+
+def impute_median_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The medians by narrowing brackets, as on tables too large for one buffer."""
+    return _medians(spark, sf_dir, direct_rows=100)
+
+
+def standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = materialise(t.split_features(spark, sf_dir))
+    prepared = training.fit_preparation(split.filter("split = 'train'"), NUMERIC_FEATURES)
+    return rounded(
+        split.select("game_pk", *[prepared.scaled(c).alias(c) for c in prepared.features])
+    )
+
+
+def linear_attribution_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top contributions of a linear model whose i-th coefficient is (i + 1) / 10."""
+    split = materialise(t.split_features(spark, sf_dir))
+    prepared = training.fit_preparation(split.filter("split = 'train'"), NUMERIC_FEATURES)
+    weights = {c: (i + 1) / 10 for i, c in enumerate(prepared.features)}
+    parts = attribution.linear_contributions(split, weights, {c: prepared.scaled(c) for c in weights})
+    return rounded(attribution.top_contributions(parts, list(weights), ["game_pk"], n=5))
+
+
+def logistic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = materialise(t.split_features(spark, sf_dir))
+    scored = training.fit_logistic(split).score(split, "predicted_home_win_prob")
+    return splits.classification_metrics(scored, "split")
+
+
+def ridge_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = materialise(t.split_features(spark, sf_dir))
+    scored = training.fit_ridge(split).score(split, "predicted_total_runs")
+    return splits.regression_metrics(scored, "split")
+
+
+# Fewer trees than in training proper: the query shows the operator, not the model.
+_FEW_TREES = {"trees": 5}
+
+
+def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of both boosted models for every match of the newest day."""
+    features = materialise(t.features(spark, sf_dir))
+    split = splits.split_by_season(features, t.TRAIN_SEASONS, t.VAL_SEASONS, t.TEST_SEASONS)
+    return training.predict_day(
+        features,
+        _newest_day(features),
+        training.fit_winner_trees(split, **_FEW_TREES),
+        training.fit_runs_trees(split, **_FEW_TREES),
+        "winner-run",
+        "runs-run",
+        F.lit("2024-01-01 00:00:00"),
+    )
+
+
+def importance_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = materialise(t.split_features(spark, sf_dir))
+    return training.feature_importance(spark, training.fit_runs_trees(split, **_FEW_TREES))
+
+
+def attribution_tidy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top contributions of a boosted model for every labelled match."""
+    split = materialise(t.split_features(spark, sf_dir))
+    fitted = training.fit_winner_trees(split, **_FEW_TREES)
+    return attribution.explain_rows(split, fitted, ["game_pk"])
+
+
 def queries() -> dict[str, Query]:
     return {
         name: value

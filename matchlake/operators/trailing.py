@@ -152,11 +152,15 @@ def running_min(
     carried = (
         blocked.groupBy(*keys)
         .agg(F.min(value).alias("_block_min"))
-        .select(*keys, F.min("_block_min").over(earlier(entity, ["_block"])).alias("_carried"))
+        .select(
+            *[F.col(k).alias(f"_carry_{k}") for k in keys],
+            F.min("_block_min").over(earlier(entity, ["_block"])).alias("_carried"),
+        )
     )
     inside = blocked.withColumn("_inside", F.min(value).over(earlier(keys, order)))
+    same = [F.col(k).eqNullSafe(F.col(f"_carry_{k}")) for k in keys]
     return (
-        inside.join(carried, keys, "left")
+        inside.join(carried, same, "left")
         .withColumn(output, F.least("_inside", "_carried"))
-        .drop("_block", "_inside", "_carried")
+        .select(*df.columns, output)
     )
