@@ -1,6 +1,6 @@
 """Betting-line arithmetic on nested book → market → outcome arrays."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BOOKMAKERS_TYPE = (
@@ -23,47 +23,80 @@ def _last_price(outcomes: Column, team: Column) -> Column:
     return F.try_element_at(priced, F.lit(-1))["price"]
 
 
-def _mean(values: Column) -> Column:
-    total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
-    return total / F.nullif(F.size(values), F.lit(0))
+def _outcomes_of(markets: Column, kind: str) -> Column:
+    chosen = F.filter(markets, lambda m: m["key"] == kind)
+    return F.transform(chosen, lambda m: F.coalesce(m["outcomes"], F.array()))
 
 
-def consensus(bookmakers: Column, home_team: Column, away_team: Column) -> dict[str, Column]:
-    """Mean margin-free win probabilities and total line over the books, with book counts.
+def _moneyline(markets: Column, home_team: Column, away_team: Column) -> Column:
+    """Sums of margin-free probabilities and the number of books that price both sides."""
+    visitor = F.nullif(away_team, home_team)
+    prices = F.transform(
+        _outcomes_of(markets, "h2h"),
+        lambda os: F.struct(
+            _last_price(os, home_team).alias("home"), _last_price(os, visitor).alias("away")
+        ),
+    )
+    raw = F.transform(
+        F.filter(prices, lambda p: p["home"].isNotNull() & p["away"].isNotNull()),
+        lambda p: F.struct(
+            implied_probability(p["home"]).alias("home"),
+            implied_probability(p["away"]).alias("away"),
+        ),
+    )
+    start = F.struct(F.lit(0.0).alias("home"), F.lit(0.0).alias("away"), F.lit(0).alias("n"))
+    return F.aggregate(
+        raw,
+        start,
+        lambda acc, p: F.struct(
+            (acc["home"] + p["home"] / (p["home"] + p["away"])).alias("home"),
+            (acc["away"] + p["away"] / (p["home"] + p["away"])).alias("away"),
+            (acc["n"] + 1).alias("n"),
+        ),
+    )
+
+
+def _totals(markets: Column) -> Column:
+    """Sum of the totals lines and the number of books that give one."""
+    points = F.transform(
+        _outcomes_of(markets, "totals"),
+        lambda os: F.get(F.filter(os, lambda o: o["point"].isNotNull()), F.lit(0))["point"],
+    )
+    start = F.struct(F.lit(0.0).alias("line"), F.lit(0).alias("n"))
+    return F.aggregate(
+        F.filter(points, lambda point: point.isNotNull()),
+        start,
+        lambda acc, point: F.struct((acc["line"] + point).alias("line"), (acc["n"] + 1).alias("n")),
+    )
+
+
+def with_consensus(
+    df: DataFrame, bookmakers: Column, home_team: Column, away_team: Column
+) -> DataFrame:
+    """Append mean margin-free win probabilities and total line over the books, with book counts.
 
     A moneyline market counts when both sides have a price; of several prices for a
     side the last counts. A totals market gives the point of its first outcome that has one.
+    Each stage is its own projection, so that a row's arrays are walked once.
     """
     markets = F.flatten(
         F.transform(
-            F.coalesce(bookmakers, F.lit(None).cast(BOOKMAKERS_TYPE), F.array()),
-            lambda b: F.coalesce(b["markets"], F.array()),
+            F.coalesce(bookmakers, F.array()), lambda b: F.coalesce(b["markets"], F.array())
         )
     )
-
-    def of_kind(kind: str) -> Column:
-        chosen = F.filter(markets, lambda m: m["key"] == kind)
-        return F.transform(chosen, lambda m: F.coalesce(m["outcomes"], F.array()))
-
-    def margin_free(outcomes: Column) -> Column:
-        home = implied_probability(_last_price(outcomes, home_team))
-        away = implied_probability(
-            F.when(home_team == away_team, F.lit(None)).otherwise(_last_price(outcomes, away_team))
-        )
-        return F.struct((home / (home + away)).alias("home"), (away / (home + away)).alias("away"))
-
-    pairs = F.filter(F.transform(of_kind("h2h"), margin_free), lambda p: p["home"].isNotNull())
-    lines = F.filter(
-        F.transform(
-            of_kind("totals"),
-            lambda os: F.get(F.filter(os, lambda o: o["point"].isNotNull()), F.lit(0))["point"],
-        ),
-        lambda point: point.isNotNull(),
+    summed = df.withColumn("_markets", markets).withColumns(
+        {
+            "_h2h": _moneyline(F.col("_markets"), home_team, away_team),
+            "_totals": _totals(F.col("_markets")),
+        }
     )
-    return {
-        "market_home_win_prob": _mean(F.transform(pairs, lambda p: p["home"])),
-        "market_away_win_prob": _mean(F.transform(pairs, lambda p: p["away"])),
-        "market_total_line": _mean(lines),
-        "n_books_moneyline": F.size(pairs),
-        "n_books_totals": F.size(lines),
-    }
+    books, lines = F.col("_h2h.n"), F.col("_totals.n")
+    return summed.withColumns(
+        {
+            "market_home_win_prob": F.col("_h2h.home") / F.nullif(books, F.lit(0)),
+            "market_away_win_prob": F.col("_h2h.away") / F.nullif(books, F.lit(0)),
+            "market_total_line": F.col("_totals.line") / F.nullif(lines, F.lit(0)),
+            "n_books_moneyline": books,
+            "n_books_totals": lines,
+        }
+    ).drop("_markets", "_h2h", "_totals")

@@ -8,7 +8,7 @@ from matchlake.harness.tables import oracle
 
 
 def _round(columns: str) -> str:
-    return ", ".join(f"round({c}, 6) AS {c}" for c in columns.split())
+    return ", ".join(f"round(round({c}, 9), 6) AS {c}" for c in columns.split())
 
 
 _FEATURE_DOUBLES = (
@@ -41,7 +41,7 @@ _NUMERIC = [
 ]
 
 _MEDIANS = "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS feature, round(median(CAST({c} AS DOUBLE)), 6) AS median"
+    f"SELECT '{c}' AS feature, round(round(median(CAST({c} AS DOUBLE)), 9), 6) AS median"
     " FROM split_v WHERE split = 'train'"
     for c in _NUMERIC
 )
@@ -61,24 +61,26 @@ _SCALED = """
 """
 
 _WINNER_METRICS = """
-SELECT split, count(*) AS n, round(avg(CAST((p >= 0.5) = won AS INTEGER)), 6) AS accuracy,
-       round(avg(-ln(greatest(1e-15, least(1 - 1e-15::DOUBLE, CASE WHEN won THEN p ELSE 1 - p END)))), 6)
+SELECT split, count(*) AS n, round(round(avg(CAST((p >= 0.5) = won AS INTEGER)), 9), 6) AS accuracy,
+       round(round(avg(-ln(CASE WHEN won THEN clipped ELSE 1 - clipped END)), 9), 6)
            AS log_loss,
-       round(avg((p - CAST(won AS INTEGER)) ** 2), 6) AS brier
+       round(round(avg((p - CAST(won AS INTEGER)) ** 2), 9), 6) AS brier
 """
 _RUNS_METRICS = """
-SELECT split, count(*) AS n, round(avg(abs(runs - p)), 6) AS mae,
-       round(sqrt(avg((runs - p) ** 2)), 6) AS rmse,
-       round(avg(CAST(abs(runs - p) <= 1 AS INTEGER)), 6) AS within_1,
-       round(avg(CAST(abs(runs - p) <= 2 AS INTEGER)), 6) AS within_2
+SELECT split, count(*) AS n, round(round(avg(abs(runs - p)), 9), 6) AS mae,
+       round(round(sqrt(avg((runs - p) ** 2)), 9), 6) AS rmse,
+       round(round(avg(CAST(abs(runs - p) <= 1 AS INTEGER)), 9), 6) AS within_1,
+       round(round(avg(CAST(abs(runs - p) <= 2 AS INTEGER)), 9), 6) AS within_2
 """
 _BY_PREDICTION = {
-    "winner": "(SELECT split, target_home_win AS won, predicted_home_win_prob AS p FROM split_games_v)",
+    "winner": "(SELECT split, target_home_win AS won, predicted_home_win_prob AS p,"
+    " greatest(1e-15, least(1 - 1e-15::DOUBLE, predicted_home_win_prob)) AS clipped"
+    " FROM split_games_v)",
     "runs": "(SELECT split, target_total_runs AS runs, predicted_total_runs AS p FROM split_games_v)",
 }
 _BY_MEAN = {
     "winner": "(SELECT split, target_home_win AS won, avg(CAST(target_home_win AS INTEGER))"
-    " FILTER (WHERE split = 'train') OVER () AS p FROM split_games_v)",
+    " FILTER (WHERE split = 'train') OVER () AS p, p AS clipped FROM split_games_v)",
     "runs": "(SELECT split, target_total_runs AS runs, avg(target_total_runs)"
     " FILTER (WHERE split = 'train') OVER () AS p FROM split_games_v)",
 }
@@ -92,7 +94,7 @@ def _both_models(select: str, task: str) -> str:
 
 
 _BASELINE = """
-SELECT metric, round(model, 6) AS model, round(baseline, 6) AS baseline
+SELECT metric, round(round(model, 9), 6) AS model, round(round(baseline, 9), 6) AS baseline
 FROM (SELECT unnest(['Accuracy', 'Log loss', 'Brier', 'MAE (runs)', 'RMSE (runs)']) AS metric,
              unnest([avg(CAST(winner_correct AS INTEGER)), avg(winner_log_loss), avg(winner_brier),
                      avg(runs_abs_error), sqrt(avg(runs_squared_error))]) AS model,
@@ -104,7 +106,7 @@ FROM (SELECT unnest(['Accuracy', 'Log loss', 'Brier', 'MAE (runs)', 'RMSE (runs)
             FROM outcomes_v) AS o) AS c
 """
 _MARKET = """
-SELECT metric, round(model, 6) AS model, round(market, 6) AS market
+SELECT metric, round(round(model, 9), 6) AS model, round(round(market, 9), 6) AS market
 FROM (SELECT unnest(['Log loss', 'Brier', 'MAE (runs)']) AS metric,
              unnest([avg(winner_log_loss), avg(winner_brier), avg(runs_abs_error)]) AS model,
              unnest([avg(-ln(CASE actual_home_win WHEN 1 THEN market_home_win_prob
@@ -121,7 +123,7 @@ FROM (SELECT game_date, count(*) AS n, avg(CAST(winner_correct AS INTEGER)) AS a
 WINDOW w AS (ORDER BY game_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
 """
 _GATE = """
-SELECT run_id, experiment, model_family, round(metric, 6) AS value, round(best, 6) AS incumbent,
+SELECT run_id, experiment, model_family, round(round(metric, 9), 6) AS value, round(round(best, 9), 6) AS incumbent,
        best IS NULL OR metric < best AS promoted
 FROM (SELECT *, min(metric) OVER (PARTITION BY experiment, model_family
                                   ORDER BY start_time, run_id
@@ -260,7 +262,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "asof_pitcher_form": oracle(
             """
-            SELECT g.game_pk, round(f.era_l5, 6) AS era_l5, f.days_rest
+            SELECT g.game_pk, round(round(f.era_l5, 9), 6) AS era_l5, f.days_rest
             FROM games_v AS g ASOF LEFT JOIN form_daily_v AS f
               ON f.pitcher_id = g.home_probable_pitcher_id AND f.game_date <= g.game_date
             """,
@@ -269,7 +271,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "asof_park_factor": oracle(
             """
-            SELECT g.game_pk, round(f.venue_park_factor_runs, 6) AS venue_park_factor_runs
+            SELECT g.game_pk, round(round(f.venue_park_factor_runs, 9), 6) AS venue_park_factor_runs
             FROM games_v AS g ASOF LEFT JOIN parks_daily_v AS f
               ON f.venue_id = g.venue_id AND f.game_date <= g.game_date
             """,
@@ -301,8 +303,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "team_rolling_unguarded": oracle(
             """
-            SELECT game_pk, team_id, round(avg(f) OVER w, 6) AS runs_scored_l10,
-                   round(avg(a) OVER w, 6) AS runs_allowed_l10, round(avg(won) OVER w, 6) AS win_pct_l10,
+            SELECT game_pk, team_id, round(round(avg(f) OVER w, 9), 6) AS runs_scored_l10,
+                   round(round(avg(a) OVER w, 9), 6) AS runs_allowed_l10, round(round(avg(won) OVER w, 9), 6) AS win_pct_l10,
                    count(f) OVER w AS n_prior_games
             FROM (SELECT game_pk, game_date, home_team_id AS team_id, home_score AS f, away_score AS a,
                          CAST(home_win AS INTEGER) AS won FROM games_v
@@ -402,7 +404,7 @@ def oracle_sql() -> dict[str, str]:
             f"""
             SELECT game_pk, team_id, pid AS pitcher_id, 'Pitcher ' || pid AS pitcher_name,
                    sup <> 1 AS is_starter,
-                   round(pid % 7 + (game_pk % 3) / 3.0::DOUBLE, 6) AS innings_pitched,
+                   round(round(pid % 7 + (game_pk % 3) / 3.0::DOUBLE, 9), 6) AS innings_pitched,
                    CAST((game_pk + pid) % 9 AS INTEGER) AS hits_allowed,
                    CAST(pid % 6 AS INTEGER) AS runs_allowed,
                    CAST((game_pk + ver) % 5 AS INTEGER) AS earned_runs,
@@ -432,7 +434,7 @@ def oracle_sql() -> dict[str, str]:
         "latest_wins_sorted": oracle(
             """
             SELECT game_pk, winner_model_run_id,
-                   round(arg_max(predicted_home_win_prob, predicted_at), 6) AS predicted_home_win_prob
+                   round(round(arg_max(predicted_home_win_prob, predicted_at), 9), 6) AS predicted_home_win_prob
             FROM predictions_v GROUP BY game_pk, winner_model_run_id
             """,
             "predictions_v",
@@ -444,10 +446,10 @@ def oracle_sql() -> dict[str, str]:
             """,
         "innings_parse": """
             SELECT ip, count(*) AS n,
-                   round(CASE WHEN ip = '' THEN NULL
+                   round(round(CASE WHEN ip = '' THEN NULL
                          ELSE CAST(regexp_extract(ip, '^[0-9]+') AS INTEGER)
                               + coalesce(TRY_CAST(regexp_extract(ip, '[.]([0-9])', 1) AS INTEGER), 0)
-                                / 3.0::DOUBLE END, 6) AS innings
+                                / 3.0::DOUBLE END, 9), 6) AS innings
             FROM (SELECT CASE CAST(l_quantity AS INTEGER) % 5
                          WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN CAST(l_linenumber AS VARCHAR)
                          ELSE (l_linenumber - 1) || '.' || (l_suppkey % 3) END AS ip
@@ -461,7 +463,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "odds_json_consensus": oracle(
             f"""
-            SELECT game_pk, round(home, 6) AS market_home_win_prob, round(away, 6) AS market_away_win_prob,
+            SELECT game_pk, round(round(home, 9), 6) AS market_home_win_prob, round(round(away, 9), 6) AS market_away_win_prob,
                    line AS market_total_line, CAST(books AS INTEGER) AS n_books_moneyline,
                    CAST(books AS INTEGER) AS n_books_totals
             FROM ({_ODDS_SUMMARY}) AS s
@@ -471,7 +473,7 @@ def oracle_sql() -> dict[str, str]:
         "odds_to_games": oracle(
             f"""
             SELECT s.odds_event_id, s.odds_date, s.home_team, s.away_team,
-                   round(s.home, 6) AS market_home_win_prob, s.line AS market_total_line,
+                   round(round(s.home, 9), 6) AS market_home_win_prob, s.line AS market_total_line,
                    CAST(s.books AS INTEGER) AS n_books_moneyline, g.game_pk
             FROM (SELECT * FROM ({_ODDS_SUMMARY}) AS e
                   QUALIFY row_number() OVER (PARTITION BY odds_date, home_team, away_team
@@ -500,10 +502,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "rolling_performance": oracle(
             """
-            SELECT count(*) AS n_games, round(avg(CAST(winner_correct AS INTEGER)), 6) AS accuracy,
-                   round(avg(winner_log_loss), 6) AS log_loss, round(avg(winner_brier), 6) AS brier,
-                   round(avg(runs_abs_error), 6) AS mae,
-                   round(sqrt(avg(runs_squared_error)), 6) AS rmse
+            SELECT count(*) AS n_games, round(round(avg(CAST(winner_correct AS INTEGER)), 9), 6) AS accuracy,
+                   round(round(avg(winner_log_loss), 9), 6) AS log_loss, round(round(avg(winner_brier), 9), 6) AS brier,
+                   round(round(avg(runs_abs_error), 9), 6) AS mae,
+                   round(round(sqrt(avg(runs_squared_error)), 9), 6) AS rmse
             FROM outcomes_v WHERE game_date > (SELECT max(game_date) FROM outcomes_v) - 365
             """,
             "outcomes_v",
@@ -516,7 +518,7 @@ def oracle_sql() -> dict[str, str]:
             """
             SELECT CASE WHEN c <= 0.55 THEN '50–55%' WHEN c <= 0.6 THEN '55–60%'
                         WHEN c <= 0.65 THEN '60–65%' WHEN c <= 0.7 THEN '65–70%' ELSE '70%+' END AS tier,
-                   count(*) AS n, round(avg(CAST(winner_correct AS INTEGER)), 6) AS accuracy
+                   count(*) AS n, round(round(avg(CAST(winner_correct AS INTEGER)), 9), 6) AS accuracy
             FROM (SELECT *, greatest(predicted_home_win_prob, 1 - predicted_home_win_prob) AS c
                   FROM outcomes_v) AS o
             GROUP BY ALL
@@ -527,8 +529,8 @@ def oracle_sql() -> dict[str, str]:
             """
             SELECT CAST(len(list_filter(range(1, 10), lambda i: p > i * ((hi - lo) / 10) + lo)) AS INTEGER)
                        AS bin,
-                   count(*) AS n, round(avg(p), 6) AS mean_predicted,
-                   round(avg(actual_home_win), 6) AS mean_actual
+                   count(*) AS n, round(round(avg(p), 9), 6) AS mean_predicted,
+                   round(round(avg(actual_home_win), 9), 6) AS mean_actual
             FROM (SELECT actual_home_win, predicted_home_win_prob AS p,
                          min(predicted_home_win_prob) OVER () AS lo,
                          max(predicted_home_win_prob) OVER () AS hi FROM outcomes_v) AS o
@@ -538,8 +540,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "daily_trend": oracle(
             f"""
-            SELECT game_date, n, round(a, 6) AS accuracy, round(l, 6) AS log_loss, round(m, 6) AS mae,
-                   round(ar, 6) AS accuracy_rolling, round(lr, 6) AS log_loss_rolling
+            SELECT game_date, n, round(round(a, 9), 6) AS accuracy, round(round(l, 9), 6) AS log_loss, round(round(m, 9), 6) AS mae,
+                   round(round(ar, 9), 6) AS accuracy_rolling, round(round(lr, 9), 6) AS log_loss_rolling
             FROM ({_TREND}) AS t
             """,
             "outcomes_v",
@@ -547,7 +549,7 @@ def oracle_sql() -> dict[str, str]:
         "trend_long": oracle(
             f"""
             SELECT game_date, unnest(['accuracy', 'accuracy_rolling']) AS series,
-                   unnest([round(a, 6), round(ar, 6)]) AS value
+                   unnest([round(round(a, 9), 6), round(round(ar, 9), 6)]) AS value
             FROM ({_TREND}) AS t
             """,
             "outcomes_v",
@@ -558,7 +560,7 @@ def oracle_sql() -> dict[str, str]:
         "games_for_date": oracle(
             """
             SELECT game_pk, g.game_date, home_team_name, away_team_name, status,
-                   round(predicted_home_win_prob, 6) AS predicted_home_win_prob, predicted_total_runs
+                   round(round(predicted_home_win_prob, 9), 6) AS predicted_home_win_prob, predicted_total_runs
             FROM games_v AS g LEFT JOIN predictions_v AS p USING (game_pk)
             WHERE g.game_date = (SELECT max(game_date) FROM games_v)
             """,
@@ -609,7 +611,7 @@ def oracle_sql() -> dict[str, str]:
         "history_columns": oracle(
             """
             SELECT game_pk, game_date, home_team_name, actual_home_win AS home_won,
-                   actual_total_runs AS runs, round(market_home_win_prob, 6) AS market_home_win_prob
+                   actual_total_runs AS runs, round(round(market_home_win_prob, 9), 6) AS market_home_win_prob
             FROM history_v WHERE market_home_win_prob IS NOT NULL
             """,
             "history_v",
@@ -663,10 +665,10 @@ def oracle_sql() -> dict[str, str]:
             """
             SELECT run_id, unnest(['train', 'val', 'test', 'other']) AS split,
                    unnest(['log_loss', 'log_loss', 'log_loss', 'promoted']) AS metric,
-                   unnest([round(metric / 2, 6), round(metric, 6), round(metric + 0.25, 6), 1.0]) AS value
+                   unnest([round(round(metric / 2, 9), 6), round(round(metric, 9), 6), round(round(metric + 0.25, 9), 6), 1.0]) AS value
             FROM runs_v WHERE validated
             UNION ALL
-            SELECT run_id, 'train', 'log_loss', round(metric / 2, 6) FROM runs_v WHERE NOT validated
+            SELECT run_id, 'train', 'log_loss', round(round(metric / 2, 9), 6) FROM runs_v WHERE NOT validated
             """,
             "runs_v",
         ),
@@ -682,7 +684,7 @@ def oracle_sql() -> dict[str, str]:
         "impute_median": oracle(_MEDIANS, "split_v"),
         "impute_median_narrowed": oracle(_MEDIANS, "split_v"),
         "standardize": oracle(
-            "PIVOT (SELECT game_pk, feature, round(z, 6) AS z FROM "
+            "PIVOT (SELECT game_pk, feature, round(round(z, 9), 6) AS z FROM "
             + _SCALED
             + ") ON feature IN ("
             + ", ".join(f"'{c}'" for c in _NUMERIC)
@@ -691,9 +693,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "linear_attribution_topn": oracle(
             f"""
-            SELECT game_pk, CAST(r AS INTEGER) AS rank, feature, round(c, 6) AS contribution,
+            SELECT game_pk, CAST(r AS INTEGER) AS rank, feature, round(round(c, 9), 6) AS contribution,
                    CASE WHEN c > 0 THEN '▲ home' ELSE '▼ away' END AS direction,
-                   round(abs(c), 6) AS abs_contribution
+                   round(round(abs(c), 9), 6) AS abs_contribution
             FROM (SELECT *, row_number() OVER (PARTITION BY game_pk ORDER BY abs(c) DESC, place) AS r
                   FROM (SELECT *, z * (place + 1) / 10.0::DOUBLE AS c FROM {_SCALED}) AS p) AS t
             WHERE r <= 5

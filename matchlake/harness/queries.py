@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from matchlake.functions import scoring
 from matchlake.functions.innings import innings_to_number
-from matchlake.functions.odds import EVENT_TYPE, consensus
+from matchlake.functions.odds import EVENT_TYPE, with_consensus
 from matchlake.harness import tables as t
 from matchlake.operators.asof import asof_join
 from matchlake.operators.latest import latest_wins
@@ -33,15 +33,21 @@ from matchlake.sources import landing, lake
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-DIGITS = 6
+NOISE_DIGITS, DIGITS = 9, 6
 # Small blocks, so that the block layout is exercised on small tables too.
 BLOCKS = Strategy("blocks", block_rows=5_000)
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles rounded, so that summation order does not show."""
+    """Doubles rounded, so that summation order does not show.
+
+    The first rounding removes it, so that the second one meets the same ties everywhere.
+    """
     return df.select(
-        *[F.round(c, DIGITS).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes]
+        *[
+            F.round(F.round(c, NOISE_DIGITS), DIGITS).alias(c) if kind == "double" else F.col(c)
+            for c, kind in df.dtypes
+        ]
     )
 
 
@@ -248,11 +254,11 @@ def odds_devig(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def odds_json_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = t.landed_odds(spark, sf_dir).withColumn("e", F.from_json("payload", EVENT_TYPE))
-    summary = consensus(F.col("e.bookmakers"), F.col("e.home_team"), F.col("e.away_team"))
+    summed = with_consensus(
+        events, F.col("e.bookmakers"), F.col("e.home_team"), F.col("e.away_team")
+    )
     return rounded(
-        events.select(
-            F.col("e.id").cast("long").alias("game_pk"), *[c.alias(n) for n, c in summary.items()]
-        )
+        summed.select(F.col("e.id").cast("long").alias("game_pk"), *market.MARKET_COLUMNS)
     )
 
 

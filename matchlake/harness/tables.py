@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from matchlake.functions.innings import innings_to_number
 from matchlake.operators.latest import latest_wins
+from matchlake.operators.sizing import spread_small
 from matchlake.plans import gold
 from matchlake.plans.grading import grade_predictions
 from matchlake.plans.market import consensus_of_quotes
 from matchlake.plans.silver import affects_availability, with_targets
 from matchlake.plans.splits import split_by_season
+from matchlake.session import materialise
 
 # Seasons of the time-based split.
 TRAIN_SEASONS, VAL_SEASONS, TEST_SEASONS = [1995, 1996, 1997, 1998], [1999], [2000, 2001]
@@ -180,8 +182,11 @@ def market(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table over stored match and pitcher tables, as in the daily batch."""
     return gold.build_features(
-        games(spark, sf_dir), pitchers(spark, sf_dir), transactions(spark, sf_dir)
+        materialise(games(spark, sf_dir)),
+        materialise(pitchers(spark, sf_dir)),
+        transactions(spark, sf_dir),
     )
 
 
@@ -228,7 +233,7 @@ def landed_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("venue"),
         F.col("day_night").alias("dayNight"),
     )
-    return game_versions(spark, sf_dir).select(
+    return spread_small(game_versions(spark, sf_dir)).select(
         "game_pk",
         F.col("game_date").cast("string").alias("game_date"),
         F.to_json(payload).alias("payload"),
@@ -291,7 +296,7 @@ def landed_boxscores(spark: SparkSession, sf_dir: str) -> DataFrame:
             side("away", [visitor], F.create_map(*pitcher(visitor))),
         ).alias("teams")
     )
-    return game_versions(spark, sf_dir).select(
+    return spread_small(game_versions(spark, sf_dir)).select(
         "game_pk",
         F.to_json(payload).alias("payload"),
         F.col("ingested_on").cast("timestamp").alias("ingested_at"),
@@ -331,7 +336,7 @@ def landed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("user_id") % 10 != 0, team).alias("toTeam"),
     )
     day = F.date_add(F.lit("1995-01-01").cast("date"), _mod("7 * event_id", 2400))
-    return versions.select(
+    return spread_small(versions).select(
         F.col("event_id").alias("transaction_id"),
         day.cast("string").alias("date"),
         F.to_json(payload).alias("payload"),
@@ -368,7 +373,7 @@ def landed_odds(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("markets"),
         )
 
-    priced = games(spark, sf_dir).select(
+    priced = spread_small(games(spark, sf_dir)).select(
         "game_pk",
         F.col("game_date").cast("string").alias("date"),
         F.col("home_team_name").alias("home_team"),
@@ -399,7 +404,7 @@ def landed_odds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def schedule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One schedule response per order with two matches; every seventh one is cut off."""
-    orders = read(spark, sf_dir, "orders")
+    orders = spread_small(read(spark, sf_dir, "orders"))
     day = F.to_date("o_orderdate").cast("string")
 
     def game(k: int) -> Column:
@@ -716,9 +721,8 @@ ORACLE["outcomes_v"] = """
 SELECT p.*, CAST(g.home_win AS INTEGER) AS actual_home_win, g.total_runs AS actual_total_runs,
        CASE WHEN p.predicted_home_win_prob >= 0.5 THEN g.home_win ELSE NOT g.home_win END
            AS winner_correct,
-       -ln(greatest(1e-15, least(1 - 1e-15::DOUBLE,
-            CASE WHEN g.home_win THEN p.predicted_home_win_prob
-                 ELSE 1 - p.predicted_home_win_prob END))) AS winner_log_loss,
+       -ln(CASE WHEN g.home_win THEN greatest(1e-15, least(1 - 1e-15::DOUBLE, p.predicted_home_win_prob))
+                ELSE 1 - greatest(1e-15, least(1 - 1e-15::DOUBLE, p.predicted_home_win_prob)) END) AS winner_log_loss,
        (p.predicted_home_win_prob - CAST(g.home_win AS INTEGER)) ** 2 AS winner_brier,
        abs(p.predicted_total_runs - g.total_runs) AS runs_abs_error,
        (p.predicted_total_runs - g.total_runs) ** 2 AS runs_squared_error,

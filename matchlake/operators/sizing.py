@@ -15,13 +15,10 @@ MAX_INLINE_KEYS = 1_000
 
 def scanned_bytes(df: DataFrame) -> int | None:
     """Bytes of the files and relations under `df`, as Catalyst knows them; None when it does not."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(
-            int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size())
-        )
-    except Exception:  # no JVM handle (Spark Connect)
+    if not hasattr(df, "_jdf"):  # Spark Connect has no plan statistics on the client
         return None
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def largest_group(df: DataFrame, keys: list[str]) -> int:
@@ -37,3 +34,14 @@ def groups_fit_one_task(df: DataFrame, keys: list[str], max_rows: int = MAX_GROU
     if size is not None and size <= SMALL_INPUT_BYTES:
         return True
     return largest_group(df, keys) <= max_rows
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread an input that scans as few splits over the cores, ahead of costly per-row work.
+
+    Only inputs below the small-input bound are moved; a large one has splits enough.
+    """
+    size = scanned_bytes(df)
+    if size is None or size > SMALL_INPUT_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

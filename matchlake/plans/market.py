@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.functions.odds import BOOKMAKERS_TYPE, consensus, implied_probability
+from matchlake.functions.odds import BOOKMAKERS_TYPE, implied_probability, with_consensus
 from matchlake.operators.latest import latest_wins
 
 MARKET_COLUMNS = [
@@ -43,16 +43,19 @@ def odds(landed: DataFrame, games: DataFrame) -> DataFrame:
     event = F.from_json(
         "payload", f"struct<home_team:string,away_team:string,bookmakers:{BOOKMAKERS_TYPE}>"
     )
-    priced = newest.withColumn("e", event)
-    summary = consensus(F.col("e.bookmakers"), F.col("e.home_team"), F.col("e.away_team"))
-    typed = priced.select(
+    typed = with_consensus(
+        newest.withColumn("e", event),
+        F.col("e.bookmakers"),
+        F.col("e.home_team"),
+        F.col("e.away_team"),
+    ).select(
         "odds_event_id",
         F.col("date").cast("string").alias("odds_date"),
         "home_team",
         "away_team",
         "commence_time",
         "fetched_at",
-        *[expr.alias(name) for name, expr in summary.items()],
+        *MARKET_COLUMNS,
     )
     keys = games.select(
         "game_pk",

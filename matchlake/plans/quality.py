@@ -50,26 +50,46 @@ def check_not_null(df: DataFrame, columns: Sequence[str], name: str) -> DataFram
     return _verdict(counted, name, issues, F.format_string(f"nulls: {{{shown}}}", *columns))
 
 
-def check_final_has_scores(games: DataFrame) -> DataFrame:
-    final = F.col("status") == "Final"
-    counted = games.agg(
-        (
-            _total(final & F.col("home_score").isNull())
-            + _total(final & F.col("away_score").isNull())
-        ).alias("missing"),
-        _total(final).alias("finals"),
-    )
-    details = F.format_string("%d missing scores among %d Final games", "missing", "finals")
-    return _verdict(counted, "games.final_has_scores", F.col("missing"), details)
+def check_games(games: DataFrame) -> DataFrame:
+    """The four checks of the match table from one pass over it.
 
-
-def check_total_runs_consistent(games: DataFrame) -> DataFrame:
-    """An unknown total or score counts as a mismatch."""
+    An unknown total or score counts as an inconsistent total.
+    """
+    final = F.col("status") == "Final"
     agrees = F.col("total_runs") == F.col("home_score") + F.col("away_score")
-    wrong = (F.col("status") == "Final") & ~F.coalesce(agrees, F.lit(False))
-    counted = games.agg(_total(wrong).alias("wrong"))
-    details = F.format_string("%d rows where total_runs != home_score + away_score", "wrong")
-    return _verdict(counted, "games.total_runs_consistent", F.col("wrong"), details)
+    counters = {
+        **{f"null_{c}": F.col(c).isNull() for c in GAME_IDS},
+        "finals": final,
+        "no_home": final & F.col("home_score").isNull(),
+        "no_away": final & F.col("away_score").isNull(),
+        "wrong": final & ~F.coalesce(agrees, F.lit(False)),
+    }
+    per_key = games.groupBy("game_pk").agg(
+        F.count(F.lit(1)).alias("n"), *[_total(c).alias(name) for name, c in counters.items()]
+    )
+    total = lambda column: F.coalesce(F.sum(column), F.lit(0))
+    counted = per_key.agg(
+        total("n").alias("n"),
+        total(F.col("n") - 1).alias("dupes"),
+        *[total(name).alias(name) for name in counters],
+    ).withColumn("missing", F.col("no_home") + F.col("no_away"))
+    nulls = [f"null_{c}" for c in GAME_IDS]
+    shown = ", ".join(f"'{c}': %d" for c in GAME_IDS)
+    rows = [
+        ("games.pk_unique", F.col("dupes"),
+         F.format_string("%d duplicate game_pk rows out of %d", "dupes", "n")),
+        ("games.no_null_ids", reduce(lambda a, b: a + b, map(F.col, nulls)),
+         F.format_string(f"nulls: {{{shown}}}", *nulls)),
+        ("games.final_has_scores", F.col("missing"),
+         F.format_string("%d missing scores among %d Final games", "missing", "finals")),
+        ("games.total_runs_consistent", F.col("wrong"),
+         F.format_string("%d rows where total_runs != home_score + away_score", "wrong")),
+    ]
+    verdicts = [
+        F.struct(F.lit(name).alias("name"), (issues == 0).alias("passed"), text.alias("details"))
+        for name, issues, text in rows
+    ]
+    return counted.select(F.inline(F.array(*verdicts)))
 
 
 def check_rows_per_final(
@@ -92,10 +112,7 @@ def check_rows_per_final(
 def quality_report(games: DataFrame, team_stats: DataFrame, pitchers: DataFrame) -> DataFrame:
     """All checks as one table."""
     checks = [
-        check_unique(games, ["game_pk"], "games.pk_unique"),
-        check_not_null(games, GAME_IDS, "games.no_null_ids"),
-        check_final_has_scores(games),
-        check_total_runs_consistent(games),
+        check_games(games),
         check_unique(team_stats, ["game_pk", "team_id"], "team_stats.pk_unique"),
         check_rows_per_final(
             games, team_stats, "team_stats.two_rows_per_final_game",

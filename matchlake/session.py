@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,10 +41,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write `df` to the checkpoint folder and continue from the stored rows.
+    """Write `df` as a table in the checkpoint folder and continue from the stored rows.
 
-    Used where two passes must see the very same partitions, and between the
-    rounds of iterative work; the rows outlive any executor.
+    Used where two passes must see the very same partitions, and where many passes would
+    repeat costly work. The rows outlive any executor, and as parquet they keep column
+    pruning and a known size.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    folder = df.sparkSession.sparkContext.getCheckpointDir()
+    path = f"{folder}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
