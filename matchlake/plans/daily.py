@@ -65,8 +65,8 @@ def land_days(lake: Lake, landing_root: str, days: DataFrame, landed_at: datetim
 
 
 def days_before(spark: SparkSession, day: date, days: int = landing.REINGEST_DAYS) -> DataFrame:
-    listed = F.explode(landing.reingest_days(F.lit(day), days)).cast("string")
-    return spark.range(1).select(listed.alias("date"))
+    listed = landing.reingest_days(F.lit(day), days).cast("array<string>")
+    return spark.range(1).select(F.explode(listed).alias("date"))
 
 
 def build_silver(lake: Lake) -> None:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from matchlake.plans.daily import land_days
@@ -19,15 +20,18 @@ def land_new_files(
     lake: Lake, landing_root: str, checkpoint: str, landed_at: datetime | None = None
 ) -> StreamingQuery:
     """Process all files not seen yet and stop."""
+    # The file names are enough: as binary files their content is not read here.
     arrivals = (
-        lake.spark.readStream.schema("value string, date string")
-        .option("wholetext", "true")
-        .format("text")
-        .load(f"{landing_root}/*")
+        lake.spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("recursiveFileLookup", "true")
+        .load(landing_root)
+        .select(F.regexp_extract("path", r"date=(\d{4}-\d{2}-\d{2})/", 1).alias("date"))
+        .filter("date <> ''")
     )
 
     def rewrite(batch: DataFrame, _batch_id: int) -> None:
-        days = batch.select("date").distinct()
+        days = batch.distinct()
         land_days(lake, landing_root, days, landed_at or datetime.now(timezone.utc))
 
     return (
