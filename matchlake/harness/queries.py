@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.functions import scoring
 from matchlake.functions.innings import innings_to_number
 from matchlake.functions.odds import EVENT_TYPE, with_consensus
 from matchlake.harness import tables as t

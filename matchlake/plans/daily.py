@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +18,9 @@ from pyspark.sql import functions as F
 from matchlake.plans import gold, market, quality, registry, silver
 from matchlake.plans.grading import grade_predictions
 from matchlake.plans.training import Fitted, Preparation, predict_day
+from matchlake.schemas import RUNS
 from matchlake.sources import landing
 from matchlake.sources.lake import Lake, append, read_or_empty, replace_partitions
-from matchlake.schemas import RUNS
 
 BRONZE_DOCUMENTS = {
     "schedule": landing.schedule_envelope,
@@ -33,8 +34,6 @@ REJECTS = "_rejects"
 
 
 def _documents(spark: SparkSession, landing_root: str, table: str) -> DataFrame:
-    from pyspark.errors import AnalysisException
-
     try:
         return landing.read_documents(spark, f"{landing_root}/{table}")
     except AnalysisException as error:
@@ -47,7 +46,8 @@ def land_days(lake: Lake, landing_root: str, days: DataFrame, landed_at: datetim
     """Rewrite the raw partitions of the given days (column `date`, text) from the landed files.
 
     Files that are not JSON are set aside, and do not stop the rest. Boxscores and plays
-    are kept for the scheduled matches of those days only.
+    are kept for the scheduled matches of those days only. The list of days is broadcast:
+    the calendar bounds it.
     """
     stamp = F.lit(landed_at)
     for table, to_envelope in BRONZE_DOCUMENTS.items():

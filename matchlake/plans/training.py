@@ -13,8 +13,8 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.operators.quantiles import exact_medians
@@ -56,8 +56,12 @@ def fit_preparation(
 
     A feature without any training value is left out; a constant one is divided by 1.
     """
-    numbers = train.select(*[F.col(c).cast("int").alias(c) if t == "boolean" else F.col(c)
-                             for c, t in train.select(*features).dtypes])
+    numbers = train.select(
+        *[
+            F.col(c).cast("int").alias(c) if kind == "boolean" else F.col(c)
+            for c, kind in train.select(*features).dtypes
+        ]
+    )
     medians = {c: m for c, m in exact_medians(numbers, features).items() if m is not None}
     if not medians:
         raise ValueError("no training rows")
@@ -107,7 +111,9 @@ def _training(split: DataFrame, target: str) -> DataFrame:
     return train.withColumn("label", F.col(target).cast("int").cast("double"))
 
 
-def fit_logistic(split: DataFrame, C: float = LOGISTIC["C"], max_iter: int = LOGISTIC["max_iter"]) -> Fitted:
+def fit_logistic(
+    split: DataFrame, C: float = LOGISTIC["C"], max_iter: int = LOGISTIC["max_iter"]
+) -> Fitted:
     """L2-penalised logistic regression; the penalty is per row, hence the division by n."""
     train = _training(split, WINNER_TARGET)
     prepared = fit_preparation(train)
@@ -159,9 +165,9 @@ def fit_runs_trees(split: DataFrame, **settings) -> Fitted:
     return _fit_trees(split, RUNS_TARGET, GBTRegressor, {**RUNS_TREES, **settings})
 
 
-def feature_importance(df_session, fitted: Fitted) -> DataFrame:
+def feature_importance(spark: SparkSession, fitted: Fitted) -> DataFrame:
     """Features by falling importance."""
-    rows = df_session.createDataFrame(fitted.importances(), "feature string, importance double")
+    rows = spark.createDataFrame(fitted.importances(), "feature string, importance double")
     return rows.orderBy(F.desc("importance"), "feature")
 
 
@@ -187,6 +193,3 @@ def predict_day(
             "predicted_at": predicted_at.cast("timestamp"),
         }
     ).select(*PREDICTION_COLUMNS)
-
-
-TREE_MODELS = (GBTClassificationModel, GBTRegressionModel)
