@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Inputs whose scans are below this fit one task even if every row shares a key.
+# Inputs whose scans are below this fit one task even if every row shares a key: rows that
+# carry a unique match key take a byte or more each, so this is tens of millions at most.
 SMALL_INPUT_BYTES = 32 * 1024 * 1024
 # Largest group a single window task is asked to sort.
 MAX_GROUP_ROWS = 5_000_000

@@ -6,8 +6,9 @@ across stages and a lost executor costs at most one stage.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import GBTClassificationModel
@@ -42,31 +43,30 @@ def _documents(spark: SparkSession, landing_root: str, table: str) -> DataFrame:
         return spark.createDataFrame([], "date string, name string, document string")
 
 
-def land_days(lake: Lake, landing_root: str, days: DataFrame, landed_at: datetime) -> None:
-    """Rewrite the raw partitions of the given days (column `date`, text) from the landed files.
+def land_days(lake: Lake, landing_root: str, days: Sequence[str], landed_at: datetime) -> None:
+    """Rewrite the raw partitions of the given days from the landed files.
 
-    Files that are not JSON are set aside, and do not stop the rest. Boxscores and plays
-    are kept for the scheduled matches of those days only. The list of days is broadcast:
-    the calendar bounds it.
+    The days are listed as values, so that only their folders are read, however much has
+    landed before. Files that are not JSON are set aside, and do not stop the rest.
+    Boxscores and plays are kept for the scheduled matches of those days only.
     """
     stamp = F.lit(landed_at)
+    wanted = F.col("date").isin(list(days))
     for table, to_envelope in BRONZE_DOCUMENTS.items():
-        documents = _documents(lake.spark, landing_root, table).join(
-            F.broadcast(days), "date", "left_semi"
+        good, bad = landing.split_rejects(
+            _documents(lake.spark, landing_root, table).filter(wanted)
         )
-        good, bad = landing.split_rejects(documents)
         rows = to_envelope(good, stamp)
         if table in PER_MATCH_TABLES:
-            scheduled = lake.bronze("schedule").join(F.broadcast(days), "date", "left_semi")
-            rows = landing.for_scheduled(rows, scheduled)
+            rows = landing.for_scheduled(rows, lake.bronze("schedule").filter(wanted))
         replace_partitions(rows, lake.path("bronze", table))
         set_aside = bad.select(F.lit(table).alias("source"), "name", "document", "date")
         replace_partitions(set_aside, lake.path("bronze", f"{REJECTS}/{table}"))
 
 
-def days_before(spark: SparkSession, day: date, days: int = landing.REINGEST_DAYS) -> DataFrame:
-    listed = landing.reingest_days(F.lit(day), days).cast("array<string>")
-    return spark.range(1).select(F.explode(listed).alias("date"))
+def days_before(day: date, days: int = landing.REINGEST_DAYS) -> list[str]:
+    """The target day and the days before it, oldest first."""
+    return [(day - timedelta(days=back)).isoformat() for back in reversed(range(days))]
 
 
 def build_silver(lake: Lake) -> None:
@@ -193,7 +193,7 @@ def daily_batch(
     serving: Serving | None = None,
 ) -> DataFrame:
     """One day's run over landed files; returns the graded outcomes."""
-    land_days(lake, landing_root, days_before(lake.spark, day), now)
+    land_days(lake, landing_root, days_before(day), now)
     build_silver(lake)
     build_gold(lake)
     score_day(lake, day, now, serving)

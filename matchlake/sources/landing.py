@@ -92,13 +92,17 @@ def transactions_envelope(documents: DataFrame, landed_at: Column) -> DataFrame:
 
 
 def odds_envelope(documents: DataFrame, landed_at: Column) -> DataFrame:
+    event = F.from_json(
+        "payload", "struct<id:string,commence_time:string,home_team:string,away_team:string>"
+    )
+    events = odds_events(documents).withColumn("event", event)
     keys = {
-        "odds_event_id": _field("id"),
-        "commence_time": _field("commence_time"),
-        "home_team": _field("home_team"),
-        "away_team": _field("away_team"),
+        "odds_event_id": F.col("event.id"),
+        "commence_time": F.col("event.commence_time"),
+        "home_team": F.col("event.home_team"),
+        "away_team": F.col("event.away_team"),
     }
-    return envelope(odds_events(documents), keys, landed_at, stamp="fetched_at")
+    return envelope(events, keys, landed_at, stamp="fetched_at")
 
 
 def for_scheduled(landed: DataFrame, schedule: DataFrame) -> DataFrame:

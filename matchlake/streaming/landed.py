@@ -31,7 +31,7 @@ def land_new_files(
     )
 
     def rewrite(batch: DataFrame, _batch_id: int) -> None:
-        days = batch.distinct()
+        days = [row["date"] for row in batch.distinct().collect()]  # bounded by the calendar
         land_days(lake, landing_root, days, landed_at or datetime.now(timezone.utc))
 
     return (

@@ -73,7 +73,7 @@ def world(spark, tmp_path_factory):
         _land(landing_root, day, final=day != last)
     _write(landing_root, "schedule", last, "broken", '{"dates": [')
     lake = Lake(spark, str(root / "lake"))
-    daily.land_days(lake, str(landing_root), daily.days_before(spark, last, N_DAYS), NOW)
+    daily.land_days(lake, str(landing_root), daily.days_before(last, N_DAYS), NOW)
     daily.build_silver(lake)
     daily.build_gold(lake)
     return lake, landing_root, last
@@ -88,6 +88,14 @@ def test_landed_rows(world):
     assert [(r["name"], str(r["date"])) for r in rejected] == [("broken", str(last))]
 
 
+def test_only_the_wanted_folders_are_read(world):
+    lake, landing_root, last = world
+    assert daily.days_before(date(2024, 3, 1)) == ["2024-02-28", "2024-02-29", "2024-03-01"]
+    wanted = daily._documents(lake.spark, str(landing_root), "schedule").filter(f"date IN ('{last}')")
+    assert wanted.count() == 2
+    assert "PartitionFilters: [isnotnull(date" in wanted._jdf.queryExecution().executedPlan().toString()
+
+
 def test_typed_and_derived_rows(world):
     lake, _, _ = world
     n = N_DAYS * PER_DAY
