@@ -245,6 +245,12 @@ GROUP BY ALL
 """
 
 
+_HOT_ORDERS = """
+(SELECT *, CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey END AS bucket,
+        CAST(o_orderdate AS DATE) AS day FROM orders) AS o
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "team_rolling": oracle(_ROLLING, "rolling_v"),
@@ -439,10 +445,24 @@ def oracle_sql() -> dict[str, str]:
             """,
             "predictions_v",
         ),
-        "latest_wins_hot": """
-            SELECT DISTINCT ON (bucket) bucket, o_orderkey
-            FROM (SELECT *, CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey END AS bucket FROM orders)
-            ORDER BY bucket, o_orderdate DESC, o_orderkey DESC
+        "latest_wins_hot": f"""
+            SELECT DISTINCT ON (bucket) bucket, o_orderkey FROM {_HOT_ORDERS}
+            ORDER BY bucket, day DESC, o_orderkey DESC
+            """,
+        "trailing_hot": f"""
+            SELECT o_orderkey, bucket, CAST(sum(o_orderkey) OVER w AS BIGINT) AS key_sum,
+                   count(*) OVER w AS n,
+                   lag(o_orderkey) OVER (PARTITION BY bucket ORDER BY day, o_orderkey) AS previous
+            FROM {_HOT_ORDERS}
+            WINDOW w AS (PARTITION BY bucket ORDER BY day, o_orderkey
+                         ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)
+            """,
+        "asof_hot": f"""
+            SELECT o.o_orderkey, f.found
+            FROM {_HOT_ORDERS}
+            ASOF LEFT JOIN (SELECT bucket, day, max(o_orderkey) AS found FROM {_HOT_ORDERS}
+                            WHERE o_orderstatus = 'F' GROUP BY bucket, day) AS f
+              ON f.bucket = o.bucket AND f.day <= o.day
             """,
         "innings_parse": """
             SELECT ip, count(*) AS n,

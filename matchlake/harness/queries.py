@@ -13,7 +13,7 @@ from matchlake.harness import tables as t
 from matchlake.operators.asof import asof_join
 from matchlake.operators.latest import latest_wins
 from matchlake.operators.quantiles import exact_medians
-from matchlake.operators.trailing import Strategy
+from matchlake.operators.trailing import Frames, Strategy, trailing
 from matchlake.plans import (
     attribution,
     gold,
@@ -222,15 +222,48 @@ def latest_wins_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(newest.select("game_pk", "winner_model_run_id", "predicted_home_win_prob"))
 
 
-def latest_wins_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Newest order per customer group; one group holds about a third of all orders."""
-    orders = t.read(spark, sf_dir, "orders").withColumn(
-        "bucket", F.when(F.col("o_custkey") % 3 == 0, F.lit(0)).otherwise(F.col("o_custkey"))
+def _hot_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by customer group; one group holds about a third of them."""
+    return t.read(spark, sf_dir, "orders").select(
+        F.when(F.col("o_custkey") % 3 == 0, F.lit(0)).otherwise(F.col("o_custkey")).alias("bucket"),
+        F.to_date("o_orderdate").alias("day"),
+        "o_orderkey",
+        "o_orderstatus",
     )
-    newest = latest_wins(orders, ["bucket"], "o_orderdate", ["o_orderkey"])
+
+
+def latest_wins_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    newest = latest_wins(_hot_orders(spark, sf_dir), ["bucket"], "day", ["o_orderkey"])
     return newest.select("bucket", "o_orderkey")
 
 
+def trailing_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trailing sums and previous keys with the hot group cut into blocks."""
+
+    def measures(frames: Frames):
+        last = frames.last(20)
+        return {
+            "key_sum": F.sum("o_orderkey").over(last),
+            "n": F.count(F.lit(1)).over(last),
+            "previous": F.lag("o_orderkey").over(frames.ordered),
+        }
+
+    rolled = trailing(
+        _hot_orders(spark, sf_dir), ["bucket"], ["day", "o_orderkey"], 20, measures, BLOCKS
+    )
+    return rolled.select("o_orderkey", "bucket", "key_sum", "n", "previous")
+
+
+def asof_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each order the newest finished order of its group up to its day."""
+    orders = _hot_orders(spark, sf_dir)
+    finished = orders.filter("o_orderstatus = 'F'").withColumnRenamed("o_orderkey", "found")
+    joined = asof_join(
+        orders, finished, "bucket", "bucket", "day", "day", {"found": "found"}, tiebreak="found"
+    )
+    return joined.select("o_orderkey", "found")
+
+
 def innings_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = t.read(spark, sf_dir, "lineitem")
     text = F.expr(
