@@ -6,16 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import decontamination, simhash, token_files
+from matchlake.llm import decontamination, iblt, language_id, line_dedup, pieces, simhash, token_files, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": decontamination.op1_decontamination,
+        "op2_toxicity": toxicity.op2_toxicity,
+        "op4_line_dedup": line_dedup.op4_line_dedup,
+        "op5_sentencepiece": pieces.op5_sentencepiece,
+        "op6_fingerprints": iblt.op6_fingerprints,
         "op7_simhash": simhash.op7_simhash,
         "op9_token_files": token_files.op9_token_files,
+        "op10_language_id": language_id.op10_language_id,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": decontamination.ORACLE_SQL}
+    return {
+        "op1_decontamination": decontamination.ORACLE_SQL,
+        "op4_line_dedup": line_dedup.ORACLE_SQL,
+    }
