@@ -6,17 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import decontamination, iblt, language_id, line_dedup, pieces, simhash, token_files, toxicity
+from matchlake.llm import (
+    backoff,
+    decontamination,
+    iblt,
+    language_id,
+    licenses,
+    line_dedup,
+    pieces,
+    simhash,
+    token_files,
+    toxicity,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": decontamination.op1_decontamination,
         "op2_toxicity": toxicity.op2_toxicity,
+        "op3_backoff": backoff.op3_backoff,
         "op4_line_dedup": line_dedup.op4_line_dedup,
         "op5_sentencepiece": pieces.op5_sentencepiece,
         "op6_fingerprints": iblt.op6_fingerprints,
         "op7_simhash": simhash.op7_simhash,
+        "op8_licenses": licenses.op8_licenses,
         "op9_token_files": token_files.op9_token_files,
         "op10_language_id": language_id.op10_language_id,
     }
@@ -25,5 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": decontamination.ORACLE_SQL,
+        "op3_backoff": backoff.ORACLE_SQL,
         "op4_line_dedup": line_dedup.ORACLE_SQL,
+        "op8_licenses": licenses.ORACLE_SQL,
     }
