@@ -26,23 +26,26 @@ SEED = 42
 BLOCK = 1 << 16
 
 
-def fingerprint_of(text: str | None, shingle: int) -> int:
-    """The fingerprint as a signed 64-bit number; zero for a text without words."""
+def shingle_hashes(text: str | None, shingle: int, block: int) -> Iterator[np.ndarray]:
+    """The XXH64 of each shingle, as unsigned numbers, in blocks."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
     joined = b" ".join(words)
     ends = list(accumulate(len(word) + 1 for word in words))
     starts = [0, *ends]
-    last = ends[min(shingle, len(words)) - 1 :]
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(last), BLOCK):
-        hashes = b"".join(
-            xxh64_digest(joined[a : b - 1], SEED) for a, b in zip(starts[at : at + BLOCK], last[at : at + BLOCK])
-        )
-        bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
+    last = ends[min(shingle, len(words)) - 1 :] if words else []
+    for at in range(0, len(last), block):
+        pairs = zip(starts[at : at + block], last[at : at + block])
+        yield np.frombuffer(b"".join(xxh64_digest(joined[a : b - 1], SEED) for a, b in pairs), ">u8").astype(np.uint64)
+
+
+def fingerprint_of(text: str | None, shingle: int) -> int:
+    """The fingerprint as a signed 64-bit number; zero for a text without words."""
+    ones, n = np.zeros(64, np.int64), 0
+    for hashes in shingle_hashes(text, shingle, BLOCK):
+        n += len(hashes)
+        bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         ones += bits.sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(last)).tobytes(), "big", signed=True)
+    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big", signed=True)
 
 
 def fingerprint(shingle: int = 3) -> Callable[[Column], Column]:
