@@ -543,7 +543,7 @@ def impute_median(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def impute_median_narrowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The medians by narrowing brackets, as on tables too large for one buffer."""
-    return _medians(spark, sf_dir, direct_rows=100)
+    return _medians(spark, sf_dir, rest_rows=100)
 
 
 def standardize(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from matchlake.functions.innings import innings_to_number
 from matchlake.operators.latest import latest_wins
-from matchlake.operators.sizing import spread_small
 from matchlake.plans import gold
 from matchlake.plans.grading import grade_predictions
 from matchlake.plans.market import consensus_of_quotes
@@ -233,7 +232,7 @@ def landed_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("venue"),
         F.col("day_night").alias("dayNight"),
     )
-    return spread_small(game_versions(spark, sf_dir)).select(
+    return game_versions(spark, sf_dir).select(
         "game_pk",
         F.col("game_date").cast("string").alias("game_date"),
         F.to_json(payload).alias("payload"),
@@ -296,7 +295,7 @@ def landed_boxscores(spark: SparkSession, sf_dir: str) -> DataFrame:
             side("away", [visitor], F.create_map(*pitcher(visitor))),
         ).alias("teams")
     )
-    return spread_small(game_versions(spark, sf_dir)).select(
+    return game_versions(spark, sf_dir).select(
         "game_pk",
         F.to_json(payload).alias("payload"),
         F.col("ingested_on").cast("timestamp").alias("ingested_at"),
@@ -336,7 +335,7 @@ def landed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("user_id") % 10 != 0, team).alias("toTeam"),
     )
     day = F.date_add(F.lit("1995-01-01").cast("date"), _mod("7 * event_id", 2400))
-    return spread_small(versions).select(
+    return versions.select(
         F.col("event_id").alias("transaction_id"),
         day.cast("string").alias("date"),
         F.to_json(payload).alias("payload"),
@@ -373,7 +372,7 @@ def landed_odds(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("markets"),
         )
 
-    priced = spread_small(games(spark, sf_dir)).select(
+    priced = games(spark, sf_dir).select(
         "game_pk",
         F.col("game_date").cast("string").alias("date"),
         F.col("home_team_name").alias("home_team"),
@@ -403,8 +402,8 @@ def landed_odds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schedule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One schedule response per order with two matches; every seventh one is cut off."""
-    orders = spread_small(read(spark, sf_dir, "orders"))
+    """One schedule response per order with two matches, some broken and some odd."""
+    orders = read(spark, sf_dir, "orders")
     day = F.to_date("o_orderdate").cast("string")
 
     def game(k: int) -> Column:
@@ -413,7 +412,7 @@ def schedule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_orderpriority").alias("gameType"),
         )
 
-    response = F.to_json(
+    whole = F.to_json(
         F.struct(
             F.array(
                 F.struct(day.alias("date"), F.array(game(0), game(1)).alias("games")),
@@ -421,13 +420,16 @@ def schedule_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("dates")
         )
     )
-    cut = F.when(F.col("o_orderkey") % 7 == 0, F.expr("substring(response, 1, length(response) - 3)"))
+    # Every seventh response is cut off, every fifth repeats a key, and both may happen.
+    repeated = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit('{"note":1,"note":{"x":2},'), F.substr("response", F.lit(2))))
+    response = F.coalesce(repeated, "response")
+    cut = F.when(F.col("o_orderkey") % 7 == 0, F.left(response, F.length(response) - 3))
     return orders.select(
         F.col("o_orderkey").cast("string").alias("name"),
         day.alias("date"),
-        response.alias("response"),
+        whole.alias("response"),
         "o_orderkey",
-    ).select("name", "date", F.coalesce(cut, F.col("response")).alias("document"))
+    ).select("name", "date", F.coalesce(cut, response).alias("document"))
 
 
 def transaction_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -686,35 +688,49 @@ SELECT venue_id, game_date, venue_park_factor_runs FROM parks_v
 QUALIFY row_number() OVER (PARTITION BY venue_id, game_date ORDER BY game_pk DESC) = 1
 """
 
-ORACLE["features_v"] = """
-SELECT g.game_pk, g.game_date, g.season, g.home_team_id, g.away_team_id, g.venue_id,
-       hr.runs_scored_l10 AS home_runs_scored_l10, hr.runs_allowed_l10 AS home_runs_allowed_l10,
-       hr.win_pct_l10 AS home_win_pct_l10, hr.days_rest AS home_days_rest,
-       ar.runs_scored_l10 AS away_runs_scored_l10, ar.runs_allowed_l10 AS away_runs_allowed_l10,
-       ar.win_pct_l10 AS away_win_pct_l10, ar.days_rest AS away_days_rest,
-       hp.era_l5 AS home_sp_era_l5, hp.k_per_9_l5 AS home_sp_k_per_9_l5,
-       hp.days_rest AS home_sp_days_rest,
-       ap.era_l5 AS away_sp_era_l5, ap.k_per_9_l5 AS away_sp_k_per_9_l5,
-       ap.days_rest AS away_sp_days_rest,
-       hb.bullpen_era_l10 AS home_bullpen_era_l10, hb.bullpen_ip_l3 AS home_bullpen_ip_l3,
-       ab.bullpen_era_l10 AS away_bullpen_era_l10, ab.bullpen_ip_l3 AS away_bullpen_ip_l3,
-       CAST(ha.il_events_l30 AS BIGINT) AS home_il_events_l30,
-       CAST(aa.il_events_l30 AS BIGINT) AS away_il_events_l30,
-       pk.venue_park_factor_runs, g.day_night = 'day' AS is_day_game,
-       CAST(extract(month FROM g.game_date) AS INTEGER) AS month, g.game_type AS season_type,
-       g.home_win AS target_home_win, g.total_runs AS target_total_runs
-FROM games_v AS g
-LEFT JOIN rolling_v AS hr ON hr.game_pk = g.game_pk AND hr.team_id = g.home_team_id
-LEFT JOIN rolling_v AS ar ON ar.game_pk = g.game_pk AND ar.team_id = g.away_team_id
-LEFT JOIN bullpen_v AS hb ON hb.game_pk = g.game_pk AND hb.team_id = g.home_team_id
-LEFT JOIN bullpen_v AS ab ON ab.game_pk = g.game_pk AND ab.team_id = g.away_team_id
-LEFT JOIN roster_v AS ha ON ha.team_id = g.home_team_id AND ha.game_date = g.game_date
-LEFT JOIN roster_v AS aa ON aa.team_id = g.away_team_id AND aa.game_date = g.game_date
-ASOF LEFT JOIN form_daily_v AS hp
-  ON hp.pitcher_id = g.home_probable_pitcher_id AND hp.game_date <= g.game_date
-ASOF LEFT JOIN form_daily_v AS ap
-  ON ap.pitcher_id = g.away_probable_pitcher_id AND ap.game_date <= g.game_date
-ASOF LEFT JOIN parks_daily_v AS pk ON pk.venue_id = g.venue_id AND pk.game_date <= g.game_date
+# What a match knows of each of its sides, and where it comes from.
+_SIDE_FEATURES = {
+    "runs_scored_l10": "rolling", "runs_allowed_l10": "rolling", "win_pct_l10": "rolling", "days_rest": "rolling",
+    "sp_era_l5": "form.era_l5", "sp_k_per_9_l5": "form.k_per_9_l5", "sp_days_rest": "form.days_rest",
+    "bullpen_era_l10": "bullpen", "bullpen_ip_l3": "bullpen", "il_events_l30": "moves",
+}
+
+
+def _pivoted() -> str:
+    """One column for each side and feature, from rows of one side."""
+    return ", ".join(
+        f"any_value({source if '.' in source else f'{source}.{name}'}) FILTER (side = '{side}') AS {side}_{name}"
+        for side in ("home", "away")
+        for name, source in _SIDE_FEATURES.items()
+    )
+
+
+# Rows of one side each, then the newest state up to the day by arg_max, then a pivot.
+ORACLE["features_v"] = f"""
+WITH sides AS (
+    SELECT game_pk, game_date, 'home' AS side, home_team_id AS team_id, home_probable_pitcher_id AS starter FROM games_v
+    UNION ALL
+    SELECT game_pk, game_date, 'away', away_team_id, away_probable_pitcher_id FROM games_v),
+forms AS (
+    SELECT s.game_pk, s.side, arg_max(f, f.game_date) AS form
+    FROM sides AS s JOIN form_daily_v AS f ON s.starter = f.pitcher_id AND f.game_date <= s.game_date GROUP BY ALL),
+parks AS (
+    SELECT m.game_pk, arg_max({{'factor': v.venue_park_factor_runs}}, v.game_date) AS park
+    FROM games_v AS m JOIN parks_daily_v AS v ON m.venue_id = v.venue_id AND v.game_date <= m.game_date GROUP BY ALL),
+moves AS (SELECT team_id, game_date, CAST(il_events_l30 AS BIGINT) AS il_events_l30 FROM roster_v),
+folded AS (
+    SELECT game_pk, {_pivoted()}
+    FROM sides
+    LEFT JOIN rolling_v AS rolling USING (game_pk, team_id)
+    LEFT JOIN bullpen_v AS bullpen USING (game_pk, team_id)
+    LEFT JOIN moves USING (team_id, game_date)
+    LEFT JOIN forms USING (game_pk, side)
+    GROUP BY game_pk)
+SELECT folded.*, game_date, season, home_team_id, away_team_id, venue_id,
+    parks.park.factor AS venue_park_factor_runs, day_night = 'day' AS is_day_game,
+    CAST(month(game_date) AS INTEGER) AS month, game_type AS season_type,
+    home_win AS target_home_win, total_runs AS target_total_runs
+FROM games_v JOIN folded USING (game_pk) LEFT JOIN parks USING (game_pk)
 """
 
 ORACLE["outcomes_v"] = """

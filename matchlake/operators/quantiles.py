@@ -2,32 +2,36 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many values are handed to one task or sorted to one result.
-DIRECT_ROWS = 1_000_000
+# Values of a column that are left to be sorted, after narrowing.
+REST_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
 
 
 @dataclass
 class _Target:
-    """A 0-based rank in a column, known to lie strictly between `low` and `high`."""
+    """A 0-based rank among the `rows` values of a column that lie strictly between `low` and `high`.
+
+    None is no bound, so infinities are values like others.
+    """
 
     column: str
     rank: int
     rows: int
-    low: float = -math.inf
-    high: float = math.inf
+    low: float | None = None
+    high: float | None = None
     value: float | None = None
 
     def inside(self) -> Column:
         v = F.col(self.column)
-        return F.when((v > F.lit(self.low)) & (v < F.lit(self.high)), v)
+        above = F.lit(True) if self.low is None else v > F.lit(self.low)
+        below = F.lit(True) if self.high is None else v < F.lit(self.high)
+        return F.when(above & below, v)
 
     def bracket(self) -> Column:
         share, margin = (self.rank + 0.5) / self.rows, 2.0 / SKETCH_ACCURACY
@@ -55,41 +59,52 @@ class _Target:
             self.rank, self.rows = self.rank - through_high, self.rows - through_high
 
 
+def _of_ranks(doubles: DataFrame, targets: Sequence[_Target]) -> dict[int, float]:
+    """The value of each target: its values counted, the counts summed up in order, and the rank looked up.
+
+    Equal values are one row, so ties cost nothing; a target has at most its `rows` of them.
+    """
+    values = F.array(*[
+        F.struct(F.lit(i).alias("target"), F.lit(t.rank).alias("rank"), t.inside().alias("v"))
+        for i, t in enumerate(targets)
+    ])
+    counted = doubles.select(F.inline(values)).dropna().groupBy("target", "rank", "v").count()
+    through = Window.partitionBy("target").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counted.withColumn("through", F.sum("count").over(through))
+    found = placed.filter((F.col("rank") < F.col("through")) & (F.col("rank") >= F.col("through") - F.col("count")))
+    return {row["target"]: row["v"] for row in found.collect()}
+
+
 def exact_medians(
-    df: DataFrame, columns: Sequence[str], direct_rows: int = DIRECT_ROWS
+    df: DataFrame, columns: Sequence[str], rest_rows: int = REST_ROWS
 ) -> dict[str, float | None]:
     """Median of each column, the mean of the two middle values for an even count.
 
-    The built-in median keeps every distinct value of a column in one buffer, so it
-    serves only columns with a counted small number of values. The others are narrowed
-    together: each round takes a bracket around the middle ranks from a quantile
-    sketch, verifies it by counting, and keeps the values strictly inside it.
+    NULL and NaN are no values; infinities are. All columns are worked on together. One pass counts
+    the values, and while a middle rank lies among more than `rest_rows` values, a round takes a bracket
+    around it from a quantile sketch and counts the values at its ends. A last pass counts the
+    values inside each bracket and picks the one of the rank.
     """
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    doubles = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
     counts = doubles.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
-    medians: dict[str, float | None] = {c: None for c in columns}
-    small = [c for c in columns if 0 < counts[c] <= direct_rows]
-    if small:
-        medians.update(doubles.agg(*[F.median(c).alias(c) for c in small]).first().asDict())
-
-    large = [c for c in columns if counts[c] > direct_rows]
-    targets = {
-        c: [_Target(c, (counts[c] - 1) // 2, counts[c]), _Target(c, counts[c] // 2, counts[c])]
-        for c in large
+    pairs = {
+        c: [_Target(c, (n - 1) // 2, n), _Target(c, n // 2, n)] for c, n in counts.items() if n
     }
-    every = [target for pair in targets.values() for target in pair]
-    while open_targets := [t for t in every if t.value is None and t.rows > direct_rows]:
-        brackets = doubles.agg(*[t.bracket().alias(str(i)) for i, t in enumerate(open_targets)])
-        brackets = brackets.first()
+    every = [target for pair in pairs.values() for target in pair]
+    while wide := [t for t in every if t.value is None and t.rows > rest_rows]:
+        brackets = doubles.agg(*[t.bracket().alias(str(i)) for i, t in enumerate(wide)]).first()
         counted = doubles.agg(
-            *[t.counts(*b).alias(str(i)) for i, (t, b) in enumerate(zip(open_targets, brackets))]
+            *[t.counts(*b).alias(str(i)) for i, (t, b) in enumerate(zip(wide, brackets))]
         ).first()
-        for target, bracket, seen in zip(open_targets, brackets, counted, strict=True):
+        for target, bracket, seen in zip(wide, brackets, counted, strict=True):
             target.narrow(*bracket, seen)
-    for target in every:
-        if target.value is None:
-            rest = doubles.select(target.inside().alias("v")).dropna().orderBy("v")
-            target.value = rest.offset(target.rank).first()["v"]
-    for column, (lower, upper) in targets.items():
-        medians[column] = (lower.value + upper.value) / 2
+    rest = [t for t in every if t.value is None]
+    if rest:
+        found = _of_ranks(doubles, rest)
+        for i, target in enumerate(rest):
+            target.value = found[i]
+    medians: dict[str, float | None] = dict.fromkeys(columns)
+    for column, (lower, upper) in pairs.items():
+        same = lower.value == upper.value  # keeps an infinite median from becoming NaN
+        medians[column] = lower.value if same else (lower.value + upper.value) / 2
     return medians

@@ -1,11 +1,11 @@
 """Leak-free trailing row frames that stay parallel when one entity is huge.
 
 A trailing measure of a row sees at most `reach` earlier rows of its entity and
-never the row itself. The plain plan is one window partitioned by the entity.
-That puts an entity into one task, so when a size check says an entity (or, with
-no entity, the table) is too big, the rows are sorted across the cluster by
-(entity, order), cut into equal blocks, and each block also receives the last
-`reach` rows of the block before it.
+never the row itself. The plain plan is one window partitioned by the entity, which
+puts an entity into one task. The block plan sorts the rows across the cluster by
+(entity, order), cuts them into equal blocks, and gives each block also the last
+`reach` rows of the block before it. Which plan is used is an argument; a frame over the
+whole table, without entity, is always in blocks.
 """
 
 from __future__ import annotations
@@ -16,26 +16,27 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from matchlake.operators.sizing import groups_fit_one_task
 from matchlake.session import materialise
 
 
 @dataclass(frozen=True)
 class Strategy:
-    """How ordered work is laid out: auto (decide by size), plain (a task per entity) or blocks."""
+    """How ordered work is laid out: plain (an entity to a task) or blocks (of equal numbers of rows).
 
-    kind: str = "auto"
+    Plain is right where the calendar bounds an entity: a team, a pitcher or a venue has a few rows
+    a day. Blocks are right for any entity.
+    """
+
+    kind: str = "plain"
     block_rows: int = 1_000_000
 
-    def splits(self, df: DataFrame, entity: Sequence[str]) -> bool:
-        if self.kind == "auto":
-            return not groups_fit_one_task(df, list(entity))
+    def splits(self, entity: Sequence[str]) -> bool:
         if self.kind not in ("plain", "blocks"):
             raise ValueError(f"unknown strategy: {self.kind}")
-        return self.kind == "blocks"
+        return self.kind == "blocks" or not entity
 
 
-AUTO = Strategy()
+PLAIN = Strategy()
 
 # monotonically_increasing_id keeps the row position in its low 33 bits.
 _POSITION_BITS = 33
@@ -61,14 +62,14 @@ def trailing(
     order: Sequence[str],
     reach: int,
     measures: Measures,
-    strategy: Strategy = AUTO,
+    strategy: Strategy = PLAIN,
 ) -> DataFrame:
     """Append trailing measures to `df`.
 
     `order` must be a total order inside an entity. `reach` is the longest frame
     (or lag) the measures use.
     """
-    if not strategy.splits(df, entity):
+    if not strategy.splits(entity):
         return _measured(df, entity, order, measures)
     block_rows = max(strategy.block_rows, reach)
     blocked = with_blocks(df, [*entity, *order], reach, block_rows)
@@ -133,7 +134,7 @@ def running_min(
     order: Sequence[str],
     value: str,
     output: str,
-    strategy: Strategy = AUTO,
+    strategy: Strategy = PLAIN,
 ) -> DataFrame:
     """Append the smallest `value` among all earlier rows of the entity, NULL on its first row.
 
@@ -145,7 +146,7 @@ def running_min(
         ordered = Window.partitionBy(*keys).orderBy(*by)
         return ordered.rowsBetween(Window.unboundedPreceding, -1)
 
-    if not strategy.splits(df, entity):
+    if not strategy.splits(entity):
         return df.withColumn(output, F.min(value).over(earlier(entity, order)))
     blocked = with_blocks(df, [*entity, *order], 0, strategy.block_rows).drop("_halo")
     keys = ["_block", *entity]

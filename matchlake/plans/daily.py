@@ -10,18 +10,18 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.regression import GBTRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.plans import gold, market, quality, registry, silver
 from matchlake.plans.grading import grade_predictions
 from matchlake.plans.training import Fitted, Preparation, predict_day
 from matchlake.schemas import RUNS
+from matchlake.session import materialise, release_stored
 from matchlake.sources import landing
-from matchlake.sources.lake import Lake, append, read_or_empty, replace_partitions
+from matchlake.sources.lake import Lake, append, drop_partitions, read_or_empty, replace_partitions
 
 BRONZE_DOCUMENTS = {
     "schedule": landing.schedule_envelope,
@@ -34,34 +34,61 @@ PER_MATCH_TABLES = ("boxscores", "plays")
 REJECTS = "_rejects"
 
 
-def _documents(spark: SparkSession, landing_root: str, table: str) -> DataFrame:
-    try:
-        return landing.read_documents(spark, f"{landing_root}/{table}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "date string, name string, document string")
+KEYS = {
+    "schedule": "game_pk", "boxscores": "game_pk", "plays": "game_pk",
+    "transactions": "transaction_id", "odds": "odds_event_id",
+}
 
 
 def land_days(lake: Lake, landing_root: str, days: Sequence[str], landed_at: datetime) -> None:
     """Rewrite the raw partitions of the given days from the landed files.
 
-    The days are listed as values, so that only their folders are read, however much has
-    landed before. Files that are not JSON are set aside, and do not stop the rest.
-    Boxscores and plays are kept for the scheduled matches of those days only.
+    Only the folders of those days are listed and read, each file once. What is not JSON, or has no
+    key, is set aside in the reject table and stops nothing else; the rejects of the days are
+    those of this landing. Boxscores and plays are kept for the scheduled matches of those days only.
     """
+    if not days:
+        return
     stamp = F.lit(landed_at)
     wanted = F.col("date").isin(list(days))
     for table, to_envelope in BRONZE_DOCUMENTS.items():
-        good, bad = landing.split_rejects(
-            _documents(lake.spark, landing_root, table).filter(wanted)
+        documents = landing.read_documents(lake.spark, f"{landing_root}/{table}", days)
+        good = landing.is_json(F.col("document"))
+        if table in PER_MATCH_TABLES:
+            good = good & F.col("name").try_cast("long").isNotNull()
+        tagged = materialise(documents.withColumn("good", good))
+        bad = tagged.filter(~F.col("good")).select("name", "document", "date")
+        rows = to_envelope(tagged.filter("good").drop("good"), stamp)
+        keyless = rows.filter(F.col(KEYS[table]).isNull())
+        bad = bad.unionByName(
+            keyless.select(F.lit(None).cast("string").alias("name"), F.col("payload").alias("document"), "date")
         )
-        rows = to_envelope(good, stamp)
+        rows = rows.filter(F.col(KEYS[table]).isNotNull())
         if table in PER_MATCH_TABLES:
             rows = landing.for_scheduled(rows, lake.bronze("schedule").filter(wanted))
         replace_partitions(rows, lake.path("bronze", table))
-        set_aside = bad.select(F.lit(table).alias("source"), "name", "document", "date")
-        replace_partitions(set_aside, lake.path("bronze", f"{REJECTS}/{table}"))
+        rejects = lake.path("bronze", f"{REJECTS}/{table}")
+        drop_partitions(lake.spark, rejects, days)
+        replace_partitions(bad.withColumn("source", F.lit(table)), rejects)
+
+
+def backfill(
+    lake: Lake, landing_root: str, first: int, last: int, landed_at: datetime, force: bool = False
+) -> list[str]:
+    """Land every day with a match of an inclusive range of seasons; returns the days that were landed.
+
+    Days whose schedule partition is stored already are skipped unless forced, so a broken backfill
+    goes on where it stopped: days are landed in order, a season at a time.
+    """
+    landed = []
+    for season in range(first, last + 1):
+        days = landing.days_of_seasons(lake.spark, f"{landing_root}/seasons", season, season)
+        stored = lake.bronze("schedule").select(F.col("date").try_cast("date").alias("game_date"))
+        pending = landing.pending_days(days, stored, force).orderBy("game_date")
+        wanted = [row["game_date"].isoformat() for row in pending.collect()]  # at most the days of a year
+        land_days(lake, landing_root, wanted, landed_at)
+        landed += wanted
+    return landed
 
 
 def days_before(day: date, days: int = landing.REINGEST_DAYS) -> list[str]:
@@ -71,7 +98,7 @@ def days_before(day: date, days: int = landing.REINGEST_DAYS) -> list[str]:
 
 def build_silver(lake: Lake) -> None:
     games = lake.store(silver.games(lake.bronze("schedule")), "silver", "games")
-    boxscores = lake.bronze("boxscores")
+    boxscores = materialise(silver.parse_boxscores(lake.bronze("boxscores")))
     lake.store(silver.team_game_stats(boxscores), "silver", "team_game_stats")
     lake.store(silver.pitcher_game_stats(boxscores), "silver", "pitcher_game_stats")
     lake.store(silver.transactions(lake.bronze("transactions")), "silver", "transactions")
@@ -197,4 +224,6 @@ def daily_batch(
     build_silver(lake)
     build_gold(lake)
     score_day(lake, day, now, serving)
-    return grade(lake)
+    outcomes = grade(lake)
+    release_stored(lake.spark)  # all that is left is in the lake
+    return outcomes

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from matchlake.operators.asof import asof_join
 from matchlake.operators.sides import fold_sides, unpivot_sides
-from matchlake.operators.trailing import AUTO, Frames, Strategy, trailing
+from matchlake.operators.trailing import PLAIN, Frames, Strategy, trailing
 
 FINAL = "Final"
 
@@ -64,7 +64,7 @@ def team_games(games: DataFrame, guard_status: bool = True) -> DataFrame:
     return unpivot_sides(games, ["game_pk", "game_date", "status"], home, away)
 
 
-def team_rolling(games: DataFrame, guard_status: bool = True, strategy: Strategy = AUTO) -> DataFrame:
+def team_rolling(games: DataFrame, guard_status: bool = True, strategy: Strategy = PLAIN) -> DataFrame:
     """Runs scored and allowed, win share and rest of each team going into each match.
 
     Frames count rows: a match that is not Final takes a slot and adds nothing.
@@ -94,7 +94,7 @@ def team_rolling(games: DataFrame, guard_status: bool = True, strategy: Strategy
     )
 
 
-def pitcher_form(games: DataFrame, pitchers: DataFrame, strategy: Strategy = AUTO) -> DataFrame:
+def pitcher_form(games: DataFrame, pitchers: DataFrame, strategy: Strategy = PLAIN) -> DataFrame:
     """Earned runs and strikeouts per nine innings over a starter's previous starts."""
 
     def measures(frames: Frames) -> dict[str, Column]:
@@ -119,7 +119,7 @@ def pitcher_form(games: DataFrame, pitchers: DataFrame, strategy: Strategy = AUT
     )
 
 
-def bullpen_form(games: DataFrame, pitchers: DataFrame, strategy: Strategy = AUTO) -> DataFrame:
+def bullpen_form(games: DataFrame, pitchers: DataFrame, strategy: Strategy = PLAIN) -> DataFrame:
     """Relief earned-run rate and recent relief workload of each team."""
     relief = (
         pitchers.filter(~F.col("is_starter"))
@@ -157,7 +157,7 @@ def bullpen_form(games: DataFrame, pitchers: DataFrame, strategy: Strategy = AUT
     )
 
 
-def park_factors(games: DataFrame, strategy: Strategy = AUTO) -> DataFrame:
+def park_factors(games: DataFrame, strategy: Strategy = PLAIN) -> DataFrame:
     """Run scoring at a venue relative to the league, from earlier Final matches only."""
     played = games.filter((F.col("status") == FINAL) & F.col("total_runs").isNotNull()).select(
         "game_pk", "game_date", "venue_id", "total_runs"
@@ -279,7 +279,7 @@ def assemble_features(
 
 
 def build_features(
-    games: DataFrame, pitchers: DataFrame, transactions: DataFrame, strategy: Strategy = AUTO
+    games: DataFrame, pitchers: DataFrame, transactions: DataFrame, strategy: Strategy = PLAIN
 ) -> DataFrame:
     """The feature table in one lazy plan, without storing the intermediates."""
     return assemble_features(

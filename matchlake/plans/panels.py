@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from matchlake.functions import display, scoring
 from matchlake.operators.bins import equal_width_bin, ladder
 from matchlake.operators.reshape import comparison_rows, melt
-from matchlake.operators.sizing import MAX_INLINE_KEYS
 
 # Confidence tiers, upper edges included.
 TIER_EDGES = [0.55, 0.60, 0.65, 0.70]
@@ -29,10 +28,8 @@ def by_keys(df: DataFrame, column: str, keys: Sequence | DataFrame) -> DataFrame
     """Rows whose key is in a list, or in a one-column frame."""
     if isinstance(keys, DataFrame):
         return df.join(keys.select(F.col(keys.columns[0]).alias(column)), column, "left_semi")
-    if len(keys) > MAX_INLINE_KEYS:
-        listed = df.sparkSession.createDataFrame([(k,) for k in keys], [column])
-        return df.join(listed, column, "left_semi")
-    return df.filter(F.col(column).isin(list(keys)))
+    listed = df.sparkSession.createDataFrame([(k,) for k in keys], f"`{column}` {df.schema[column].dataType.simpleString()}")
+    return df.join(listed, column, "left_semi")
 
 
 def games_on(games: DataFrame, predictions: DataFrame, day: Column) -> DataFrame:

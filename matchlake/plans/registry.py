@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from matchlake.operators.latest import latest_wins
 from matchlake.operators.reshape import split_prefix
-from matchlake.operators.trailing import AUTO, Strategy, running_min
+from matchlake.operators.trailing import PLAIN, Strategy, running_min
 from matchlake.plans.splits import SPLITS
 from matchlake.schemas import RUNS
 from matchlake.sources.lake import append
@@ -86,7 +86,7 @@ def replay_gate(
     runs: DataFrame,
     metric: str,
     lower_is_better: bool = True,
-    strategy: Strategy = AUTO,
+    strategy: Strategy = PLAIN,
 ) -> DataFrame:
     """The gate applied to a whole run history.
 

@@ -12,7 +12,7 @@ from matchlake.operators.latest import latest_wins
 AVAILABILITY_CODES = ["IL10", "IL60", "IL15", "SC", "RA", "DFA"]
 
 # Payload shapes. Leaves are strings, because the feeds mix numbers and quoted
-# numbers; the select that follows casts them.
+# numbers; the select that follows casts them, and a text that is no number gives NULL.
 _REF = "struct<id:string,name:string>"
 _PERSON = "struct<id:string,fullName:string>"
 _GAME_SIDE = f"struct<team:{_REF},score:string,probablePitcher:{_PERSON}>"
@@ -28,11 +28,12 @@ _PITCHING = (
     "struct<inningsPitched:string,hits:string,runs:string,earnedRuns:string,"
     "baseOnBalls:string,strikeOuts:string,numberOfPitches:string>"
 )
-_LINE_SIDE = f"struct<team:{_REF},teamStats:struct<batting:{_BATTING},fielding:struct<errors:string>>>"
 _PLAYER = f"struct<person:{_PERSON},stats:struct<pitching:{_PITCHING}>>"
-_PITCHING_SIDE = f"struct<team:{_REF},pitchers:array<string>,players:map<string,{_PLAYER}>>"
-TEAM_LINE_PAYLOAD = f"struct<teams:struct<home:{_LINE_SIDE},away:{_LINE_SIDE}>>"
-PITCHING_PAYLOAD = f"struct<teams:struct<home:{_PITCHING_SIDE},away:{_PITCHING_SIDE}>>"
+_BOX_SIDE = (
+    f"struct<team:{_REF},teamStats:struct<batting:{_BATTING},fielding:struct<errors:string>>,"
+    f"pitchers:array<string>,players:map<string,{_PLAYER}>>"
+)
+BOXSCORE_PAYLOAD = f"struct<teams:struct<home:{_BOX_SIDE},away:{_BOX_SIDE}>>"
 TRANSACTION_PAYLOAD = (
     "struct<typeCode:string,typeDesc:string,description:string,"
     f"person:{_PERSON},fromTeam:{_REF},toTeam:{_REF}>"
@@ -71,11 +72,11 @@ def games(schedule: DataFrame) -> DataFrame:
 
     def side(name: str) -> list[Column]:
         return [
-            F.col(f"p.teams.{name}.team.id").cast("int").alias(f"{name}_team_id"),
+            F.col(f"p.teams.{name}.team.id").try_cast("int").alias(f"{name}_team_id"),
             F.col(f"p.teams.{name}.team.name").alias(f"{name}_team_name"),
-            F.col(f"p.teams.{name}.score").cast("int").alias(f"{name}_score"),
+            F.col(f"p.teams.{name}.score").try_cast("int").alias(f"{name}_score"),
             F.col(f"p.teams.{name}.probablePitcher.id")
-            .cast("int")
+            .try_cast("int")
             .alias(f"{name}_probable_pitcher_id"),
             F.col(f"p.teams.{name}.probablePitcher.fullName").alias(
                 f"{name}_probable_pitcher_name"
@@ -84,14 +85,14 @@ def games(schedule: DataFrame) -> DataFrame:
 
     typed = g.select(
         "game_pk",
-        F.col("game_date").cast("date").alias("game_date"),
-        F.col("p.gameDate").cast("timestamp").alias("game_datetime_utc"),
-        F.col("p.season").cast("int").alias("season"),
+        F.col("game_date").try_cast("date").alias("game_date"),
+        F.col("p.gameDate").try_cast("timestamp").alias("game_datetime_utc"),
+        F.col("p.season").try_cast("int").alias("season"),
         F.col("p.gameType").alias("game_type"),
         F.col("p.status.detailedState").alias("status"),
         *side("home"),
         *side("away"),
-        F.col("p.venue.id").cast("int").alias("venue_id"),
+        F.col("p.venue.id").try_cast("int").alias("venue_id"),
         F.col("p.venue.name").alias("venue_name"),
         F.col("p.dayNight").alias("day_night"),
         "ingested_at",
@@ -106,12 +107,29 @@ def games(schedule: DataFrame) -> DataFrame:
     )
 
 
-def team_game_stats(boxscores: DataFrame) -> DataFrame:
-    """Batting and fielding line of both teams of each match."""
-    lines = boxscores.withColumn("p", parsed(TEAM_LINE_PAYLOAD)).select(
+def parse_boxscores(boxscores: DataFrame) -> DataFrame:
+    """Boxscores with what both tables below need of their payload, parsed once.
+
+    Stored, the result serves both; the payload itself is not read again.
+    """
+    return boxscores.select(
         "game_pk",
         "ingested_at",
         F.xxhash64("payload").alias("fingerprint"),
+        parsed(BOXSCORE_PAYLOAD).alias("p"),
+    )
+
+
+def _parsed_boxscores(boxscores: DataFrame) -> DataFrame:
+    return boxscores if "p" in boxscores.columns else parse_boxscores(boxscores)
+
+
+def team_game_stats(boxscores: DataFrame) -> DataFrame:
+    """Batting and fielding line of both teams of each match, from raw or parsed boxscores."""
+    lines = _parsed_boxscores(boxscores).select(
+        "game_pk",
+        "ingested_at",
+        "fingerprint",
         F.explode(
             F.array(
                 F.struct(F.lit(True).alias("is_home"), F.col("p.teams.home").alias("t")),
@@ -125,10 +143,10 @@ def team_game_stats(boxscores: DataFrame) -> DataFrame:
     }
     typed = lines.select(
         "game_pk",
-        F.col("s.t.team.id").cast("int").alias("team_id"),
+        F.col("s.t.team.id").try_cast("int").alias("team_id"),
         "s.is_home",
-        *[F.col(f"s.t.teamStats.batting.{j}").cast("int").alias(c) for c, j in batting.items()],
-        F.col("s.t.teamStats.fielding.errors").cast("int").alias("errors"),
+        *[F.col(f"s.t.teamStats.batting.{j}").try_cast("int").alias(c) for c, j in batting.items()],
+        F.col("s.t.teamStats.fielding.errors").try_cast("int").alias("errors"),
         "ingested_at",
         "fingerprint",
     )
@@ -136,10 +154,13 @@ def team_game_stats(boxscores: DataFrame) -> DataFrame:
 
 
 def pitcher_game_stats(boxscores: DataFrame) -> DataFrame:
-    """One row per player listed among a side's pitchers; the first listed one started."""
-    sides = boxscores.withColumn("p", parsed(PITCHING_PAYLOAD)).select(
+    """One row per player listed among a side's pitchers; the first listed one started.
+
+    Boxscores are raw or parsed.
+    """
+    sides = _parsed_boxscores(boxscores).select(
         "game_pk",
-        F.xxhash64("payload").alias("fingerprint"),
+        "fingerprint",
         "ingested_at",
         F.explode(F.array("p.teams.home", "p.teams.away")).alias("side"),
     )
@@ -147,14 +168,14 @@ def pitcher_game_stats(boxscores: DataFrame) -> DataFrame:
         "game_pk",
         "fingerprint",
         "ingested_at",
-        F.col("side.team.id").cast("int").alias("team_id"),
+        F.col("side.team.id").try_cast("int").alias("team_id"),
         F.col("side.pitchers").alias("pitchers"),
         F.explode(F.map_values("side.players")).alias("player"),
     ).filter(F.array_contains("pitchers", F.col("player.person.id")))
     rows = players.select(
         "game_pk",
         "team_id",
-        F.col("player.person.id").cast("int").alias("pitcher_id"),
+        F.col("player.person.id").try_cast("int").alias("pitcher_id"),
         F.col("player.person.fullName").alias("pitcher_name"),
         (F.col("player.person.id") == F.get("pitchers", F.lit(0))).alias("is_starter"),
         F.col("player.stats.pitching").alias("line"),
@@ -172,7 +193,7 @@ def pitcher_game_stats(boxscores: DataFrame) -> DataFrame:
         "pitcher_name",
         "is_starter",
         innings_to_number(F.col("line.inningsPitched")).alias("innings_pitched"),
-        *[F.col(f"line.{j}").cast("int").alias(c) for c, j in counts.items()],
+        *[F.col(f"line.{j}").try_cast("int").alias(c) for c, j in counts.items()],
         "ingested_at",
     )
 
@@ -181,15 +202,15 @@ def transactions(landed: DataFrame) -> DataFrame:
     t = newest_landing(landed, "transaction_id").withColumn("p", parsed(TRANSACTION_PAYLOAD))
     return t.select(
         "transaction_id",
-        F.col("date").cast("date").alias("transaction_date"),
+        F.col("date").try_cast("date").alias("transaction_date"),
         F.col("p.typeCode").alias("type_code"),
         F.col("p.typeDesc").alias("type_desc"),
         F.col("p.description").alias("description"),
-        F.col("p.person.id").cast("int").alias("person_id"),
+        F.col("p.person.id").try_cast("int").alias("person_id"),
         F.col("p.person.fullName").alias("person_name"),
-        F.col("p.fromTeam.id").cast("int").alias("from_team_id"),
+        F.col("p.fromTeam.id").try_cast("int").alias("from_team_id"),
         F.col("p.fromTeam.name").alias("from_team_name"),
-        F.col("p.toTeam.id").cast("int").alias("to_team_id"),
+        F.col("p.toTeam.id").try_cast("int").alias("to_team_id"),
         F.col("p.toTeam.name").alias("to_team_name"),
         affects_availability(F.col("p.typeCode")).alias("affects_availability"),
         "ingested_at",

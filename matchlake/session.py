@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,14 +28,21 @@ def build_session(app_name: str = "matchlake", master: str | None = None, **extr
     return builder.getOrCreate()
 
 
+# Tables written by `materialise` that nobody has released yet.
+_stored: list[str] = []
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; fall back to a temporary one in local mode only."""
+    """Use the shared folder the cluster names in spark.checkpoint.dir.
+
+    Only a session in a single process, which has no other machines, may do without the setting.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="matchlake-checkpoint-")
     context.setCheckpointDir(shared)
@@ -45,10 +53,20 @@ def materialise(df: DataFrame) -> DataFrame:
 
     Used where two passes must see the very same partitions, and where many passes would
     repeat costly work. The rows outlive any executor, and as parquet they keep column
-    pruning and a known size.
+    pruning and a known size. `release_stored` deletes the table.
     """
     ensure_checkpoint_dir(df.sparkSession)
     folder = df.sparkSession.sparkContext.getCheckpointDir()
     path = f"{folder}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _stored.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release_stored(spark: SparkSession) -> int:
+    """Delete all tables that `materialise` wrote, once no frame that reads them is needed."""
+    released = len(_stored)
+    while _stored:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return released

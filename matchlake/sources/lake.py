@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
@@ -52,9 +53,19 @@ class Lake:
         return read_or_empty(self.spark, self.path("gold", table), GOLD[table])
 
     def store(self, df: DataFrame, layer: str, table: str) -> DataFrame:
-        """Rebuild a table and continue from the stored rows."""
+        """Rebuild a table and continue from the stored rows.
+
+        The new table is written beside the old one, which goes only when the new one is complete.
+        """
         path = self.path(layer, table)
-        df.write.mode("overwrite").parquet(path)
+        fresh = self.path(layer, f"_new-{uuid.uuid4().hex}")
+        df.write.parquet(fresh)
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        old, new = hadoop.Path(path), hadoop.Path(fresh)
+        files = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.delete(old, True)
+        files.rename(new, old)
+        self.spark.catalog.refreshByPath(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def register_views(self, layer: str, prefix: str = "") -> list[str]:
@@ -83,6 +94,14 @@ def replace_partitions(df: DataFrame, path: str, column: str = "date") -> None:
     )
 
 
+def drop_partitions(spark: SparkSession, path: str, values: Iterable[str], column: str = "date") -> None:
+    """Delete the named partitions of a table; absent ones do no harm."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for value in values:
+        folder = hadoop.Path(f"{path}/{column}={value}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

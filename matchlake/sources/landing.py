@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,23 +14,40 @@ SEASON_GAME_TYPES = ["R", "P"]
 REINGEST_DAYS = 3
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed file: `date` from its folder, `name` and `document`."""
-    return (
-        spark.read.schema("value string, date string")
-        .text(path, wholetext=True)
-        .select(
-            "date",
-            F.regexp_extract("_metadata.file_name", r"^(.*?)(\.json)?$", 1).alias("name"),
-            F.col("value").alias("document"),
-        )
+def read_documents(spark: SparkSession, path: str, days: Sequence[str]) -> DataFrame:
+    """One row per file landed on the given days: `date` from its folder, `name` and `document`.
+
+    The folders of the days are named in the path, so that no other folder is listed.
+    """
+    folders = f"{path}/date={{{','.join(days)}}}"
+    try:
+        files = spark.read.schema("value string, date string").option("basePath", path).text(folders, wholetext=True)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "date string, name string, document string")
+    return files.select(
+        "date",
+        F.regexp_extract("_metadata.file_name", r"^(.*?)(\.json)?$", 1).alias("name"),
+        F.col("value").alias("document"),
     )
 
 
+def is_json(document: Column) -> Column:
+    """Whether a text is a JSON document, of any size and with repeated keys or not.
+
+    get_json_object gives up on a single text of over 20 million characters, which the parser of
+    from_json does not; that one takes any array for a broken object, though.
+    """
+    parsed = F.from_json(document, "struct<_broken:string>", {"columnNameOfCorruptRecord": "_broken"})
+    whole_object = F.ltrim(document).startswith("{") & parsed["_broken"].isNull()
+    return F.coalesce(F.get_json_object(document, "$").isNotNull() | whole_object, F.lit(False))
+
+
 def split_rejects(documents: DataFrame, column: str = "document") -> tuple[DataFrame, DataFrame]:
-    """Documents that are JSON, and those that are not."""
-    broken = F.col(column).isNull() | F.try_parse_json(column).isNull()
-    return documents.filter(~broken), documents.filter(broken)
+    """Documents that are JSON, and those that are not. Two reads: store what is dear to read first."""
+    good = is_json(F.col(column))
+    return documents.filter(good), documents.filter(~good)
 
 
 # Array elements declared as strings keep the JSON text of each object unchanged.
@@ -76,18 +94,18 @@ def _field(path: str) -> Column:
 
 
 def schedule_envelope(documents: DataFrame, landed_at: Column) -> DataFrame:
-    keys = {"game_pk": _field("gamePk").cast("long"), "game_date": F.col("date").cast("string")}
+    keys = {"game_pk": _field("gamePk").try_cast("long"), "game_date": F.col("date").cast("string")}
     return envelope(schedule_games(documents), keys, landed_at)
 
 
 def document_envelope(documents: DataFrame, landed_at: Column) -> DataFrame:
     """Boxscores and plays: one file per match, named by its key."""
     payloads = documents.withColumnRenamed("document", "payload")
-    return envelope(payloads, {"game_pk": F.col("name").cast("long")}, landed_at)
+    return envelope(payloads, {"game_pk": F.col("name").try_cast("long")}, landed_at)
 
 
 def transactions_envelope(documents: DataFrame, landed_at: Column) -> DataFrame:
-    keys = {"transaction_id": _field("id").cast("long")}
+    keys = {"transaction_id": _field("id").try_cast("long")}
     return envelope(transaction_items(documents), keys, landed_at)
 
 
@@ -120,6 +138,27 @@ def game_days(scheduled: DataFrame) -> DataFrame:
     )
 
 
+def days_of_seasons(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
+    """Days with a match in the schedule responses of an inclusive range of seasons.
+
+    Responses lie under season=YYYY folders. Only those of the range are read; a season without
+    response has no days, and neither has a response that is not JSON.
+    """
+    wanted = ",".join(str(season) for season in range(first, last + 1))
+    try:
+        documents = spark.read.option("basePath", path).text(f"{path}/season={{{wanted}}}", wholetext=True)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        documents = spark.createDataFrame([], "value string")
+    games = schedule_games(documents.select(F.col("value").alias("document")).filter(is_json(F.col("document"))))
+    return game_days(
+        games.select(
+            F.col("block_date").try_cast("date").alias("game_date"), _field("gameType").alias("game_type")
+        ).filter("game_date IS NOT NULL")
+    )
+
+
 def pending_days(days: DataFrame, stored: DataFrame, force: bool = False) -> DataFrame:
     """Days without a stored partition; all of them when forced."""
     if force:

@@ -10,6 +10,7 @@ import pytest
 from matchlake.plans import daily, registry
 from matchlake.plans.train_run import train_all
 from matchlake.sources.lake import Lake
+from matchlake.sources import landing
 from matchlake.streaming.landed import land_new_files
 
 FIRST = date(2024, 4, 1)
@@ -30,7 +31,7 @@ def _land(root, day, final=True):
         pk = 1000 + index * 10 + k
         home, away = 1 + k, 4 + (index + k) % 3
         games.append({
-            "gamePk": pk, "gameDate": f"{day}T23:05:00Z", "season": 2024 + index % 3, "gameType": "R",
+            "gamePk": pk, "gameDate": f"{day}T18:20:00Z", "season": 2024 + index % 3, "gameType": "R",
             "status": {"detailedState": "Final" if final else "Scheduled"},
             "teams": {
                 "home": {"team": {"id": home, "name": f"T{home}"}, "score": (pk * 7) % 9 + 1,
@@ -91,9 +92,57 @@ def test_landed_rows(world):
 def test_only_the_wanted_folders_are_read(world):
     lake, landing_root, last = world
     assert daily.days_before(date(2024, 3, 1)) == ["2024-02-28", "2024-02-29", "2024-03-01"]
-    wanted = daily._documents(lake.spark, str(landing_root), "schedule").filter(f"date IN ('{last}')")
+    wanted = landing.read_documents(lake.spark, f"{landing_root}/schedule", [str(last), "1999-01-01"])
     assert wanted.count() == 2
-    assert "PartitionFilters: [isnotnull(date" in wanted._jdf.queryExecution().executedPlan().toString()
+    assert {path.split("/")[-2] for path in wanted.inputFiles()} == {f"date={last}"}
+    assert "InMemoryFileIndex(1 paths)" in wanted._jdf.queryExecution().executedPlan().toString()
+    assert landing.read_documents(lake.spark, f"{landing_root}/schedule", ["1999-01-01"]).count() == 0
+
+
+def _rejects(lake, table):
+    rows = lake.spark.read.parquet(lake.path("bronze", f"_rejects/{table}")).collect()
+    return sorted((r["name"], str(r["date"])) for r in rows)
+
+
+def test_odd_files_stop_nothing(spark, tmp_path):
+    lake, root, day = Lake(spark, str(tmp_path / "lake")), tmp_path / "landing", date(2021, 8, 30)
+    _land(root, day)
+    repeated = '{"copyright": 1, "dates": [{"date": "d", "games": [{"gamePk": 77, "gameType": "R"}, {"gamePk": "?"}]}], "copyright": 2}'
+    _write(root, "schedule", day, "repeated", repeated)
+    _write(root, "boxscores", day, "index", {"teams": {}})
+    _write(root, "boxscores", day, 77, {"teams": {}, "filler": "x" * 25_000_000})
+    match = lambda day: 1000 + (day - FIRST).days * 10
+    _write(root, "plays", day, match(day), '{"allPlays": [')
+    daily.land_days(lake, str(root), [str(day)], NOW)
+    assert lake.bronze("schedule").filter("game_pk = 77").count() == 1
+    assert lake.bronze("boxscores").filter("game_pk = 77 AND length(payload) > 25000000").count() == 1
+    assert lake.spark.read.parquet(lake.path("bronze", "_rejects/schedule")).select("document").first()[0] == '{"gamePk":"?"}'
+    assert _rejects(lake, "boxscores") == [("index", str(day))]
+    assert _rejects(lake, "plays") == [(str(match(day)), str(day))]
+    _write(root, "plays", day, match(day), '{"allPlays": []}')
+    other = day + timedelta(days=1)
+    _write(root, "plays", other, match(other), "{")
+    daily.land_days(lake, str(root), [str(day), str(other)], NOW)
+    assert _rejects(lake, "plays") == [(str(match(other)), str(other))]
+
+
+def test_backfill_goes_on_where_it_stopped(spark, tmp_path):
+    lake, root = Lake(spark, str(tmp_path / "lake")), tmp_path / "landing"
+    days = [date(2018, 9, 28), date(2018, 9, 30), date(2019, 4, 2)]
+    for day in days:
+        _land(root, day)
+        folder = root / "seasons" / f"season={day.year}"
+        folder.mkdir(parents=True, exist_ok=True)
+        dates = [{"date": str(d), "games": [{"gamePk": 1, "gameType": "R"}]} for d in days if d.year == day.year]
+        dates.append({"date": f"{day.year}-02-25", "games": [{"gamePk": 2, "gameType": "S"}]})
+        (folder / "schedule.json").write_text(json.dumps({"dates": dates}))
+        (folder / "broken.json").write_text("{")
+    expected = [str(day) for day in days]
+    daily.land_days(lake, str(root), expected[:1], NOW)
+    assert daily.backfill(lake, str(root), 2016, 2019, NOW) == expected[1:]
+    assert daily.backfill(lake, str(root), 2016, 2019, NOW) == []
+    assert daily.backfill(lake, str(root), 2018, 2018, NOW, force=True) == expected[:2]
+    assert lake.bronze("schedule").count() == 3 * PER_DAY
 
 
 def test_typed_and_derived_rows(world):

@@ -16,18 +16,26 @@ def _one(spark, value, kind, expr):
     return spark.createDataFrame([(value,)], f"x {kind}").select(expr(F.col("x"))).first()[0]
 
 
-@pytest.mark.parametrize(
-    "text,expected",
-    [("6.1", 6 + 1 / 3), ("6.2", 6 + 2 / 3), ("0.0", 0.0), ("7", 7.0), ("0.1", 1 / 3), ("", None), (None, None)],
-)
-def test_innings(spark, text, expected):
-    got = _one(spark, text, "string", innings_to_number)
-    assert got is None if expected is None else got == pytest.approx(expected)
+@pytest.mark.parametrize("outs", [0, 1, 2, 3, 13, 28, 51])
+def test_innings_count_outs_in_thirds(spark, outs):
+    text = f"{outs // 3}.{outs % 3}"
+    assert _one(spark, text, "string", innings_to_number) == pytest.approx(outs / 3)
+
+
+@pytest.mark.parametrize("text", ["", None])
+def test_no_innings_are_unknown(spark, text):
+    assert _one(spark, text, "string", innings_to_number) is None
 
 
-@pytest.mark.parametrize("price,expected", [(100.0, 0.5), (-100.0, 0.5), (150.0, 0.4), (-150.0, 0.6)])
-def test_implied_probability(spark, price, expected):
-    assert _one(spark, price, "double", implied_probability) == pytest.approx(expected)
+def test_whole_innings_need_no_point(spark):
+    assert _one(spark, "11", "string", innings_to_number) == 11.0
+
+
+@pytest.mark.parametrize("price", [105.0, 240.0, 900.0])
+def test_implied_probabilities_of_opposite_prices_are_complements(spark, price):
+    longshot, favourite = (_one(spark, p, "double", implied_probability) for p in (price, -price))
+    assert longshot < 0.5 < favourite and longshot + favourite == pytest.approx(1.0)
+    assert price * longshot == pytest.approx(100.0 * favourite)  # the bet is fair at these odds
 
 
 @pytest.mark.parametrize("p", [0.0, 0.25, 1.0])
@@ -104,27 +112,33 @@ H2H = '{"key":"h2h","outcomes":[{"name":"H","price":%s},{"name":"A","price":%s}]
 TOTALS = '{"key":"totals","outcomes":[{"name":"Over"},{"name":"Under","point":%s}]}'
 
 
-def test_consensus_removes_the_margin(spark):
-    row = _consensus(spark, _event(_book(H2H % (-150, 130), TOTALS % 8.5)))
+@pytest.mark.parametrize("margin", [0, 15, 60])
+def test_consensus_removes_the_margin_of_a_book(spark, margin):
+    row = _consensus(spark, _event(_book(H2H % (-200 - margin, 200 - margin))))
     assert row["market_home_win_prob"] + row["market_away_win_prob"] == pytest.approx(1.0)
-    assert row["market_home_win_prob"] > 0.5
-    assert (row["market_total_line"], row["n_books_moneyline"], row["n_books_totals"]) == (8.5, 1, 1)
-
-
-def test_consensus_averages_books_and_skips_one_sided_markets(spark):
-    one_sided = '{"key":"h2h","outcomes":[{"name":"H","price":-110}]}'
-    row = _consensus(
-        spark,
-        _event(
-            _book(H2H % (-110, -110), TOTALS % 9.0),
-            _book(H2H % (-120, 100), TOTALS % 9.5),
-            _book(one_sided),
-            "{}",
-        ),
-    )
-    second = (120 / 220) / (120 / 220 + 0.5)
-    assert row["market_home_win_prob"] == pytest.approx((0.5 + second) / 2)
-    assert (row["market_total_line"], row["n_books_moneyline"]) == (9.25, 2)
+    assert row["market_home_win_prob"] > row["market_away_win_prob"]
+    assert (row["n_books_moneyline"], row["n_books_totals"]) == (1, 0)
+
+
+def test_consensus_does_not_depend_on_the_order_of_books(spark):
+    books = [_book(H2H % (-310, 255), TOTALS % 7.5), _book(H2H % (180, -215)), _book(TOTALS % 11.0), "{}"]
+    rows = [_consensus(spark, _event(*order)) for order in (books, books[::-1])]
+    for row in rows:
+        assert row["market_home_win_prob"] == pytest.approx(rows[0]["market_home_win_prob"])
+        assert (row["market_total_line"], row["n_books_moneyline"], row["n_books_totals"]) == ((7.5 + 11.0) / 2, 2, 2)
+
+
+def test_consensus_lies_between_the_books(spark):
+    first, second = (_consensus(spark, _event(_book(H2H % p)))["market_home_win_prob"] for p in ((-310, 255), (180, -215)))
+    both = _consensus(spark, _event(_book(H2H % (-310, 255)), _book(H2H % (180, -215))))
+    assert both["market_home_win_prob"] == pytest.approx((first + second) / 2)
+
+
+def test_a_side_without_price_keeps_a_book_out(spark):
+    one_sided = '{"key":"h2h","outcomes":[{"name":"A","price":-445}]}'
+    alone, joined = (_consensus(spark, _event(_book(H2H % (140, -165)), *more)) for more in ([], [_book(one_sided)]))
+    assert joined["market_home_win_prob"] == alone["market_home_win_prob"]
+    assert joined["n_books_moneyline"] == 1
 
 
 def test_consensus_takes_the_last_price_of_a_side(spark):

@@ -104,6 +104,18 @@ def test_exact_medians(spark, seed, direct):
     assert exact_medians(df, list("abcde"), direct) == expected
 
 
+@pytest.mark.parametrize("rest_rows", [1, 2, 5, 10_000])
+def test_medians_of_odd_values_do_not_depend_on_the_size(spark, rest_rows):
+    inf, nan = float("inf"), float("nan")
+    columns = {
+        "high": [1.0, inf, inf, inf, 2.0], "low": [-inf, -inf, -inf, 3.0, 4.0], "mixed": [-inf, 0.0, inf, nan, None],
+        "edge": [-inf, 5.0, inf, inf, nan], "ties": [7.0] * 4 + [8.0], "none": [nan, None, nan, None, nan],
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns))
+    expected = {"high": inf, "low": -inf, "mixed": 0.0, "edge": inf, "ties": 7.0, "none": None}
+    assert exact_medians(df, list(columns), rest_rows) == expected
+
+
 def test_preparation_handles_empty_and_constant_columns(spark):
     df = spark.createDataFrame([(None, 2.0, 1.0), (None, 2.0, None), (None, 2.0, 3.0)], "a double, b double, c double")
     prepared = training.fit_preparation(df, ["a", "b", "c"])

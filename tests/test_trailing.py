@@ -108,18 +108,10 @@ def test_positions_are_dense_and_ordered(spark):
     assert [r["pk"] for r in placed] == [r[2] for r in sorted(rows, key=lambda r: (r[1], r[2]))]
 
 
-def test_auto_splits_only_large_groups(spark):
-    df = spark.createDataFrame(_random_rows(1), SCHEMA)
-    assert not Strategy().splits(df, ["entity"])
+def test_a_frame_over_the_whole_table_is_in_blocks(spark):
+    assert not Strategy().splits(["entity"]) and Strategy().splits([])
     with pytest.raises(ValueError):
-        Strategy("other").splits(df, ["entity"])
-
-
-def test_group_check_counts_when_the_input_is_not_small(spark, monkeypatch):
-    from matchlake.operators import sizing
-
-    monkeypatch.setattr(sizing, "SMALL_INPUT_BYTES", 0)
+        Strategy("other").splits(["entity"])
     df = spark.createDataFrame(_random_rows(1), SCHEMA)
-    assert sizing.groups_fit_one_task(df, ["entity"], max_rows=300)
-    assert not sizing.groups_fit_one_task(df, ["entity"], max_rows=50)
-    assert not sizing.groups_fit_one_task(df, [], max_rows=299)
+    plan = trailing(df, [], ["day", "pk"], REACH, _measures)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "SinglePartition, ENSURE_REQUIREMENTS, [plan_id" not in plan.split("Window", 1)[1].split("_part")[0]
