@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from matchlake.harness import round_trips
 from matchlake.harness.tables import oracle
 
 # Columns rounded like the query results.
@@ -711,6 +712,16 @@ def oracle_sql() -> dict[str, str]:
             + ") USING first(z) GROUP BY game_pk",
             "split_v",
         ),
+        "attribution_by_key": oracle(
+            f"""
+            SELECT game_pk, CAST(r AS INTEGER) AS rank, feature,
+                   format('{{}} `{{}}` +{{:.3f}}', CASE WHEN c < 0 THEN '↓' ELSE '↑' END, feature, abs(c)) AS line
+            FROM (SELECT *, row_number() OVER (PARTITION BY game_pk ORDER BY abs(c) DESC, place) AS r
+                  FROM (SELECT *, z * (place + 1) / 10.0::DOUBLE AS c FROM {_SCALED}) AS p) AS t
+            WHERE r <= 5 AND game_pk IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
+            """,
+            "split_v",
+        ),
         "linear_attribution_topn": oracle(
             f"""
             SELECT game_pk, CAST(r AS INTEGER) AS rank, feature, round(round(c, 9), 6) AS contribution,
@@ -722,4 +733,4 @@ def oracle_sql() -> dict[str, str]:
             """,
             "split_v",
         ),
-    }
+    } | round_trips.oracle_sql()

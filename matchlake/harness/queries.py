@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.functions.innings import innings_to_number
 from matchlake.functions.odds import EVENT_TYPE, with_consensus
+from matchlake.harness import round_trips
 from matchlake.harness import tables as t
 from matchlake.operators.asof import asof_join
 from matchlake.operators.latest import latest_wins
@@ -563,6 +565,23 @@ def linear_attribution_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(attribution.top_contributions(parts, list(weights), ["game_pk"], n=5))
 
 
+@dataclass(frozen=True)
+class _FixedWeights:
+    """A linear model whose i-th coefficient is (i + 1) / 10."""
+
+    coefficients: list[float]
+
+
+def attribution_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top contributions, with their lines of text, for the matches of returned order lines."""
+    split = materialise(t.split_features(spark, sf_dir))
+    prepared = training.fit_preparation(split.filter("split = 'train'"), NUMERIC_FEATURES)
+    weights = [(i + 1) / 10 for i in range(len(prepared.features))]
+    fitted = training.Fitted(_FixedWeights(weights), prepared, True)
+    wanted = t.read(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select("l_orderkey")
+    return rounded(attribution.explain_keys(split, wanted, fitted).select("game_pk", "rank", "feature", "line"))
+
+
 def logistic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = materialise(t.split_features(spark, sf_dir))
     scored = training.fit_logistic(split).score(split, "predicted_home_win_prob")
@@ -614,4 +633,4 @@ def queries() -> dict[str, Query]:
         and getattr(value, "__module__", None) == __name__
         and not name.startswith("_")
         and name not in ("rounded", "queries")
-    }
+    } | round_trips.queries()

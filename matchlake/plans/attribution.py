@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.functions import display
+from matchlake.plans.panels import by_keys
 from matchlake.plans.training import Fitted
 
 TOP_N = 5
@@ -68,6 +69,16 @@ def explain_rows(
     return top_contributions(with_parts, fitted.prepared.features, keep, n)
 
 
+def explain_keys(
+    features: DataFrame, keys: Sequence | DataFrame, fitted: Fitted, key: str = "game_pk", n: int = TOP_N
+) -> DataFrame | None:
+    """Top contributions for a list of matches, each with its line of text; other matches are not scored."""
+    found = explain_rows(by_keys(features, key, keys), fitted, [key], n)
+    if found is None:
+        return None
+    return found.withColumn("line", display.contribution_line(F.col("feature"), F.col("contribution")))
+
+
 # ---------------------------------------------------------------------------
 # Trees
 # ---------------------------------------------------------------------------

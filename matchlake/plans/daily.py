@@ -15,7 +15,7 @@ from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.plans import gold, market, quality, registry, silver
+from matchlake.plans import attribution, gold, market, quality, registry, silver
 from matchlake.plans.grading import grade_predictions
 from matchlake.plans.training import Fitted, Preparation, predict_day
 from matchlake.schemas import RUNS
@@ -206,6 +206,12 @@ def score_day(lake: Lake, day: date, predicted_at: datetime, serving: Serving |
     return True
 
 
+def explain_games(lake: Lake, keys: Sequence, serving: Serving | None = None) -> DataFrame | None:
+    """Top contributions of the serving winner model for some matches of the stored features."""
+    serving = serving or load_serving(lake)
+    return attribution.explain_keys(lake.gold("features"), keys, serving.winner)
+
+
 def grade(lake: Lake) -> DataFrame:
     """Rebuild the graded outcomes from all prediction partitions."""
     outcomes = grade_predictions(lake.gold("predictions"), lake.silver("games"), lake.silver("odds"))

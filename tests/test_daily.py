@@ -179,6 +179,10 @@ def test_train_score_grade_and_land_again(world):
     outcomes = daily.daily_batch(lake, str(landing_root), last, NOW)
     assert lake.gold("predictions").count() == PER_DAY and outcomes.count() == 0
     assert not daily.score_day(lake, last + timedelta(days=9), NOW)
+    keys = [row["game_pk"] for row in lake.gold("features").limit(2).collect()]
+    explained = daily.explain_games(lake, [*keys, -1]).collect()
+    assert {row["game_pk"] for row in explained} == set(keys) and len(explained) == 10
+    assert all(row["line"][0] in "↑↓" for row in explained)
 
     _land(landing_root, last, final=True)
     outcomes = daily.daily_batch(lake, str(landing_root), last + timedelta(days=1), NOW + timedelta(days=1))
