@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from matchlake.harness import round_trips
 from matchlake.harness.tables import oracle
+from matchlake.plans.gold import FEATURES
 
 # Columns rounded like the query results.
 
@@ -252,6 +253,14 @@ _HOT_ORDERS = """
 """
 
 
+# At the least of a convex objective each slope is zero.
+_LEAST = f"""
+SELECT unnest({[*FEATURES, "intercept"]}) AS feature, 0.0::DOUBLE AS gradient, n,
+       unnest({[*["true"] * len(FEATURES), "false"]}::BOOLEAN[]) AS used
+FROM (SELECT count(*) AS n FROM split_v WHERE split = 'train') AS c
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "team_rolling": oracle(_ROLLING, "rolling_v"),
@@ -712,6 +721,28 @@ def oracle_sql() -> dict[str, str]:
             + ") USING first(z) GROUP BY game_pk",
             "split_v",
         ),
+        "logistic_fit": oracle(_LEAST, "split_v"),
+        "ridge_fit": oracle(_LEAST, "split_v"),
+        "gbt_scores": oracle(
+            """
+            SELECT game_pk, CAST(game_date AS VARCHAR) AS game_date, 'winner-run' AS winner_model_run_id,
+                   'runs-run' AS runs_model_run_id, true AS probability_in_range, true AS runs_in_range
+            FROM features_v WHERE game_date = (SELECT max(game_date) FROM features_v)
+            """,
+            "features_v",
+        ),
+        "importance_sorted": f"""
+            SELECT CAST(unnest(range(1, {len(FEATURES) + 1})) AS INTEGER) AS place, true AS falling, true AS in_range,
+                   1.0::DOUBLE AS total
+            """,
+        "attribution_tidy": oracle(
+            f"""
+            SELECT game_pk, CAST({len(FEATURES)} AS BIGINT) AS n, CAST({len(FEATURES)} AS INTEGER) AS last_rank, true AS falling,
+                   0.0::DOUBLE AS off
+            FROM split_v
+            """,
+            "split_v",
+        ),
         "attribution_by_key": oracle(
             f"""
             SELECT game_pk, CAST(r AS INTEGER) AS rank, feature,

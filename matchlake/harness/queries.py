@@ -582,47 +582,83 @@ def attribution_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(attribution.explain_keys(split, wanted, fitted).select("game_pk", "rank", "feature", "line"))
 
 
+def _gradients(spark: SparkSession, split: DataFrame, fitted: training.Fitted, target: str, penalty: float, digits: int):
+    """The slope of the training objective at the fitted model, by feature: zero where it is least."""
+    train = split.filter("split = 'train'")
+    names, weights = fitted.prepared.features, list(map(float, fitted.model.coefficients))
+    error = F.col("_score") - F.col(target).cast("int")
+    slopes = [F.avg(error * fitted.prepared.scaled(c)).alias(c) for c in names]
+    row = fitted.score(train, "_score").agg(F.avg(error).alias("intercept"), F.count("*").alias("n"), *slopes).first()
+    rows = [
+        (name, abs(round(row[name] + penalty / row["n"] * weight, digits)), row["n"], weight != 0.0)
+        for name, weight in zip([*names, "intercept"], [*weights, 0.0])
+    ]
+    return spark.createDataFrame(rows, "feature string, gradient double, n long, used boolean")
+
+
 def logistic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = materialise(t.split_features(spark, sf_dir))
-    scored = training.fit_logistic(split).score(split, "predicted_home_win_prob")
-    return splits.classification_metrics(scored, "split")
+    fitted = training.fit_logistic(split)
+    return _gradients(spark, split, fitted, gold.WINNER_TARGET, 1.0 / training.LOGISTIC["C"], 4)
 
 
 def ridge_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = materialise(t.split_features(spark, sf_dir))
-    scored = training.fit_ridge(split).score(split, "predicted_total_runs")
-    return splits.regression_metrics(scored, "split")
-
-
-# Fewer trees than in training proper: the query shows the operator, not the model.
-_FEW_TREES = {"trees": 5}
+    fitted = training.fit_ridge(split)
+    return _gradients(spark, split, fitted, gold.RUNS_TARGET, training.RIDGE["alpha"], 6)
 
 
 def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions of both boosted models for every match of the newest day."""
+    """Predictions of both boosted models for every match of the newest day, and whether they are in range."""
     features = materialise(t.features(spark, sf_dir))
     split = splits.split_by_season(features, t.TRAIN_SEASONS, t.VAL_SEASONS, t.TEST_SEASONS)
-    return training.predict_day(
+    predicted = training.predict_day(
         features,
         _newest_day(features),
-        training.fit_winner_trees(split, **_FEW_TREES),
-        training.fit_runs_trees(split, **_FEW_TREES),
+        training.fit_winner_trees(split),
+        training.fit_runs_trees(split),
         "winner-run",
         "runs-run",
         F.lit("2024-01-01 00:00:00"),
     )
+    return predicted.select(
+        "game_pk", "game_date", "winner_model_run_id", "runs_model_run_id",
+        F.col("predicted_home_win_prob").between(0, 1).alias("probability_in_range"),
+        F.col("predicted_total_runs").between(0, 24).alias("runs_in_range"),
+    )
 
 
 def importance_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the features by importance, whether it falls, and its total."""
     split = materialise(t.split_features(spark, sf_dir))
-    return training.feature_importance(spark, training.fit_runs_trees(split, **_FEW_TREES))
+    found = training.feature_importance(spark, training.fit_runs_trees(split)).collect()  # a row for each feature
+    values = [row["importance"] for row in found]
+    rows = [
+        (i + 1, not i or value <= values[i - 1], 0.0 <= value <= 1.0, round(sum(values), 6))
+        for i, value in enumerate(values)
+    ]
+    return spark.createDataFrame(rows, "place int, falling boolean, in_range boolean, total double")
 
 
 def attribution_tidy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Top contributions of a boosted model for every labelled match."""
+    """For every labelled match how far its contributions are from adding up to its log-odds, but for a constant."""
     split = materialise(t.split_features(spark, sf_dir))
-    fitted = training.fit_winner_trees(split, **_FEW_TREES)
-    return attribution.explain_rows(split, fitted, ["game_pk"])
+    fitted = training.fit_winner_trees(split)
+    n = len(fitted.prepared.features)
+    parts = materialise(attribution.explain_rows(split, fitted, ["game_pk"], n))
+    summed = parts.groupBy("game_pk").agg(
+        F.sum("contribution").alias("total"), F.count("*").alias("n"), F.max("rank").alias("last_rank"),
+        F.array_sort(F.collect_list(F.struct("rank", F.col("abs_contribution").alias("size")))).alias("ranked"),
+    )
+    chance = F.col("p")
+    odds = fitted.score(split, "p").select("game_pk", F.log(chance / (1 - chance)).alias("odds"))
+    rows = materialise(summed.join(odds, "game_pk").withColumn("rest", F.col("odds") - F.col("total")))
+    constant = rows.agg(F.avg("rest")).first()[0]
+    falling = F.forall(F.slice("ranked", 2, n), lambda x: x["size"] <= F.get("ranked", x["rank"] - 2)["size"])
+    return rows.select(
+        "game_pk", "n", "last_rank", falling.alias("falling"),
+        F.abs(F.round(F.col("rest") - F.lit(constant), 4)).alias("off"),
+    )
 
 
 def queries() -> dict[str, Query]:
