@@ -12,13 +12,13 @@ from datetime import date, datetime, timedelta
 
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.regression import GBTRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.plans import attribution, gold, market, quality, registry, silver
 from matchlake.plans.grading import grade_predictions
 from matchlake.plans.training import Fitted, Preparation, predict_day
-from matchlake.schemas import RUNS
+from matchlake.schemas import GOLD, RUNS
 from matchlake.session import materialise, release_stored
 from matchlake.sources import landing
 from matchlake.sources.lake import Lake, append, drop_partitions, read_or_empty, replace_partitions
@@ -32,6 +32,8 @@ BRONZE_DOCUMENTS = {
 }
 PER_MATCH_TABLES = ("boxscores", "plays")
 REJECTS = "_rejects"
+# The partition column of the stored features.
+MONTH = "game_month"
 
 
 KEYS = {
@@ -123,7 +125,21 @@ def build_gold(lake: Lake) -> DataFrame:
         stored["roster_activity"],
         stored["park_factors"],
     )
-    return lake.store(features, "gold", "features")
+    lake.store(features.withColumn(MONTH, month_of(F.col("game_date"))), "gold", "features", partition_by=MONTH)
+    return lake.gold("features")
+
+
+def month_of(day: Column) -> Column:
+    """The folder of a day's features."""
+    return F.date_format(day, "yyyy-MM")
+
+
+def features_on(lake: Lake, day: date) -> DataFrame:
+    """The stored features of a day; only the folder of its month is read."""
+    fields = f"{GOLD['features']}, {MONTH} string"
+    stored = read_or_empty(lake.spark, lake.path("gold", "features"), fields)
+    wanted = (F.col(MONTH) == f"{day:%Y-%m}") & (F.col("game_date") == F.lit(day))
+    return stored.filter(wanted).drop(MONTH)
 
 
 def check_silver(lake: Lake, ran_at: datetime, fail: bool = False) -> DataFrame:
@@ -194,8 +210,8 @@ def load_serving(lake: Lake) -> Serving:
 
 def score_day(lake: Lake, day: date, predicted_at: datetime, serving: Serving | None = None) -> bool:
     """Write the day's prediction partition; nothing is written when no match is listed."""
-    features = lake.gold("features")
-    if features.filter(F.col("game_date") == F.lit(day)).isEmpty():
+    features = features_on(lake, day)
+    if features.isEmpty():
         return False
     serving = serving or load_serving(lake)
     predicted = predict_day(

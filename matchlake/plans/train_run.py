@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -62,7 +63,7 @@ def train_all(
 def _register(lake, experiment, family, fitted, params, table, started: datetime) -> None:
     is_winner = experiment == registry.WINNER_EXPERIMENT
     metrics = flat_metrics(table, CLASSIFICATION if is_winner else REGRESSION)
-    run_id = f"{experiment}-{family}-{started:%Y%m%dT%H%M%S}"
+    run_id = f"{experiment}-{family}-{started:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     tags: dict[str, str] = {}
     gated = "val_log_loss" if is_winner else "val_mae"
     if family == registry.SERVED_FAMILY:

@@ -50,23 +50,25 @@ class Lake:
         return read_or_empty(self.spark, self.path("silver", table), SILVER[table])
 
     def gold(self, table: str) -> DataFrame:
-        return read_or_empty(self.spark, self.path("gold", table), GOLD[table])
+        stored = read_or_empty(self.spark, self.path("gold", table), GOLD[table])
+        return stored.select(*[field.split()[0] for field in GOLD[table].split(", ")])
 
-    def store(self, df: DataFrame, layer: str, table: str) -> DataFrame:
+    def store(self, df: DataFrame, layer: str, table: str, partition_by: str | None = None) -> DataFrame:
         """Rebuild a table and continue from the stored rows.
 
         The new table is written beside the old one, which goes only when the new one is complete.
         """
         path = self.path(layer, table)
         fresh = self.path(layer, f"_new-{uuid.uuid4().hex}")
-        df.write.parquet(fresh)
+        writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by) if partition_by else df.write
+        writer.parquet(fresh)
         hadoop = self.spark._jvm.org.apache.hadoop.fs
         old, new = hadoop.Path(path), hadoop.Path(fresh)
         files = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
         files.delete(old, True)
         files.rename(new, old)
         self.spark.catalog.refreshByPath(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     def register_views(self, layer: str, prefix: str = "") -> list[str]:
         """Temporary views over the stored tables of a layer; absent tables get none."""

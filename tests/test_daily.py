@@ -156,6 +156,14 @@ def test_typed_and_derived_rows(world):
     assert lake.gold("features").filter("home_sp_era_l5 IS NOT NULL").count() > 0
 
 
+def test_a_day_of_features_is_read_from_its_month(world):
+    lake, _, last = world
+    found = daily.features_on(lake, last)
+    assert found.columns == lake.gold("features").columns and found.count() == PER_DAY
+    assert "PartitionFilters: [isnotnull(game_month" in found._jdf.queryExecution().executedPlan().toString()
+    assert daily.features_on(lake, last.replace(year=1990)).count() == 0
+
+
 def test_checks_append_to_the_report(world):
     lake, _, _ = world
     assert daily.check_silver(lake, NOW).filter("NOT passed").count() == 0
