@@ -72,8 +72,8 @@ def links(prints: DataFrame, max_bits: int = 3, segments: int = 2) -> DataFrame:
     earlier table finds too is left to that one.
     """
     radius, width = max_bits // segments, 64 // segments
-    if radius > 1 or 64 % segments:
-        raise ValueError("segments must divide 64 and be more than half of max_bits")
+    if radius > 1 or 64 % segments or segments < 2:
+        raise ValueError("segments must divide 64, be two at least and more than half of max_bits")
 
     def part(fingerprint: Column, number: int) -> Column:
         return F.shiftrightunsigned(fingerprint, width * number).bitwiseAND(F.lit((1 << width) - 1))
