@@ -8,18 +8,19 @@ their statistics and Bloom filters.
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import ArrayType, IntegerType, LongType
 from tokenizers import Tokenizer
 
-from matchlake.llm.common import table
+from matchlake.llm.common import Recent, slices, table
 from matchlake.session import ensure_checkpoint_dir
 
 ORC_OPTIONS = {
@@ -30,38 +31,50 @@ ORC_OPTIONS = {
     "orc.row.index.stride": "1000",
     "orc.stripe.size": str(16 << 20),
 }
-# Encoded words a worker keeps, and the length from which a word is not kept.
-CACHED_WORDS, LONG_WORD = 400_000, 64
+# Words that a worker keeps twice at most, and the length from which a word is not kept.
+CACHED_WORDS, LONG_WORD = 200_000, 64
+# What may stand after a word: always tokens of its own after a letter or digit.
+STOPS = ".,;:!?%&*$#|"
+# Words of small Latin letters, which the vocabulary's normaliser and splitter leave as they are.
+SMALL_LETTERS = re.compile("[a-zß-öø-ÿ]+").fullmatch
+# Byte-level models write a byte as a printable character: itself, or the next from U+0100 on.
+_UNPRINTED = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_UNPRINTED)}
 
 
 class WordEncoder:
     """Encodes whole texts with the tokenizers library, each different word once.
 
-    The vocabulary's own splitting never joins what a blank or line feed separates, and its special
-    tokens hold none, so the ids of a text are those of its words, one after another.
+    The vocabulary's own splitting never joins what a blank or line feed separates, nor a letter or
+    digit with the STOPS after it; special tokens hold neither. So the ids of a text are those of
+    its words and stops, one after another. Plain words go to the library's model directly, all
+    others through its whole chain.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept: dict[str, bytes] = {"": b""}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def __call__(self, text: str | None, end_id: int) -> bytes:
-        """The ids, the end id last, as little-endian 32-bit integers."""
-        words = (text or "").replace("\n", " ").split(" ")
-        new = [word for word in set(words) - self.kept.keys()]
-        if len(self.kept) + len(new) > CACHED_WORDS:
-            self.kept = {"": b""}
-            new = list(set(words) - {""})
-        self.kept.update(zip(new, self._encode(new)))
-        ids = b"".join(map(self.kept.__getitem__, words))
-        for word in new:
-            if len(word) > LONG_WORD:
-                del self.kept[word]
-        return ids + end_id.to_bytes(4, "little")
+        self.tokenize = self.tokenizer.model.tokenize
+        self.words = Recent(self._encode, CACHED_WORDS, LONG_WORD)
+
+    def _encode(self, word: str) -> bytes:
+        small = word.lower()
+        stem = small.rstrip(STOPS)
+        if SMALL_LETTERS(stem):  # then capitals have the ids of small letters
+            if len(stem) < len(word):
+                return self.words[stem] + self.words[small[len(stem) :]]
+            if word != stem:
+                return self.words[stem]
+            if not stem.isascii():
+                stem = stem.encode().decode("latin-1").translate(BYTE_LETTERS)
+            return np.array([token.id for token in self.tokenize(stem)], "<u4").tobytes()
+        (encoding,) = self.tokenizer.encode_batch_fast([word], add_special_tokens=False)
+        return np.array(encoding.ids, "<u4").tobytes()
+
+    def ids(self, texts: list[str | None], end_id: int) -> list[bytes]:
+        """For each text the ids, the end id last, as little-endian 32-bit integers."""
+        self.words.age()
+        of_word, end = self.words.__getitem__, end_id.to_bytes(4, "little")
+        return [b"".join(map(of_word, (text or "").replace("\n", " ").split(" "))) + end for text in texts]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -70,19 +83,23 @@ _encoders: dict[str, WordEncoder] = {}
 def encode(path: str, end_id: int) -> Callable[[Column], Column]:
     """A function from a text column to arrays of token ids; null and empty texts have the end id only."""
 
-    @F.pandas_udf("array<int>")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(ArrayType(IntegerType()))
+    def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoders.setdefault(path, WordEncoder(path))
-        for texts in batches:
-            yield pd.Series([np.frombuffer(encoder(text, end_id), "<i4") for text in texts], dtype=object)
+        for texts in slices(batches):
+            found = encoder.ids(texts, end_id)
+            ends = np.cumsum([0, *map(len, found)]) // 4
+            flat = np.frombuffer(b"".join(found), "<i4")
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
     return encoded
 
 
-@F.pandas_udf(LongType())
-def ids_crc32(ids: pd.Series) -> pd.Series:
+@F.arrow_udf(LongType())
+def ids_crc32(ids: pa.Array) -> pa.Array:
     """Unsigned crc32 of the ids as little-endian unsigned 32-bit integers."""
-    return pd.Series([zlib.crc32(np.asarray(x, "<u4").tobytes()) for x in ids], dtype="int64")
+    ends, flat = ids.offsets.to_numpy(), ids.values.to_numpy().astype("<u4", copy=False)
+    return pa.array([zlib.crc32(flat[a:b]) for a, b in zip(ends, ends[1:])], pa.int64())
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1) -> None:
