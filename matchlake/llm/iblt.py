@@ -24,7 +24,9 @@ from matchlake.llm.common import table
 # A paragraph: up to eight words, or less up to the end of a sentence or line.
 PARAGRAPH = re.compile(r"(?:[^\s.!?]+[^\S\n]*){1,8}[.!?]*|[.!?]+")
 HASHES, CELLS, GROWTH = 3, 12, 4
-CELL = np.dtype([("count", "<i8"), ("digest", "<u8"), ("check", "<u8")])
+# Salt of repeated paragraphs; those of cells are smaller.
+REPEAT = 99
+ONE, MINUS_ONE = np.uint64(1), np.uint64(2**64 - 1)
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -36,79 +38,95 @@ def mix(x: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class Paragraphs:
+    """The hashes of a text's paragraphs in order, and where each ends."""
+
+    def __init__(self, text: str, before: Paragraphs | None = None, same: int = 0):
+        """`before` is of a text with the same first `same` characters: what ends before them is taken over."""
+        n = np.searchsorted(before.ends, same) if before and same else 0
+        self.hashes, self.ends = (before.hashes[:n], before.ends[:n]) if n else ([], [])
+        new = list(PARAGRAPH.finditer(text, int(self.ends[-1]) if n else 0))
+        self.hashes = self.hashes + [xxh3_64_intdigest(m[0].strip().encode("utf-8", "surrogatepass")) for m in new]
+        self.ends = np.append(self.ends, [m.end() for m in new]).astype(np.int64)
+
+    def digests(self) -> np.ndarray:
+        """Sorted; the second of equal paragraphs has another digest than the first."""
+        keys = np.sort(np.array(self.hashes, np.uint64))
+        if not len(keys):
+            return keys
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        if len(starts) == len(keys):
+            return keys
+        repeats = np.arange(len(keys)) - np.repeat(starts, np.diff(np.append(starts, len(keys))))
+        return np.unique(np.where(repeats == 0, keys, mix(keys + repeats.astype(np.uint64), REPEAT)))
+
+
 def digests(text: str) -> np.ndarray:
-    """Sorted digests of the paragraphs; the second of equal ones has another digest than the first."""
-    hashes = [xxh3_64_intdigest(x.strip().encode("utf-8", "surrogatepass")) for x in PARAGRAPH.findall(text)]
-    keys = np.sort(np.array(hashes, np.uint64))
-    if not len(keys):
-        return keys
-    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    repeats = np.arange(len(keys)) - np.repeat(starts, np.diff(np.append(starts, len(keys))))
-    return np.unique(np.where(repeats == 0, keys, mix(keys + repeats.astype(np.uint64), 99)))
+    return Paragraphs(text).digests()
 
 
 def places(keys: np.ndarray, size: int, salt: int) -> np.ndarray:
-    """The cells of each digest: one in each of HASHES equal parts of the sketch."""
-    part = size // HASHES
-    return np.stack([mix(keys, 10 * salt + n) % np.uint64(part) + np.uint64(n * part) for n in range(HASHES)]).astype(np.int64)
+    """The cells of each digest: one in each of HASHES equal parts of the sketch, part after part."""
+    part, mixed = np.uint64(size // HASHES), mix(keys, salt)
+    each = [(mixed >> np.uint64(21 * n) & np.uint64(0x1FFFFF)) * part >> np.uint64(21) for n in range(HASHES)]
+    return np.concatenate([cell + np.uint64(n) * part for n, cell in enumerate(each)]).astype(np.int64)
 
 
-def _add(cells: np.ndarray, keys: np.ndarray, signs: np.ndarray, salt: int) -> None:
-    where = places(keys, len(cells), salt).ravel()
-    wide = signs.astype(np.uint64)  # -1 becomes 2**64 - 1, so that sums wrap as they should
-    np.add.at(cells["count"], where, np.tile(signs, HASHES))
-    np.add.at(cells["digest"], where, np.tile(keys * wide, HASHES))
-    np.add.at(cells["check"], where, np.tile(mix(keys, 77) * wide, HASHES))
+def _add(cells: np.ndarray, keys: np.ndarray, signs: np.ndarray | None, salt: int) -> None:
+    """Add digests, or with a sign of 2**64 - 1, which stands for -1, take them away. Sums wrap."""
+    where = places(keys, cells.shape[1], salt)
+    count = np.ones(len(keys), np.uint64) if signs is None else signs
+    for row, values in enumerate((count, keys * count, checksum(keys) * count)):
+        np.add.at(cells[row], where, np.concatenate([values] * HASHES))
 
 
 def sketch(keys: np.ndarray, size: int = CELLS, salt: int = 0) -> np.ndarray:
-    cells = np.zeros(size, CELL)
-    _add(cells, keys, np.ones(len(keys), np.int64), salt)
+    """Cells as columns: how many digests each holds, their sum, and the sum of their checksums."""
+    cells = np.zeros((3, size), np.uint64)
+    _add(cells, keys, None, salt)
     return cells
 
 
-def subtract(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    out = np.empty_like(a)
-    for name in CELL.names:
-        out[name] = a[name] - b[name]
-    return out
-
-
 def peel(cells: np.ndarray, salt: int = 0) -> tuple[np.ndarray, np.ndarray] | None:
     """The digests only in the first and only in the second of two subtracted sketches, or None if stuck."""
-    cells, found, signs = cells.copy(), [], []
+    cells, found, signs, n = cells.copy(), [], [], 0
     while True:
-        pure = np.flatnonzero(np.abs(cells["count"]) == 1)
-        sign = cells["count"][pure]
-        keys = cells["digest"][pure] * sign.astype(np.uint64)
-        whole = cells["check"][pure] == mix(keys, 77) * sign.astype(np.uint64)
+        count, digest, check = cells
+        pure = np.flatnonzero((count == ONE) | (count == MINUS_ONE))
+        sign = count[pure]
+        keys = digest[pure] * sign
+        whole = check[pure] == checksum(keys) * sign
         keys, first = np.unique(keys[whole], return_index=True)
         if not len(keys):
             break
         sign = sign[whole][first]
         found.append(keys)
         signs.append(sign)
-        if sum(map(len, found)) > 2 * len(cells):  # a false pure cell goes round in circles
+        n += len(keys)
+        if n > 2 * cells.shape[1]:  # a false pure cell goes round in circles
             return None
         _add(cells, keys, -sign, salt)
-    if any(cells[name].any() for name in CELL.names):
+    if cells.any():
         return None
-    keys, sign = np.concatenate([*found, np.empty(0, np.uint64)]), np.concatenate([*signs, np.empty(0, np.int64)])
-    return keys[sign > 0], keys[sign < 0]
+    if not found:
+        return digest[:0], digest[:0]
+    keys, sign = np.concatenate(found), np.concatenate(signs)
+    return keys[sign == ONE], keys[sign == MINUS_ONE]
 
 
 def difference(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The digests only in `a` and only in `b`.
 
-    Sketches grow by GROWTH, each time with other hashes, until one can be peeled; past a
-    size at which all but unlucky ones can, the sets are compared directly.
+    The first sketch is large enough if about a third of the digests differ. Sketches grow by GROWTH, each
+    time with other hashes, until one can be peeled; past a size at which all but unlucky ones can,
+    the sets are compared directly.
     """
-    size, salt = CELLS, 0
-    while size <= 16 * max(len(a) + len(b), CELLS):
-        if size > abs(len(a) - len(b)):
-            found = peel(subtract(sketch(a, size, salt), sketch(b, size, salt)), salt)
-            if found is not None:
-                return found
+    n = len(a) + len(b)
+    size, salt = HASHES * max(CELLS // HASHES, int(0.15 * n), abs(len(a) - len(b)) // 2), 0
+    while size <= 16 * max(n, CELLS):
+        found = peel(sketch(a, size, salt) - sketch(b, size, salt), salt)
+        if found is not None:
+            return found
         size, salt = size * GROWTH, salt + 1
     return np.setdiff1d(a, b), np.setdiff1d(b, a)
 
@@ -120,12 +138,17 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return (len(a) - only_a) / union if union else 1.0
 
 
+def checksum(keys: np.ndarray) -> np.ndarray:
+    """Squares: the square of a sum of digests is not the sum of their squares."""
+    return keys * keys
+
+
 def as_text(cells: np.ndarray) -> str:
-    return cells.tobytes().hex()
+    return cells.astype("<u8").tobytes().hex()
 
 
 def from_text(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(fingerprint), CELL)
+    return np.frombuffer(bytes.fromhex(fingerprint), "<u8").reshape(3, -1)
 
 
 def edited_text(text: str, following: str) -> str:
@@ -205,7 +228,7 @@ def fingerprint_rows(docs: DataFrame) -> DataFrame:
                 if done:
                     continue
                 text = open_(content).decode("utf-8", "surrogatepass")
-                now = doc_id, text, digests(text)
+                now = doc_id, text, Paragraphs(text)
                 if last:
                     out.append(_row(last, now))
                 last, done = now, bool(tail)
@@ -217,9 +240,9 @@ def fingerprint_rows(docs: DataFrame) -> DataFrame:
 
 
 def _row(own: tuple, following: tuple) -> tuple:
-    doc_id, text, keys = own
-    edited = edited_text(text, following[1])
-    edited_keys = digests(edited)
+    doc_id, text, paragraphs = own
+    edited, same = edited_text(text, following[1]), len(text) - len(text) // 4
+    keys, edited_keys = paragraphs.digests(), Paragraphs(edited, paragraphs, same).digests()
     return (
         doc_id,
         len(text),
@@ -227,7 +250,7 @@ def _row(own: tuple, following: tuple) -> tuple:
         as_text(sketch(keys)),
         as_text(sketch(edited_keys)),
         likeness(keys, edited_keys),
-        likeness(keys, following[2]),
+        likeness(keys, following[2].digests()),
     )
 
 

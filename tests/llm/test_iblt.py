@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from matchlake.llm import iblt
-from matchlake.llm.iblt import difference, digests, fingerprint_rows, from_text, likeness, op6_fingerprints, peel, sketch, subtract
+from matchlake.llm.iblt import difference, digests, fingerprint_rows, from_text, likeness, op6_fingerprints, peel, sketch
 
 
 def brute(rows):
@@ -37,10 +37,10 @@ def test_differences_are_exact(a, b, common):
 
 def test_small_differences_are_read_from_the_fingerprints():
     a = np.arange(1000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    b = np.append(a[3:], np.uint64(5))
+    b = np.append(a[1:], np.uint64(5))
     sketches = [from_text(iblt.as_text(sketch(x))) for x in (a, b)]
-    only_a, only_b = peel(subtract(*sketches))
-    assert sorted(only_a.tolist()) == sorted(a[:3].tolist()) and only_b.tolist() == [5]
+    only_a, only_b = peel(sketches[0] - sketches[1])
+    assert only_a.tolist() == a[:1].tolist() and only_b.tolist() == [5]
 
 
 def test_large_differences_need_a_larger_sketch():
@@ -49,6 +49,16 @@ def test_large_differences_need_a_larger_sketch():
     assert len(difference(a, a[:0])[0]) == 100
 
 
+@given(st.text("ab. !\n\t", max_size=80), st.text("ab. !\n", max_size=30), st.integers(0, 80))
+@settings(max_examples=300, deadline=None)
+def test_paragraphs_are_taken_over(text, tail, same):
+    same = min(same, len(text))
+    edited = text[:same] + tail
+    taken = iblt.Paragraphs(edited, iblt.Paragraphs(text), same)
+    fresh = iblt.Paragraphs(edited)
+    assert list(taken.hashes) == list(fresh.hashes) and taken.ends.tolist() == fresh.ends.tolist()
+
+
 def test_repeated_paragraphs_count():
     assert len(digests("Yes. Yes. Yes.")) == 3
     assert likeness(digests("Yes. Yes. No."), digests("Yes. No.")) == pytest.approx(2 / 3)
