@@ -19,20 +19,22 @@ import struct
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import table
-from matchlake.llm.token_files import ids_crc32
+from matchlake.llm.common import Recent, slices, table
 
 BLANK = "▁"
 # Fixed values of the model format: kinds of pieces, and kinds of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
-# Encoded words and pairs a worker keeps, and the length from which a word is not kept.
-KEPT_WORDS, KEPT_PAIRS, LONG_WORD = 300_000, 1_000_000, 64
+# Words that a worker keeps twice at most, pairs that it keeps, and the length from which a word is not kept.
+KEPT_WORDS, KEPT_PAIRS, LONG_WORD = 150_000, 400_000, 64
+# Of a character that is written as bytes: more than any path of pieces.
+BYTES_WEIGHT = 1e6
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -88,15 +90,14 @@ class Transducer:
         # What no piece crosses can be composed word by word.
         crossing = any(BLANK in piece.lstrip(BLANK) for piece in self.of_piece)
         self.word = re.compile("(?s).+" if crossing else f"{BLANK}*[^{BLANK}]+|{BLANK}+")
-        # A trie: each state has an arc for each character, and an output if a piece ends there.
-        self.trie: dict = {}
+        # All pieces in one automaton: it follows every path of the vocabulary through a word at once.
+        self.automaton = ahocorasick.Automaton()
         for piece in self.of_piece:
             if not self.merges or self._merged(piece) == [piece]:
-                state = self.trie
-                for letter in piece:
-                    state = state.setdefault(letter, {})
-                state[""] = (piece, -self.scores[self.of_piece[piece]])
-        self.kept: dict[str, bytes] = {}
+                self.automaton.add_word(piece, piece)
+        if self.of_piece:
+            self.automaton.make_automaton()
+        self.words = Recent(self._word, KEPT_WORDS, LONG_WORD)
         self.pairs: dict[str, dict[str, bool]] = {}
         self.n_pairs = 0
         self.outputs = [self._output(i) for i in ids]
@@ -125,43 +126,56 @@ class Transducer:
             known[piece] = not before or self._merged(before + piece) == [before, piece]
         return known[piece]
 
-    def _arcs(self, word: str, start: int) -> list[tuple[int, str, float]]:
-        """(end, piece, weight) of the arcs from a place; a character without piece has one for its bytes."""
-        state, arcs = self.trie, []
-        for end in range(start, len(word)):
-            state = state.get(word[end])
-            if state is None:
-                break
-            if "" in state:
-                arcs.append((end + 1, *state[""]))
-        if not arcs or arcs[0][0] > start + 1:
-            arcs.append((start + 1, word[start], 1e6))
+    def _arcs(self, word: str) -> list[list[tuple[int, str]]]:
+        """For each place (end, piece) of its arcs, the longest last; a character without piece has one for its bytes."""
+        arcs: list[list[tuple[int, str]]] = [[] for _ in word]
+        for last, piece in self.automaton.iter(word) if self.of_piece else ():
+            arcs[last + 1 - len(piece)].append((last + 1, piece))
+        for place, found in enumerate(arcs, 1):
+            if not found or found[0][0] > place:
+                found.insert(0, (place, word[place - 1]))
         return arcs
 
     def shortest_path(self, word: str) -> list[str]:
-        """The pieces of the path of least weight. A state is a place and, for merges, the piece before it."""
-        states: list[dict] = [{} for _ in range(len(word) + 1)]
-        states[0][""] = (0.0, 0, "", "")
-        merges, follows, none = self.merges, self._follows, {}
-        for start, here in enumerate(states[:-1]):
-            if not here:
-                continue
-            for end, piece, weight in self._arcs(word, start):
-                there, name = states[end], piece if merges else ""
-                for before, (cost, *_) in here.items():
-                    if merges:
-                        fits = self.pairs.get(before, none).get(piece)
-                        if not (follows(before, piece) if fits is None else fits):
-                            continue
-                    if name not in there or cost + weight < there[name][0]:
-                        there[name] = (cost + weight, start, before, piece)
+        """The pieces of the path of least weight."""
+        return self._only_path(word) if self.merges else self._least_path(word)
+
+    def _least_path(self, word: str) -> list[str]:
+        """Place by place, the least weight of a path to it and the arc it ends with."""
+        states: list[tuple | None] = [(0.0, 0, "")] + [None] * len(word)
+        for start, arcs in enumerate(self._arcs(word)):
+            for end, piece in arcs:
+                number = self.of_piece.get(piece)
+                total = states[start][0] + (BYTES_WEIGHT if number is None else -self.scores[number])
+                if states[end] is None or total < states[end][0]:
+                    states[end] = (total, start, piece)
         path, at = [], len(word)
-        name = min(states[at], key=lambda x: states[at][x][0])
         while at:
-            _, at, name, piece = states[at][name]
+            _, at, piece = states[at]
             path.append(piece)
         return path[::-1]
 
+    def _only_path(self, word: str) -> list[str]:
+        """A state is a place and the piece before it. One path reaches the end, so the first that does is the least."""
+        size, pairs, dead, none, every = len(word), self.pairs, set(), {}, self._arcs(word)
+        trail = [("", 0, every[0])]  # states on the way, with the arcs not tried yet, the longest last
+        while True:
+            before, place, arcs = trail[-1]
+            known = pairs.get(before, none)
+            while arcs:
+                end, piece = arcs.pop()
+                fits = known.get(piece)
+                if fits is None:
+                    fits = self._follows(before, piece)
+                if fits and (end, piece) not in dead:
+                    if end == size:
+                        return [state[0] for state in trail[1:]] + [piece]
+                    trail.append((piece, end, every[end].copy()))
+                    break
+            else:
+                dead.add((place, before))
+                trail.pop()
+
     def _ids(self, piece: str) -> list[int]:
         if piece in self.of_piece:
             return [self.of_piece[piece]]
@@ -175,16 +189,9 @@ class Transducer:
         return self.prefix + text.replace(" ", BLANK) if text else ""
 
     def encode(self, text: str | None) -> np.ndarray:
+        self.words.age()
         words = self.word.findall(self.normalise(text or ""))
-        new = {word for word in words if word not in self.kept}
-        if len(self.kept) + len(new) > KEPT_WORDS:
-            self.kept, new = {}, set(words)
-        self.kept.update((word, self._word(word)) for word in new)
-        ids = b"".join(map(self.kept.__getitem__, words))
-        for word in new:
-            if len(word) > LONG_WORD:
-                del self.kept[word]
-        return np.frombuffer(ids, "<i4")
+        return np.frombuffer(b"".join(map(self.words.__getitem__, words)), "<i4")
 
     def _output(self, i: int) -> bytes:
         if self.kinds[i] == BYTE:
@@ -194,7 +201,7 @@ class Transducer:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of the ids, without the blank that encoding puts in front; broken characters become U+FFFD."""
-        text = b"".join([self.outputs[i] for i in ids.tolist()]).decode("utf-8", "replace")
+        text = b"".join(map(self.outputs.__getitem__, ids.tolist())).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
@@ -210,33 +217,37 @@ def compiled(model: bytes) -> Transducer:
 
 
 def encode(spark: SparkSession, model_path: str) -> Callable[[Column], Column]:
-    """A function from a text column to arrays of ids; a null or empty text has none.
+    """A function from a text column to a struct of `ids` and `decoded`, the text that the ids decode to.
 
-    The driver reads the model, whose size does not depend on the data, and sends it to all tasks.
+    A null or empty text has no ids and decodes to an empty one. Decoding gives back what was encoded, but for U+2581,
+    which stands for a blank in pieces and comes back as one. The driver reads the model, whose
+    size does not depend on the data, and sends it to all tasks.
     """
     model = spark.sparkContext.broadcast(Path(model_path).read_bytes())
 
-    @F.pandas_udf("array<int>")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("ids array<int>, decoded string")
+    def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         transducer = compiled(model.value)
-        for texts in batches:
-            yield pd.Series([transducer.encode(text) for text in texts], dtype=object)
+        for texts in slices(batches):
+            ids = [transducer.encode(text) for text in texts]
+            decoded = [transducer.decode(x) for x in ids]
+            ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+            lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, "<i4"), *ids])))
+            yield pa.StructArray.from_arrays([lists, pa.array(decoded, pa.string())], ["ids", "decoded"])
 
     return encoded
 
 
 def decode(spark: SparkSession, model_path: str) -> Callable[[Column], Column]:
-    """A function from a column of ids to texts; null gives null.
-
-    It gives back what was encoded, but for U+2581, which stands for a blank in pieces and comes back as one.
-    """
+    """A function from a column of ids to texts; null gives null."""
     model = spark.sparkContext.broadcast(Path(model_path).read_bytes())
 
-    @F.pandas_udf("string")
-    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         transducer = compiled(model.value)
-        for ids in batches:
-            yield pd.Series([None if x is None else transducer.decode(np.asarray(x)) for x in ids], dtype=object)
+        for lists in batches:
+            found = (None if x is None else transducer.decode(np.asarray(x, "<i4")) for x in lists.to_pylist())
+            yield pa.array(list(found), pa.string())
 
     return decoded
 
@@ -249,9 +260,10 @@ def default_model() -> str:
 
 def with_pieces(docs: DataFrame, model_path: str) -> DataFrame:
     """The documents with `ids`, `n_tokens` and `decoded`; columns of these names are replaced."""
-    spark = docs.sparkSession
-    docs = docs.withColumn("ids", encode(spark, model_path)(F.col("text")))
-    return docs.withColumn("n_tokens", F.size("ids")).withColumn("decoded", decode(spark, model_path)(F.col("ids")))
+    found = encode(docs.sparkSession, model_path)(F.col("text"))
+    rows = docs.select(F.struct("*").alias("row"), found.alias("found"))
+    kept = [F.col("row")[name].alias(name) for name in docs.columns if name not in ("ids", "n_tokens", "decoded")]
+    return rows.select(*kept, "found.ids", F.size("found.ids").alias("n_tokens"), "found.decoded")
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
@@ -259,7 +271,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None =
     return found.select(
         "doc_id",
         F.col("n_tokens").cast("long").alias("n_tokens"),
-        ids_crc32("ids").alias("ids_crc32"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
         F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
