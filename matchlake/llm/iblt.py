@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -49,6 +50,7 @@ class Paragraphs:
         self.hashes = self.hashes + [xxh3_64_intdigest(m[0].strip().encode("utf-8", "surrogatepass")) for m in new]
         self.ends = np.append(self.ends, [m.end() for m in new]).astype(np.int64)
 
+    @cached_property
     def digests(self) -> np.ndarray:
         """Sorted; the second of equal paragraphs has another digest than the first."""
         keys = np.sort(np.array(self.hashes, np.uint64))
@@ -62,7 +64,7 @@ class Paragraphs:
 
 
 def digests(text: str) -> np.ndarray:
-    return Paragraphs(text).digests()
+    return Paragraphs(text).digests
 
 
 def places(keys: np.ndarray, size: int, salt: int) -> np.ndarray:
@@ -242,7 +244,7 @@ def fingerprint_rows(docs: DataFrame) -> DataFrame:
 def _row(own: tuple, following: tuple) -> tuple:
     doc_id, text, paragraphs = own
     edited, same = edited_text(text, following[1]), len(text) - len(text) // 4
-    keys, edited_keys = paragraphs.digests(), Paragraphs(edited, paragraphs, same).digests()
+    keys, edited_keys = paragraphs.digests, Paragraphs(edited, paragraphs, same).digests
     return (
         doc_id,
         len(text),
@@ -250,7 +252,7 @@ def _row(own: tuple, following: tuple) -> tuple:
         as_text(sketch(keys)),
         as_text(sketch(edited_keys)),
         likeness(keys, edited_keys),
-        likeness(keys, following[2].digests()),
+        likeness(keys, following[2].digests),
     )
 
 
