@@ -81,8 +81,8 @@ def line_dedup(docs: DataFrame, site: str = "source", min_sites: int = 10, min_w
 
 
 def without_boilerplate(docs: DataFrame, **settings) -> DataFrame:
-    """The documents with their texts cleaned; one that has lost all its long lines goes."""
-    found = line_dedup(docs, **settings).filter("n_removed = 0 OR n_long_left > 0")
+    """The documents with their texts cleaned; one that has lost lines and has only blank ones left goes."""
+    found = line_dedup(docs, **settings).filter((F.col("n_removed") == 0) | F.col("text").rlike("[^ \\t\\r\\n]"))
     return found.select(F.col("row").withField("text", F.col("text")).alias("row")).select("row.*")
 
 

@@ -56,6 +56,14 @@ def test_documents_and_columns_stay(make_docs):
     assert without_boilerplate(docs.limit(0)).count() == 0
 
 
+def test_a_document_goes_only_if_no_text_is_left(make_docs):
+    poem = "\n".join(f"short line {i}" for i in range(1000))
+    rows = [(i, COMMON, "en", f"s{i}") for i in range(3)]
+    rows += [(3, f"{poem}\n{COMMON}", "en", "s3"), (4, f" \t\n{COMMON}\n\r", "en", "s4"), (5, "", "en", "s5"), (6, None)]
+    kept = {r.doc_id: r.text for r in without_boilerplate(make_docs(rows), min_sites=3).collect()}
+    assert kept == {0: COMMON, 3: poem, 5: "", 6: None}
+
+
 def test_no_python_runs(make_docs):
     plan = line_dedup(make_docs([(1, COMMON)]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
