@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from matchlake.llm.decontamination import contamination, decontaminate
+from matchlake.llm.decontamination import contamination, decontaminate, window_blocks, with_contamination
 
 LONG = " ".join(f"w{i}" for i in range(20))
 
@@ -62,3 +62,19 @@ def test_empty_tables(make_docs, benchmark):
 def test_a_benchmark_beyond_the_bound_is_refused(make_docs, benchmark):
     with pytest.raises(ValueError, match="pattern characters"):
         contamination(benchmark.sparkSession, benchmark, max_pattern_chars=100)
+
+
+@pytest.mark.parametrize("bound", [1, 100, 200])
+def test_a_benchmark_beyond_the_bound_is_scanned_for_in_blocks(make_docs, benchmark, bound):
+    """All windows, hits, items and spans are those of one automaton; nothing is refused."""
+    assert len(list(window_blocks(benchmark, 13, bound))) > 1
+    text = "Intro: a SHORT, item... " + LONG.upper() + " end w1 w2"
+    rows = [(1, text), (2, None), (3, ""), (4, "?!"), (5, "no id here"), (6, f"x {LONG} y {LONG}"), (None, "short item"), (7, "x")]
+    rows += [(1, text), (1, LONG), (8, "short item" + " x" * 39)]
+    docs = make_docs(rows)
+    whole = docs.select("doc_id", "text", contamination(docs.sparkSession, benchmark)(F.col("text")).alias("found"))
+    parts = with_contamination(docs, benchmark, max_pattern_chars=bound).select("row.doc_id", "row.text", "found")
+    assert sorted(map(str, parts.collect())) == sorted(map(str, whole.collect()))
+    kept = decontaminate(docs, benchmark, max_pattern_chars=bound)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, decontaminate(docs, benchmark).collect()))
