@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from matchlake.llm import (
     backoff,
+    byte_bpe,
+    centroids,
     decontamination,
     iblt,
     language_id,
@@ -15,6 +17,7 @@ from matchlake.llm import (
     line_dedup,
     pieces,
     simhash,
+    spellings,
     token_files,
     toxicity,
 )
@@ -32,6 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_licenses": licenses.op8_licenses,
         "op9_token_files": token_files.op9_token_files,
         "op10_language_id": language_id.op10_language_id,
+        "op11_byte_bpe": byte_bpe.op11_byte_bpe,
+        "op12_spellings": spellings.op12_spellings,
+        "op13_centroids": centroids.op13_centroids,
     }
 
 
@@ -41,4 +47,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_backoff": backoff.ORACLE_SQL,
         "op4_line_dedup": line_dedup.ORACLE_SQL,
         "op8_licenses": licenses.ORACLE_SQL,
+        "op12_spellings": spellings.ORACLE_SQL,
+        "op13_centroids": centroids.ORACLE_SQL,
     }
