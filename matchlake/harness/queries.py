@@ -608,15 +608,71 @@ def ridge_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gradients(spark, split, fitted, gold.RUNS_TARGET, training.RIDGE["alpha"], 6)
 
 
+# The boosted models of the last tables that were asked for: some thousand nodes, which all queries on these tables share.
+_boosted: dict[tuple[str, str], tuple[training.Fitted, training.Fitted]] = {}
+
+
+def _trees(spark: SparkSession, sf_dir: str, split: DataFrame) -> tuple[training.Fitted, training.Fitted]:
+    """The winner and the total-runs trees at their real settings."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _boosted:
+        _boosted.clear()
+        _boosted[key] = training.fit_winner_trees(split), training.fit_runs_trees(split)
+    return _boosted[key]
+
+
+def gbt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What both boosted models say of every labelled match."""
+    split = materialise(t.split_features(spark, sf_dir))
+    winner, runs = _trees(spark, sf_dir, split)
+    scored = runs.score(winner.score(split, "predicted_home_win_prob"), "predicted_total_runs")
+    return rounded(scored.select("game_pk", "split", "predicted_home_win_prob", "predicted_total_runs"))
+
+
+def fit_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every model fitted on the training seasons and evaluated on all splits, a row for each metric."""
+    split = materialise(t.split_features(spark, sf_dir))
+    boosted, based = _trees(spark, sf_dir, split), splits.with_baselines(split)
+    p, runs = "predicted_home_win_prob", "predicted_total_runs"
+    winner_models = {
+        "baseline": based, "logistic_regression": training.fit_logistic(split).score(split, p),
+        "boosted_trees": boosted[0].score(split, p),
+    }
+    runs_models = {
+        "baseline": based, "ridge_regression": training.fit_ridge(split).score(split, runs),
+        "boosted_trees": boosted[1].score(split, runs),
+    }
+    return rounded(splits.evaluated(winner_models, runs_models))
+
+
+def importance_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features of both boosted models by importance: the mean gain of their splits, as a share."""
+    split = materialise(t.split_features(spark, sf_dir))
+    named = zip(("winner", "runs"), _trees(spark, sf_dir, split))
+    tables = [
+        training.feature_importance(spark, fitted).select(F.lit(name).alias("model"), "feature", "importance")
+        for name, fitted in named
+    ]
+    return rounded(tables[0].unionByName(tables[1]))
+
+
+def tree_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five features that moved the chance of each labelled match most, by the boosted winner model."""
+    split = materialise(t.split_features(spark, sf_dir))
+    winner, _ = _trees(spark, sf_dir, split)
+    return rounded(attribution.explain_rows(split, winner, ["game_pk"], 5))
+
+
 def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions of both boosted models for every match of the newest day, and whether they are in range."""
     features = materialise(t.features(spark, sf_dir))
     split = splits.split_by_season(features, t.TRAIN_SEASONS, t.VAL_SEASONS, t.TEST_SEASONS)
+    winner, runs = _trees(spark, sf_dir, split)
     predicted = training.predict_day(
         features,
         _newest_day(features),
-        training.fit_winner_trees(split),
-        training.fit_runs_trees(split),
+        winner,
+        runs,
         "winner-run",
         "runs-run",
         F.lit("2024-01-01 00:00:00"),
@@ -631,7 +687,7 @@ def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def importance_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of the features by importance, whether it falls, and its total."""
     split = materialise(t.split_features(spark, sf_dir))
-    found = training.feature_importance(spark, training.fit_runs_trees(split)).collect()  # a row for each feature
+    found = training.feature_importance(spark, _trees(spark, sf_dir, split)[1]).collect()  # a row for each feature
     values = [row["importance"] for row in found]
     rows = [
         (i + 1, not i or value <= values[i - 1], 0.0 <= value <= 1.0, round(sum(values), 6))
@@ -643,8 +699,8 @@ def importance_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def attribution_tidy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every labelled match how far its contributions are from adding up to its log-odds, but for a constant."""
     split = materialise(t.split_features(spark, sf_dir))
-    fitted = training.fit_winner_trees(split)
-    n = len(fitted.prepared.features)
+    fitted, _ = _trees(spark, sf_dir, split)
+    n = len(fitted.features)
     parts = materialise(attribution.explain_rows(split, fitted, ["game_pk"], n))
     summed = parts.groupBy("game_pk").agg(
         F.sum("contribution").alias("total"), F.count("*").alias("n"), F.max("rank").alias("last_rank"),

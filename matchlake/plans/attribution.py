@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
-from itertools import combinations
+from collections.abc import Mapping, Sequence
 from math import factorial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.functions import display
+from matchlake.plans.boosting import BoostedTrees, Tree, matrix_of
 from matchlake.plans.panels import by_keys
 from matchlake.plans.training import Fitted
 
@@ -57,16 +57,16 @@ def explain_rows(
     df: DataFrame, fitted: Fitted, keep: Sequence[str], n: int = TOP_N
 ) -> DataFrame | None:
     """Top contributions of a fitted model, or None when `df` lacks one of its features."""
-    if any(name not in df.columns for name in fitted.prepared.features):
+    if any(name not in df.columns for name in fitted.features):
         return None
-    if hasattr(fitted.model, "trees"):
+    if isinstance(fitted.model, BoostedTrees):
         with_parts = tree_contributions(df, fitted, keep)
     else:
         weights = dict(zip(fitted.prepared.features, map(float, fitted.model.coefficients)))
         with_parts = linear_contributions(
             df, weights, {c: fitted.prepared.scaled(c) for c in weights}
         )
-    return top_contributions(with_parts, fitted.prepared.features, keep, n)
+    return top_contributions(with_parts, fitted.features, keep, n)
 
 
 def explain_keys(
@@ -84,89 +84,83 @@ def explain_keys(
 # ---------------------------------------------------------------------------
 
 
-def _leaf_paths(tree, weight: float) -> list[tuple[float, list[tuple[int, float, float, float]]]]:
-    """Each leaf as its weighted value and, per feature on its path, (index, low, high, share).
+def leaf_paths(tree: Tree) -> list[tuple[float, list[tuple[int, float, float, float, bool]]]]:
+    """Each leaf as its value and, per feature on its path, (index, low, high, share, takes_missing).
 
-    A row reaches the leaf when low < x <= high for all of them; `share` is the part of
-    the training rows that follow the path through the feature's own splits.
+    A row reaches the leaf when low < x <= high for all of them, or when x is missing and the path takes missing values; `share`
+    is the part of the training weight that follows the path through the feature's own splits.
     """
-    root = tree._call_java("rootNode")
     leaves = []
 
-    def walk(node, path: dict[int, tuple[float, float, float]]) -> None:
-        if node.subtreeDepth() == 0:
-            steps = [(i, low, high, share) for i, (low, high, share) in path.items()]
-            leaves.append((weight * node.prediction(), steps))
+    def walk(node: int, path: dict[int, tuple[float, float, float, bool]]) -> None:
+        index = int(tree.feature[node])
+        if index < 0:
+            leaves.append((float(tree.value[node]), [(i, *step) for i, step in path.items()]))
             return
-        split = node.split()
-        index, threshold = split.featureIndex(), split.threshold()
-        low, high, share = path.get(index, (-np.inf, np.inf, 1.0))
-        rows = node.impurityStats().count()
-        for child, bounds in (
-            (node.leftChild(), (low, min(high, threshold))),
-            (node.rightChild(), (max(low, threshold), high)),
+        threshold, missing_left = float(tree.threshold[node]), bool(tree.missing_left[node])
+        low, high, share, missing = path.get(index, (-np.inf, np.inf, 1.0, True))
+        for child, bounds, goes in (
+            (2 * node + 1, (low, min(high, threshold)), missing_left),
+            (2 * node + 2, (max(low, threshold), high), not missing_left),
         ):
-            followed = share * child.impurityStats().count() / rows
-            walk(child, {**path, index: (*bounds, followed)})
+            followed = share * float(tree.cover[child] / tree.cover[node])
+            walk(child, {**path, index: (*bounds, followed, missing and goes)})
 
-    walk(root, {})
+    walk(0, {})
     return leaves
 
 
-def _shapley_weight(chosen: int, players: int) -> float:
-    return factorial(chosen) * factorial(players - chosen - 1) / factorial(players)
+def _meets(x: np.ndarray, low: float, high: float, takes_missing: bool = False) -> np.ndarray:
+    below = x >= low if low == -np.inf else x > low
+    return np.where(np.isnan(x), takes_missing, below & (x <= high))
 
 
 def shapley_of_leaves(x: np.ndarray, leaves) -> np.ndarray:
-    """Path-dependent Shapley values of a sum of leaves for each row of `x`.
-
-    For one leaf the game over the features on its path is a product: a feature in the
-    coalition contributes whether the row satisfies its bounds, one outside it the
-    share of training rows that do. Paths are as short as the trees are deep, so the
-    coalitions are enumerated and all rows are worked on at once.
+    """Path-dependent Shapley values of a sum of leaves for each row of `x`; NaN is a missing value.
+
+    For one leaf the game over the features on its path is a product: a feature in the coalition
+    contributes whether the row satisfies its bounds, one outside it the share of training weight that
+    does. So the coalitions of each size add up to a coefficient of the polynomial of all factors
+    (share + meets * t). It is extended by one factor after another; a feature's value needs the
+    polynomial of the others, which is had by taking its own factor out again. For m features on a path
+    that is some m^2 steps, not 2^m, and all rows are worked on at once.
     """
     values = np.zeros(x.shape)
     for leaf_value, steps in leaves:
-        if not steps:
-            continue
-        meets = [((x[:, i] > low) & (x[:, i] <= high)).astype(float) for i, low, high, _ in steps]
-        shares = [share for *_, share in steps]
-        players = range(len(steps))
-        for me in players:
-            others = [p for p in players if p != me]
-            total = np.zeros(len(x))
-            for size in range(len(others) + 1):
-                for coalition in combinations(others, size):
-                    product = np.full(len(x), _shapley_weight(size, len(steps)))
-                    for p in others:
-                        product *= meets[p] if p in coalition else shares[p]
-                    total += product
-            values[:, steps[me][0]] += leaf_value * (meets[me] - shares[me]) * total
+        m = len(steps)
+        meets = [_meets(x[:, i], low, high, *missing) for i, low, high, _, *missing in steps]
+        shares = [step[3] for step in steps]
+        product = np.zeros((m + 1, len(x)))
+        product[0] = 1.0
+        for meet, share in zip(meets, shares):
+            shifted = product[:-1] * meet
+            product *= share
+            product[1:] += shifted
+        weights = [factorial(k) * factorial(m - k - 1) / factorial(m) for k in range(m)]
+        for (index, *_), meet, share in zip(steps, meets, shares):
+            # With the row inside the bounds the factor is (share + t), divided out from the top; else it is the share alone.
+            inside, rest = np.zeros(len(x)), np.zeros(len(x))
+            for k in range(m - 1, -1, -1):
+                rest = product[k + 1] - share * rest
+                inside += weights[k] * rest
+            outside = (np.array(weights) @ product[:m]) / share if share else 0.0
+            values[:, index] += leaf_value * np.where(meet, (1.0 - share) * inside, -share * outside)
     return values
 
 
 def tree_contributions(df: DataFrame, fitted: Fitted, keep: Sequence[str]) -> DataFrame:
-    """Append Shapley contributions of a boosted model, in log-odds or target units.
+    """Append Shapley contributions of boosted trees, in log-odds or target units, in feature order.
 
-    The leaves travel to the tasks with the function; their number depends on the
-    model settings alone. A classifier's log-odds are twice its margin.
+    The leaves travel to the tasks with the function; their number depends on the model settings alone.
     """
     model = fitted.model
-    scale = 2.0 if hasattr(model, "numClasses") else 1.0
-    leaves = [
-        leaf
-        for tree, weight in zip(model.trees, model.treeWeights)
-        for leaf in _leaf_paths(tree, scale * weight)
-    ]
-    features = fitted.prepared.features
-    inputs = df.select(*keep, *[fitted.prepared.imputed(c).alias(f"_x_{c}") for c in features])
-
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            x = batch[[f"_x_{c}" for c in features]].to_numpy(dtype=float)
-            out = batch[list(keep)].copy()
-            out[_CONTRIBUTIONS] = list(shapley_of_leaves(x, leaves))
-            yield out
-
-    kept = ", ".join(f"`{c}` {kind}" for c, kind in df.select(*keep).dtypes)
-    return inputs.mapInPandas(explain, f"{kept}, {_CONTRIBUTIONS} array<double>")
+    leaves = [leaf for tree in model.trees for leaf in leaf_paths(tree)]
+    width = len(model.features)
+
+    @F.arrow_udf("array<double>")
+    def explained(rows: pa.Array) -> pa.Array:
+        values = shapley_of_leaves(matrix_of(rows, width), leaves)
+        ends = np.arange(len(values) + 1, dtype=np.int32) * width
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()))
+
+    return df.select(*keep, explained(model.inputs).alias(_CONTRIBUTIONS))

@@ -10,15 +10,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.ml.classification import GBTClassificationModel
-from pyspark.ml.regression import GBTRegressionModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.plans import attribution, gold, market, quality, registry, silver
+from matchlake.plans import attribution, incremental, quality, registry
+from matchlake.plans.boosting import BoostedTrees
 from matchlake.plans.grading import grade_predictions
-from matchlake.plans.training import Fitted, Preparation, predict_day
-from matchlake.schemas import GOLD, RUNS
+from matchlake.plans.incremental import MONTH
+from matchlake.plans.training import Fitted, predict_day
+from matchlake.schemas import RUNS
 from matchlake.session import materialise, release_stored
 from matchlake.sources import landing
 from matchlake.sources.lake import Lake, append, drop_partitions, read_or_empty, replace_partitions
@@ -32,8 +32,6 @@ BRONZE_DOCUMENTS = {
 }
 PER_MATCH_TABLES = ("boxscores", "plays")
 REJECTS = "_rejects"
-# The partition column of the stored features.
-MONTH = "game_month"
 
 
 KEYS = {
@@ -99,45 +97,21 @@ def days_before(day: date, days: int = landing.REINGEST_DAYS) -> list[str]:
 
 
 def build_silver(lake: Lake) -> None:
-    games = lake.store(silver.games(lake.bronze("schedule")), "silver", "games")
-    boxscores = materialise(silver.parse_boxscores(lake.bronze("boxscores")))
-    lake.store(silver.team_game_stats(boxscores), "silver", "team_game_stats")
-    lake.store(silver.pitcher_game_stats(boxscores), "silver", "pitcher_game_stats")
-    lake.store(silver.transactions(lake.bronze("transactions")), "silver", "transactions")
-    lake.store(market.odds(lake.bronze("odds"), games), "silver", "odds")
+    """All typed tables from all raw rows."""
+    incremental.rebuild_typed(lake)
 
 
 def build_gold(lake: Lake) -> DataFrame:
-    games, pitchers = lake.silver("games"), lake.silver("pitcher_game_stats")
-    built = {
-        "team_rolling": gold.team_rolling(games),
-        "pitcher_form": gold.pitcher_form(games, pitchers),
-        "bullpen_form": gold.bullpen_form(games, pitchers),
-        "roster_activity": gold.roster_activity(games, lake.silver("transactions")),
-        "park_factors": gold.park_factors(games),
-    }
-    stored = {name: lake.store(df, "gold", name) for name, df in built.items()}
-    features = gold.assemble_features(
-        games,
-        stored["team_rolling"],
-        stored["pitcher_form"],
-        stored["bullpen_form"],
-        stored["roster_activity"],
-        stored["park_factors"],
-    )
-    lake.store(features.withColumn(MONTH, month_of(F.col("game_date"))), "gold", "features", partition_by=MONTH)
+    """All feature tables from the typed ones."""
+    incremental.rebuild_features(lake)
     return lake.gold("features")
 
 
-def month_of(day: Column) -> Column:
-    """The folder of a day's features."""
-    return F.date_format(day, "yyyy-MM")
-
-
 def features_on(lake: Lake, day: date) -> DataFrame:
     """The stored features of a day; only the folder of its month is read."""
-    fields = f"{GOLD['features']}, {MONTH} string"
-    stored = read_or_empty(lake.spark, lake.path("gold", "features"), fields)
+    stored = lake.gold("features", MONTH)
+    if MONTH not in stored.columns:
+        return stored.filter(F.col("game_date") == F.lit(day))
     wanted = (F.col(MONTH) == f"{day:%Y-%m}") & (F.col("game_date") == F.lit(day))
     return stored.filter(wanted).drop(MONTH)
 
@@ -174,20 +148,11 @@ def model_path(lake: Lake, run_id: str) -> str:
 
 
 def save_model(lake: Lake, run_id: str, fitted: Fitted) -> None:
-    """Store the model and the medians it imputes with."""
-    fitted.model.write().overwrite().save(f"{model_path(lake, run_id)}/model")
-    medians = lake.spark.createDataFrame(
-        [(i, c, m) for i, (c, m) in enumerate(fitted.prepared.medians.items())],
-        "place int, feature string, median double",
-    )
-    medians.write.mode("overwrite").parquet(f"{model_path(lake, run_id)}/medians")
+    fitted.model.save(lake.spark, model_path(lake, run_id))
 
 
-def load_trees(lake: Lake, run_id: str, loader) -> Fitted:
-    path = model_path(lake, run_id)
-    medians = lake.spark.read.parquet(f"{path}/medians").orderBy("place").collect()
-    prepared = Preparation({row["feature"]: row["median"] for row in medians})
-    return Fitted(loader.load(f"{path}/model"), prepared, False)
+def load_trees(lake: Lake, run_id: str) -> Fitted:
+    return Fitted(BoostedTrees.load(lake.spark, model_path(lake, run_id)))
 
 
 def load_serving(lake: Lake) -> Serving:
@@ -200,12 +165,7 @@ def load_serving(lake: Lake) -> Serving:
             raise LookupError(f"no model run for experiment {experiment}: train first")
         chosen[experiment] = row["run_id"]
     winner, total = chosen[registry.WINNER_EXPERIMENT], chosen[registry.RUNS_EXPERIMENT]
-    return Serving(
-        load_trees(lake, winner, GBTClassificationModel),
-        load_trees(lake, total, GBTRegressionModel),
-        winner,
-        total,
-    )
+    return Serving(load_trees(lake, winner), load_trees(lake, total), winner, total)
 
 
 def score_day(lake: Lake, day: date, predicted_at: datetime, serving: Serving | None = None) -> bool:
@@ -241,10 +201,10 @@ def daily_batch(
     now: datetime,
     serving: Serving | None = None,
 ) -> DataFrame:
-    """One day's run over landed files; returns the graded outcomes."""
-    land_days(lake, landing_root, days_before(day), now)
-    build_silver(lake)
-    build_gold(lake)
+    """One day's run over landed files, of which only what changed is worked on; returns the graded outcomes."""
+    days = days_before(day)
+    land_days(lake, landing_root, days, now)
+    incremental.refresh(lake, days)
     score_day(lake, day, now, serving)
     outcomes = grade(lake)
     release_stored(lake.spark)  # all that is left is in the lake

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,7 +69,8 @@ def with_targets(games: DataFrame) -> DataFrame:
     )
 
 
-def games(schedule: DataFrame) -> DataFrame:
+def games(schedule: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed matches, newest version each; `keep` names raw columns to hand on."""
     g = newest_landing(schedule, "game_pk").withColumn("p", parsed(GAME_PAYLOAD))
 
     def side(name: str) -> list[Column]:
@@ -96,6 +99,7 @@ def games(schedule: DataFrame) -> DataFrame:
         F.col("p.venue.name").alias("venue_name"),
         F.col("p.dayNight").alias("day_night"),
         "ingested_at",
+        *keep,
     )
     return with_targets(typed).select(
         "game_pk", "game_date", "game_datetime_utc", "season", "game_type", "status",
@@ -103,11 +107,11 @@ def games(schedule: DataFrame) -> DataFrame:
         "home_score", "away_score", "total_runs", "home_win",
         "venue_id", "venue_name", "day_night",
         "home_probable_pitcher_id", "home_probable_pitcher_name",
-        "away_probable_pitcher_id", "away_probable_pitcher_name", "ingested_at",
+        "away_probable_pitcher_id", "away_probable_pitcher_name", "ingested_at", *keep,
     )
 
 
-def parse_boxscores(boxscores: DataFrame) -> DataFrame:
+def parse_boxscores(boxscores: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Boxscores with what both tables below need of their payload, parsed once.
 
     Stored, the result serves both; the payload itself is not read again.
@@ -117,19 +121,21 @@ def parse_boxscores(boxscores: DataFrame) -> DataFrame:
         "ingested_at",
         F.xxhash64("payload").alias("fingerprint"),
         parsed(BOXSCORE_PAYLOAD).alias("p"),
+        *keep,
     )
 
 
-def _parsed_boxscores(boxscores: DataFrame) -> DataFrame:
-    return boxscores if "p" in boxscores.columns else parse_boxscores(boxscores)
+def _parsed_boxscores(boxscores: DataFrame, keep: Sequence[str]) -> DataFrame:
+    return boxscores if "p" in boxscores.columns else parse_boxscores(boxscores, keep)
 
 
-def team_game_stats(boxscores: DataFrame) -> DataFrame:
+def team_game_stats(boxscores: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Batting and fielding line of both teams of each match, from raw or parsed boxscores."""
-    lines = _parsed_boxscores(boxscores).select(
+    lines = _parsed_boxscores(boxscores, keep).select(
         "game_pk",
         "ingested_at",
         "fingerprint",
+        *keep,
         F.explode(
             F.array(
                 F.struct(F.lit(True).alias("is_home"), F.col("p.teams.home").alias("t")),
@@ -148,26 +154,29 @@ def team_game_stats(boxscores: DataFrame) -> DataFrame:
         *[F.col(f"s.t.teamStats.batting.{j}").try_cast("int").alias(c) for c, j in batting.items()],
         F.col("s.t.teamStats.fielding.errors").try_cast("int").alias("errors"),
         "ingested_at",
+        *keep,
         "fingerprint",
     )
     return newest_landing(typed, "game_pk", "team_id", fingerprint="fingerprint").drop("fingerprint")
 
 
-def pitcher_game_stats(boxscores: DataFrame) -> DataFrame:
+def pitcher_game_stats(boxscores: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per player listed among a side's pitchers; the first listed one started.
 
     Boxscores are raw or parsed.
     """
-    sides = _parsed_boxscores(boxscores).select(
+    sides = _parsed_boxscores(boxscores, keep).select(
         "game_pk",
         "fingerprint",
         "ingested_at",
+        *keep,
         F.explode(F.array("p.teams.home", "p.teams.away")).alias("side"),
     )
     players = sides.select(
         "game_pk",
         "fingerprint",
         "ingested_at",
+        *keep,
         F.col("side.team.id").try_cast("int").alias("team_id"),
         F.col("side.pitchers").alias("pitchers"),
         F.explode(F.map_values("side.players")).alias("player"),
@@ -181,6 +190,7 @@ def pitcher_game_stats(boxscores: DataFrame) -> DataFrame:
         F.col("player.stats.pitching").alias("line"),
         "fingerprint",
         "ingested_at",
+        *keep,
     )
     counts = {
         "hits_allowed": "hits", "runs_allowed": "runs", "earned_runs": "earnedRuns",
@@ -195,6 +205,7 @@ def pitcher_game_stats(boxscores: DataFrame) -> DataFrame:
         innings_to_number(F.col("line.inningsPitched")).alias("innings_pitched"),
         *[F.col(f"line.{j}").try_cast("int").alias(c) for c, j in counts.items()],
         "ingested_at",
+        *keep,
     )
 
 

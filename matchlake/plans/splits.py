@@ -85,3 +85,21 @@ def metric_entries(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
         ["split"], list(names), "metric", "value"
     )
     return long.select(F.concat_ws("_", "split", "metric").alias("name"), "value")
+
+
+CLASSIFICATION = ("n", "accuracy", "log_loss", "brier")
+REGRESSION = ("n", "mae", "rmse", "within_1", "within_2")
+
+
+def evaluated(winner_models: Mapping[str, DataFrame], runs_models: Mapping[str, DataFrame]) -> DataFrame:
+    """(target, model, split, metric, value) of scored frames by model: every metric on every split."""
+    tables = []
+    for target, models, metrics, names in (
+        ("winner", winner_models, classification_metrics, CLASSIFICATION),
+        ("runs", runs_models, regression_metrics, REGRESSION),
+    ):
+        compared = model_comparison({name: metrics(scored, "split") for name, scored in models.items()})
+        values = [F.col(name).cast("double").alias(name) for name in names]
+        long = compared.select("model", "split", *values).unpivot(["model", "split"], list(names), "metric", "value")
+        tables.append(long.select(F.lit(target).alias("target"), "model", "split", "metric", "value"))
+    return tables[0].unionByName(tables[1])

@@ -14,10 +14,6 @@ from matchlake.schemas import RUNS
 from matchlake.session import materialise
 from matchlake.sources.lake import Lake, read_or_empty, write_csv
 
-CLASSIFICATION = ["n", "accuracy", "log_loss", "brier"]
-REGRESSION = ["n", "mae", "rmse", "within_1", "within_2"]
-
-
 def flat_metrics(metrics: DataFrame, names: Sequence[str]) -> dict[str, float]:
     """At most one row per split and metric: small enough to hold as a dict."""
     return {r["name"]: r["value"] for r in splits.metric_entries(metrics, names).collect()}
@@ -62,7 +58,7 @@ def train_all(
 
 def _register(lake, experiment, family, fitted, params, table, started: datetime) -> None:
     is_winner = experiment == registry.WINNER_EXPERIMENT
-    metrics = flat_metrics(table, CLASSIFICATION if is_winner else REGRESSION)
+    metrics = flat_metrics(table, splits.CLASSIFICATION if is_winner else splits.REGRESSION)
     run_id = f"{experiment}-{family}-{started:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     tags: dict[str, str] = {}
     gated = "val_log_loss" if is_winner else "val_mae"

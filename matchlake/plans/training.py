@@ -5,29 +5,29 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    LogisticRegression,
-    LogisticRegressionModel,
-)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.operators.quantiles import exact_medians
+from matchlake.plans.boosting import LOGISTIC as LOGISTIC_LOSS
+from matchlake.plans.boosting import SQUARED as SQUARED_LOSS
+from matchlake.plans.boosting import BoostedTrees, fit_boosted
 from matchlake.plans.gold import FEATURES, RUNS_TARGET, WINNER_TARGET
 from matchlake.plans.grading import PREDICTION_COLUMNS
-from matchlake.session import ensure_checkpoint_dir
 
 # Training settings.
 LOGISTIC = {"C": 1.0, "max_iter": 1000}
 RIDGE = {"alpha": 1.0}
-WINNER_TREES = {"trees": 150, "depth": 3, "rate": 0.05, "min_rows": 8, "rows": 0.8, "columns": 0.8}
-RUNS_TREES = {"trees": 300, "depth": 4, "rate": 0.05, "min_rows": 5, "rows": 0.8, "columns": 0.8}
-SEED = 42
+WINNER_TREES = {
+    "trees": 150, "depth": 3, "rate": 0.05, "min_child_weight": 8, "rows": 0.8, "columns": 0.8, "reg_lambda": 1.0, "seed": 42,
+}
+RUNS_TREES = {
+    "trees": 300, "depth": 4, "rate": 0.05, "min_child_weight": 5, "rows": 0.8, "columns": 0.8, "reg_lambda": 1.0, "seed": 42,
+}
 
 
 @dataclass(frozen=True)
@@ -87,23 +87,29 @@ def matrix(df: DataFrame, prepared: Preparation, scaled: bool) -> DataFrame:
 
 @dataclass(frozen=True)
 class Fitted:
-    """A model with the preparation of its inputs."""
+    """A model with the preparation of its inputs; boosted trees take their inputs as they are."""
 
     model: object
-    prepared: Preparation
-    scaled: bool
+    prepared: Preparation | None = None
+    scaled: bool = False
+
+    @property
+    def features(self) -> list[str]:
+        return self.prepared.features if self.prepared else self.model.features
 
     def score(self, df: DataFrame, column: str) -> DataFrame:
         """Append the home-win probability of a classifier or the prediction of a regressor."""
+        if isinstance(self.model, BoostedTrees):
+            return self.model.score(df, column)
         scored = self.model.transform(matrix(df, self.prepared, self.scaled))
-        if isinstance(self.model, (LogisticRegressionModel, GBTClassificationModel)):
+        if isinstance(self.model, LogisticRegressionModel):
             value = vector_to_array("probability")[1]
         else:
             value = F.col("prediction")
         return scored.withColumn(column, value).select(*df.columns, column)
 
     def importances(self) -> list[tuple[str, float]]:
-        return list(zip(self.prepared.features, map(float, self.model.featureImportances)))
+        return self.model.importances()
 
 
 def _training(split: DataFrame, target: str) -> DataFrame:
@@ -137,32 +143,14 @@ def fit_ridge(split: DataFrame, alpha: float = RIDGE["alpha"]) -> Fitted:
     return Fitted(estimator.fit(matrix(train, prepared, True)), prepared, True)
 
 
-def _trees(estimator, settings: dict):
-    return estimator(
-        maxIter=settings["trees"],
-        maxDepth=settings["depth"],
-        stepSize=settings["rate"],
-        minInstancesPerNode=settings["min_rows"],
-        subsamplingRate=settings["rows"],
-        featureSubsetStrategy=str(settings["columns"]),
-        checkpointInterval=10,
-        seed=SEED,
-    )
-
-
-def _fit_trees(split: DataFrame, target: str, estimator, settings: dict) -> Fitted:
-    ensure_checkpoint_dir(split.sparkSession)
-    train = _training(split, target)
-    prepared = fit_preparation(train, scale=False)
-    return Fitted(_trees(estimator, settings).fit(matrix(train, prepared, False)), prepared, False)
-
-
 def fit_winner_trees(split: DataFrame, **settings) -> Fitted:
-    return _fit_trees(split, WINNER_TARGET, GBTClassifier, {**WINNER_TREES, **settings})
+    train = _training(split, WINNER_TARGET)
+    return Fitted(fit_boosted(train, FEATURES, WINNER_TARGET, LOGISTIC_LOSS, **{**WINNER_TREES, **settings}))
 
 
 def fit_runs_trees(split: DataFrame, **settings) -> Fitted:
-    return _fit_trees(split, RUNS_TARGET, GBTRegressor, {**RUNS_TREES, **settings})
+    train = _training(split, RUNS_TARGET)
+    return Fitted(fit_boosted(train, FEATURES, RUNS_TARGET, SQUARED_LOSS, **{**RUNS_TREES, **settings}))
 
 
 def feature_importance(spark: SparkSession, fitted: Fitted) -> DataFrame:

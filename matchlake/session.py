@@ -63,10 +63,23 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the table that `materialise` wrote for this frame, once no other frame reads it."""
+    files = df.inputFiles()
+    path = next((p for p in _stored if files and f"/{p.rsplit('/', 1)[1]}/" in files[0]), None)
+    if path:
+        _stored.remove(path)
+        _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release_stored(spark: SparkSession) -> int:
     """Delete all tables that `materialise` wrote, once no frame that reads them is needed."""
     released = len(_stored)
     while _stored:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(spark, _stored.pop())
     return released

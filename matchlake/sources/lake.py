@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
@@ -11,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.schemas import BRONZE, GOLD, SILVER
+from matchlake.sources.versions import SnapshotTable
 
 
 def read_table(spark: SparkSession, path: str, schema: str, **options: str) -> DataFrame | None:
@@ -46,36 +46,48 @@ class Lake:
         options = {"recursiveFileLookup": "true"} if inner_date else {}
         return read_or_empty(self.spark, self.path("bronze", table), BRONZE[table], **options)
 
+    def snapshots(self, layer: str, table: str, partition_by: str | None = None, tracked: Iterable[str] = ()) -> SnapshotTable:
+        """A table that is kept in versions."""
+        schema = {"silver": SILVER, "gold": GOLD}[layer][table]
+        return SnapshotTable(self.spark, self.path(layer, table), schema, partition_by, list(tracked))
+
+    def _stored(self, layer: str, table: str, schema: str, partition_by: str | None = None) -> DataFrame | None:
+        """The newest version of a table, or its plain files; None when nothing is stored."""
+        versioned = SnapshotTable(self.spark, self.path(layer, table), schema, partition_by)
+        newest = versioned.snapshot()
+        if newest is not None:
+            partitioned = any("/" in folder for folder in newest.parts.values())
+            versioned.partition_by = partition_by if partitioned else None
+            return versioned.read(newest)
+        return read_table(self.spark, self.path(layer, table), schema)
+
     def silver(self, table: str) -> DataFrame:
-        return read_or_empty(self.spark, self.path("silver", table), SILVER[table])
+        found = self._stored("silver", table, SILVER[table])
+        return self.spark.createDataFrame([], SILVER[table]) if found is None else found
 
-    def gold(self, table: str) -> DataFrame:
-        stored = read_or_empty(self.spark, self.path("gold", table), GOLD[table])
-        return stored.select(*[field.split()[0] for field in GOLD[table].split(", ")])
+    def gold(self, table: str, partition_by: str | None = None) -> DataFrame:
+        """A table of the feature layer; with `partition_by` that column too, as the last one."""
+        found = self._stored("gold", table, GOLD[table], partition_by)
+        if found is None:
+            found = self.spark.createDataFrame([], GOLD[table])
+        fields = [field.split()[0] for field in GOLD[table].split(", ")]
+        return found.select(*fields, *([partition_by] if partition_by in found.columns else []))
 
     def store(self, df: DataFrame, layer: str, table: str, partition_by: str | None = None) -> DataFrame:
         """Rebuild a table and continue from the stored rows.
 
-        The new table is written beside the old one, which goes only when the new one is complete.
+        Readers see the old table until the new one is complete, and then the new one, whenever the writer is lost.
         """
-        path = self.path(layer, table)
-        fresh = self.path(layer, f"_new-{uuid.uuid4().hex}")
-        writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by) if partition_by else df.write
-        writer.parquet(fresh)
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        old, new = hadoop.Path(path), hadoop.Path(fresh)
-        files = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        files.delete(old, True)
-        files.rename(new, old)
-        self.spark.catalog.refreshByPath(path)
-        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        kinds = ", ".join(f"`{c}` {kind}" for c, kind in df.dtypes if c != partition_by)
+        versioned = SnapshotTable(self.spark, self.path(layer, table), kinds, partition_by)
+        return versioned.read(versioned.rebuild(df)).select(*df.columns)
 
     def register_views(self, layer: str, prefix: str = "") -> list[str]:
         """Temporary views over the stored tables of a layer; absent tables get none."""
         schemas = {"bronze": BRONZE, "silver": SILVER, "gold": GOLD}[layer]
         registered = []
         for table, schema in schemas.items():
-            stored = read_table(self.spark, self.path(layer, table), schema)
+            stored = self._stored(layer, table, schema)
             if stored is not None:
                 stored.createOrReplaceTempView(prefix + table)
                 registered.append(prefix + table)

@@ -173,7 +173,7 @@ def test_checks_append_to_the_report(world):
 
 def test_train_score_grade_and_land_again(world):
     lake, landing_root, last = world
-    few = {"trees": 3, "min_rows": 1}
+    few = {"trees": 3, "min_child_weight": 1}
     with pytest.raises(LookupError):
         daily.load_serving(lake)
     winner, runs = train_all(lake, [2024], [2025], [2026], NOW, few, few)
