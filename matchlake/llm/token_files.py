@@ -8,10 +8,13 @@ their statistics and Bloom filters.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +45,42 @@ _UNPRINTED = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or
 BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_UNPRINTED)}
 
 
+# The normaliser and splitter of the vocabularies whose texts can be encoded word by word.
+KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"},
+    ]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+}
+
+
+class WholeEncoder:
+    """Encodes whole texts with the tokenizers library, as any vocabulary allows."""
+
+    def __init__(self, data: bytes):
+        self.tokenizer = Tokenizer.from_buffer(data)
+
+    def ids(self, texts: list[str | None], end_id: int) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([text or "" for text in texts], add_special_tokens=False)
+        return [np.array([*encoding.ids, end_id], "<u4").tobytes() for encoding in found]
+
+
+def encoder_of(data: bytes) -> WholeEncoder | WordEncoder:
+    """The encoder for a vocabulary file: word by word if its normaliser and splitter are the known ones."""
+    known = json.loads(data)
+    same = all(known.get(part) == value for part, value in KNOWN.items())
+    # A special token must not lie across blanks, nor in a plain word.
+    tokens = [token["content"] for token in known["added_tokens"] if not (token["lstrip"] or token["rstrip"])]
+    plain = len(tokens) == len(known["added_tokens"]) and all("<" in x and not set(x) & {" ", "\n"} for x in tokens)
+    return WordEncoder(data) if same and plain else WholeEncoder(data)
+
+
 class WordEncoder:
-    """Encodes whole texts with the tokenizers library, each different word once.
+    """Encodes whole texts with the tokenizers library, each different word once; for vocabularies as KNOWN.
 
     The vocabulary's own splitting never joins what a blank or line feed separates, nor a letter or
     digit with the STOPS after it; special tokens hold neither. So the ids of a text are those of
@@ -51,8 +88,8 @@ class WordEncoder:
     others through its whole chain.
     """
 
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
+    def __init__(self, data: bytes):
+        self.tokenizer = Tokenizer.from_buffer(data)
         self.tokenize = self.tokenizer.model.tokenize
         self.words = Recent(self._encode, CACHED_WORDS, LONG_WORD)
 
@@ -77,15 +114,23 @@ class WordEncoder:
         return [b"".join(map(of_word, (text or "").replace("\n", " ").split(" "))) + end for text in texts]
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[bytes, WholeEncoder | WordEncoder] = {}
 
 
-def encode(path: str, end_id: int) -> Callable[[Column], Column]:
-    """A function from a text column to arrays of token ids; null and empty texts have the end id only."""
+def encode(spark: SparkSession, path: str, end_id: int) -> Callable[[Column], Column]:
+    """A function from a text column to arrays of token ids; null and empty texts have the end id only.
+
+    The driver reads the vocabulary, whose size does not depend on the data, and sends it to all tasks.
+    """
+    data = spark.sparkContext.broadcast(Path(path).read_bytes())
 
     @F.arrow_udf(ArrayType(IntegerType()))
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = _encoders.setdefault(path, WordEncoder(path))
+        key = hashlib.sha256(data.value).digest()
+        if key not in _encoders:  # once a worker
+            _encoders.clear()
+            _encoders[key] = encoder_of(data.value)
+        encoder = _encoders[key]
         for texts in slices(batches):
             found = encoder.ids(texts, end_id)
             ends = np.cumsum([0, *map(len, found)]) // 4
@@ -112,7 +157,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     """
     order = ["doc_id", F.xxhash64("text")]
     ordered = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
-    encoded = ordered.select("doc_id", encode(tokenizer, end_id)(F.col("text")).alias("ids"))
+    encoded = ordered.select("doc_id", encode(docs.sparkSession, tokenizer, end_id)(F.col("text")).alias("ids"))
     rows = encoded.select(
         F.monotonically_increasing_id().alias("row_id"), "doc_id", F.size("ids").alias("n_tokens"), "ids"
     )

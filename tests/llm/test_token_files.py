@@ -1,4 +1,5 @@
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from matchlake.llm import token_files
-from matchlake.llm.token_files import WordEncoder, op9_token_files, read_token_files, with_starts, write_token_files
+from matchlake.llm.token_files import WholeEncoder, WordEncoder, encoder_of, op9_token_files, read_token_files, with_starts, write_token_files
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -33,7 +34,8 @@ def expected_rows(texts):
 
 def test_words_encode_as_whole_texts(monkeypatch):
     monkeypatch.setattr(token_files, "CACHED_WORDS", 5)
-    encoder = WordEncoder(PATH)
+    encoder = encoder_of(Path(PATH).read_bytes())
+    assert isinstance(encoder, WordEncoder)
     assert [np.frombuffer(x, "<u4").tolist() for text in ODD for x in encoder.ids([text], 1)] == library_ids(ODD)
 
 
@@ -76,3 +78,24 @@ def test_crc_is_of_little_endian_words(spark, n_ids):
     df = spark.range(1).select(F.sequence(F.lit(1), F.lit(n_ids)).cast("array<int>").alias("ids"))
     row = df.select(token_files.ids_crc32("ids").alias("crc")).first()
     assert row.crc == zlib.crc32(np.arange(1, n_ids + 1, dtype="<u4").tobytes())
+
+
+def test_other_vocabularies_encode_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, texts = encoder_of(Path(path).read_bytes()), ["Hello World", *ODD]
+    assert isinstance(encoder, WholeEncoder)
+    expected = [x.ids for x in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist()[:-1] for x in encoder.ids(texts, 1)] == expected
+
+
+def test_the_encoder_is_built_once_a_worker(spark, make_docs, monkeypatch):
+    built = []
+    monkeypatch.setattr(token_files, "encoder_of", lambda data: built.append(1) or WordEncoder(data))
+    token_files._encoders.clear()
+    import pyarrow as pa
+
+    encode = token_files.encode(spark, PATH, 1).func
+    for _ in range(3):
+        assert [x.to_pylist() for x in encode(iter([pa.array(["a"])]))] == [[library_ids(["a"])[0]]]
+    assert len(built) == 1
+    token_files._encoders.clear()
