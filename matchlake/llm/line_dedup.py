@@ -8,17 +8,29 @@ count. Of a boilerplate line the first place (by document id, then position) sta
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.llm.common import table
+from matchlake.session import materialise
 
 # Relative error of a sketch of 2 ** LG_K cells is about 1.04 / sqrt(2 ** LG_K), here 3 %.
 LG_K, BAND = 10, 0.2
+# Keys to which the places of one line are dealt.
+SALTS = 16
 KEY = ["line_hash", "line_hash2"]
 PLACE = ["doc_id", "version", "position"]
 
 
+def _trimmed(line: Column) -> Column:
+    return F.btrim(line, F.lit(" \t\r"))
+
+
+def _is_long(line: Column, min_words: int) -> Column:
+    """Whether a trimmed line has min_words words; the match stops at the last of them."""
+    return line.rlike(f"^(?:[^ \t]+[ \t]+){{{min_words - 1}}}[^ \t]")
+
+
 def long_lines(docs: DataFrame, min_words: int) -> DataFrame:
     """One row for each line of at least min_words words: its place, its site and two hashes of it."""
     lines = docs.select(
@@ -27,8 +39,7 @@ def long_lines(docs: DataFrame, min_words: int) -> DataFrame:
         F.col("site"),
         F.posexplode(F.split("text", "\n")).alias("position", "raw"),
     )
-    line = F.regexp_replace("raw", "^[ \t\r]+|[ \t\r]+$", "")
-    kept = lines.withColumn("line", line).filter(F.size(F.split("line", "[ \t]+")) >= min_words)
+    kept = lines.withColumn("line", _trimmed(F.col("raw"))).filter(_is_long(F.col("line"), min_words))
     hashes = F.xxhash64("line").alias(KEY[0]), F.xxhash64(F.lit(1), "line").alias(KEY[1])
     return kept.select(*PLACE, "site", *hashes)
 
@@ -39,7 +50,7 @@ def boilerplate(lines: DataFrame, min_sites: int) -> DataFrame:
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("about"),
         F.min(F.struct(*PLACE)).alias("first"),
     )
-    likely = spread.filter(F.col("about") >= min_sites * (1 - BAND)).checkpoint()
+    likely = materialise(spread.filter(F.col("about") >= min_sites * (1 - BAND)))
     near = likely.filter(F.col("about") <= min_sites * (1 + BAND))
     counted = lines.join(near.select(*KEY), KEY, "left_semi").groupBy(*KEY).agg(F.count_distinct("site").alias("sites"))
     decided = counted.filter(F.col("sites") >= min_sites).select(*KEY)
@@ -47,6 +58,14 @@ def boilerplate(lines: DataFrame, min_sites: int) -> DataFrame:
     return sure.unionByName(near.join(decided, KEY)).select(*KEY, "first")
 
 
+def _places(lines: DataFrame, wide: DataFrame) -> DataFrame:
+    """The places of wide lines but the first. The places of a line that stands everywhere are dealt to SALTS keys."""
+    salt = F.pmod(F.xxhash64("doc_id", "position"), F.lit(SALTS))
+    salted = wide.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    found = lines.withColumn("salt", salt).join(salted, [*KEY, "salt"])
+    return found.filter(~F.struct(*PLACE).eqNullSafe(F.col("first"))).select(*PLACE)
+
+
 def line_dedup(docs: DataFrame, site: str = "source", min_sites: int = 10, min_words: int = 5) -> DataFrame:
     """(row, n_lines, n_removed, n_long_left, text): each row of `docs` and its text without boilerplate lines.
 
@@ -54,12 +73,12 @@ def line_dedup(docs: DataFrame, site: str = "source", min_sites: int = 10, min_w
     without site make no line wider spread. A null text stays null, has no lines and loses none. A text all
     of whose lines go becomes empty. Repeated rows of an id are treated alike, and the first
     place of a line is theirs together; rows without id come first. `row` holds all columns as
-    they were, so no name can clash. Only line hashes are shuffled for the counts; texts move
-    once, to meet the positions they lose.
+    they were, so no name can clash. Texts are split once, and the hashes of long lines stored; only these are
+    shuffled for the counts. Texts move once, to meet the positions they lose.
     """
     rows = docs.select("doc_id", "text", F.col(site).cast("string").alias("site"))
-    lines = long_lines(rows, min_words)
-    found = lines.join(boilerplate(lines, min_sites), KEY).filter(~F.struct(*PLACE).eqNullSafe(F.col("first")))
+    lines = materialise(long_lines(rows, min_words))
+    found = _places(lines, boilerplate(lines, min_sites))
     gone = found.groupBy("doc_id", "version").agg(F.sort_array(F.collect_set("position")).alias("gone"))
     gone = gone.select(F.col("doc_id").alias("of_id"), F.col("version").alias("of_version"), "gone")
 
@@ -70,8 +89,7 @@ def line_dedup(docs: DataFrame, site: str = "source", min_sites: int = 10, min_w
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
     kept = F.transform(left, lambda i: F.get(parts, i))
     text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
-    trimmed = F.transform(F.split("text", "\n"), lambda x: F.regexp_replace(x, "^[ \t\r]+|[ \t\r]+$", ""))
-    n_long = F.size(F.filter(trimmed, lambda x: F.size(F.split(x, "[ \t]+")) >= min_words))
+    n_long = F.size(F.filter(F.split("text", "\n"), lambda x: _is_long(_trimmed(x), min_words)))
     return joined.select(
         "row",
         F.when(F.col("row.text").isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
