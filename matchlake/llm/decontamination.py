@@ -14,7 +14,7 @@ import re
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import ahocorasick
 import pandas as pd
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.llm.common import table
+from matchlake.session import materialise
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 RESULT = (
@@ -143,8 +144,8 @@ def scan(automaton: ahocorasick.Automaton, text: str | None, share: int) -> tupl
 
 
 def automaton_of(patterns: Broadcast) -> ahocorasick.Automaton:
-    """The automaton of a broadcast block; the worker keeps the last one."""
-    key = hash(frozenset(patterns.value))
+    """The automaton of a broadcast block; the worker keeps the last one. The key covers windows and items."""
+    key = hash(frozenset((window, *items) for window, items in patterns.value.items()))
     if key not in _automata:
         _automata.clear()
         _automata[key] = build(patterns.value)
@@ -207,17 +208,19 @@ def with_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13,
     documents, and only ids, hit runs and items of the hit documents are shuffled before they meet the texts.
     """
     spark = docs.sparkSession
-    blocks = [spark.sparkContext.broadcast(block) for block in window_blocks(benchmark, window, max_pattern_chars)]
-    if len(blocks) < 2:
-        found = _scanned(blocks[0] if blocks else spark.sparkContext.broadcast({}), share)
+    blocks = window_blocks(benchmark, window, max_pattern_chars)
+    first, second = next(blocks, {}), next(blocks, None)
+    if second is None:
+        found = _scanned(spark.sparkContext.broadcast(first), share)
         return docs.select(F.struct("*").alias("row"), found(F.col("text")).alias("found"))
     keyed = docs.select("doc_id", F.xxhash64("text").alias("version"), "text")
     hits = None
-    for block in blocks:
-        # A text is scanned once for a block, and the blocks one after another.
+    for windows in chain([first, second], blocks):
+        # A text is scanned once for a block, and the blocks one after another; the driver holds two of them at most.
+        block = spark.sparkContext.broadcast(windows)
         of_block = keyed.select("doc_id", "version", _hits(block)(F.col("text")).alias("hit")).filter("size(hit.runs) > 0")
-        of_block = of_block.select("doc_id", "version", "hit.*").checkpoint()
-        block.unpersist()
+        of_block = materialise(of_block.select("doc_id", "version", "hit.*"))
+        block.destroy()
         hits = of_block if hits is None else hits.unionByName(of_block)
     merged = hits.groupBy(F.col("doc_id").alias("of_id"), F.col("version").alias("of_version")).agg(
         F.array_distinct(F.flatten(F.collect_set("runs"))).alias("runs"),

@@ -78,3 +78,10 @@ def test_a_benchmark_beyond_the_bound_is_scanned_for_in_blocks(make_docs, benchm
     kept = decontaminate(docs, benchmark, max_pattern_chars=bound)
     assert kept.columns == docs.columns
     assert sorted(map(str, kept.collect())) == sorted(map(str, decontaminate(docs, benchmark).collect()))
+
+
+def test_benchmarks_of_the_same_text_keep_their_own_items(spark, make_docs):
+    docs = make_docs([(1, "some words of a test text")])
+    for item in ("7", "8", "9"):
+        benchmark = spark.createDataFrame([(item, "words of a test")], "item_id string, text string")
+        assert [r.found["items"] for r in with_contamination(docs, benchmark).collect()] == [[item]]
