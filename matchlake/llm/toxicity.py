@@ -2,7 +2,7 @@
 
 The classifier is a logistic regression over the presence of words and of word beginnings, which
 stand for the inflected and compound forms of a word. For each labelled text that mentions a group of people, a counterfactual is made by swapping its identity terms for others of
-the same kind, and training penalises the square of the change in score. So a group's name alone
+the same kind, and training penalises the square of the change in score, that of word beginnings included. So a group's name alone
 cannot carry much weight, and neutral mentions are not taken for toxic ones.
 """
 
@@ -16,9 +16,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from matchlake.llm.common import in_fold, table
+from matchlake.session import materialise
 
 WORD = re.compile(r"\w+")
 BEGINNINGS = range(4, 9)
@@ -66,13 +67,29 @@ class Model:
 
 def words_of(text: str | None) -> set[str]:
     """The different words in lower case, and their beginnings of BEGINNINGS letters, marked by a star."""
-    words = set(WORD.findall((text or "").lower()))
+    return _with_beginnings(set(WORD.findall((text or "").lower())))
+
+
+def _with_beginnings(words: set[str]) -> set[str]:
     return words | {f"{word[:n]}*" for n in BEGINNINGS for word in words if len(word) > n}
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def features_of(texts: pd.Series) -> pd.Series:
-    return pd.Series([sorted(words_of(text)) for text in texts], dtype=object)
+def swapped_words_of(text: str | None) -> set[str] | None:
+    """`words_of` the text with its identity terms swapped, beginnings included; None for a text without such terms."""
+    swaps, words = swapped_terms(), set(WORD.findall((text or "").lower()))
+    gone = words & swaps.keys()
+    return _with_beginnings(words - gone | {swaps[word] for word in gone}) if gone else None
+
+
+_WORDS = ArrayType(StringType())
+
+
+@F.pandas_udf(StructType().add("words", _WORDS).add("swapped", _WORDS))
+def features_of(texts: pd.Series) -> pd.DataFrame:
+    """The features of each text, and those of its counterfactual if it has one."""
+    words = [sorted(words_of(text)) for text in texts]
+    swapped = [None if (of := swapped_words_of(text)) is None else sorted(of) for text in texts]
+    return pd.DataFrame({"words": pd.Series(words, dtype=object), "swapped": pd.Series(swapped, dtype=object)})
 
 
 def swapped_terms() -> dict[str, str]:
@@ -110,8 +127,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.max_rows)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most max_rows rows
     texts = texts.select("text", "toxic").dropDuplicates()
-    rows = texts.select(F.monotonically_increasing_id().alias("row"), "toxic", features_of("text").alias("words"))
-    rows = rows.checkpoint()
+    rows = texts.select("toxic", features_of("text").alias("of")).select("toxic", "of.*")
+    rows = materialise(rows)
     n_rows, n_toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     bias = float(np.log((n_toxic + 0.5) / (n_rows - n_toxic + 0.5)))
     if not 0 < n_toxic < n_rows:
@@ -123,24 +140,24 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     best = best.orderBy(F.desc("ratio"), "word").limit(settings.max_features)
     swaps = swapped_terms()
     vocabulary = sorted({row.word for row in best.collect()} | swaps.keys())
-    known = F.array_intersect("words", F.array(*map(F.lit, vocabulary)))
-    found = rows.select("toxic", known.alias("known")).toPandas()
-    weights, bias = _minimise(found["known"], found["toxic"].to_numpy(float), vocabulary, swaps, bias, settings)
+    listed = F.array(*map(F.lit, vocabulary))
+    known = [F.array_intersect(name, listed).alias(name) for name in ("words", "swapped")]
+    found = rows.select("toxic", *known).toPandas()
+    weights, bias = _minimise(found["words"], found["swapped"], found["toxic"].to_numpy(float), vocabulary, bias, settings)
     return Model(dict(zip(vocabulary, weights.tolist())), bias)
 
 
-def _minimise(known, toxic: np.ndarray, vocabulary: list[str], swaps: dict[str, str], bias: float, settings: Settings):
-    """Adam on the mean log loss, plus the ridge, plus the mean squared change of score under swaps."""
+def _minimise(known, swapped, toxic: np.ndarray, vocabulary: list[str], bias: float, settings: Settings):
+    """Adam on the mean log loss, plus the ridge, plus the mean squared change of score under swaps, over all features."""
     number = {word: i for i, word in enumerate(vocabulary)}
     row, column = [], []  # which row has which word
     s_row, s_column, s_sign = [], [], []  # what a swap takes away and adds
-    for i, words in enumerate(known):
+    for i, (words, other) in enumerate(zip(known, swapped)):
         here = set(words)
         row += [i] * len(here)
         column += [number[word] for word in here]
-        gone = here & swaps.keys()
-        come = {swaps[word] for word in gone}
-        for sign, changed in ((-1.0, gone - come), (1.0, come - here)):
+        there = here if other is None else set(other)
+        for sign, changed in ((-1.0, sorted(here - there)), (1.0, sorted(there - here))):
             s_row += [i] * len(changed)
             s_column += [number[word] for word in changed]
             s_sign += [sign] * len(changed)

@@ -1,7 +1,16 @@
 import pytest
 from pyspark.sql import functions as F
 
-from matchlake.llm.toxicity import Settings, fit, op2_toxicity, remove_toxic, scores, words_of
+from matchlake.llm.toxicity import (
+    IDENTITY_TERMS,
+    Settings,
+    fit,
+    op2_toxicity,
+    remove_toxic,
+    scores,
+    swapped_words_of,
+    words_of,
+)
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +35,22 @@ def test_counterfactuals_lower_the_weight_of_group_names(labelled):
     assert regular.score("christians are vermin scoundrels") > 0.5 > regular.score(neutral)
 
 
+def test_neutral_mentions_of_any_group_score_alike(labelled):
+    """Also of the group that is named next to slurs: its name's beginnings are features, too."""
+    model = fit(*labelled)
+    for kind in IDENTITY_TERMS[:2]:
+        scores = [model.score(f"the {term} house is near") for term in kind]
+        assert max(scores) < 0.5 and max(scores) - min(scores) < 0.1
+    assert any(word.endswith("*") for word in model.weights)
+
+
+def test_swaps_cover_all_features():
+    swapped = swapped_words_of("Muslims and musli")
+    assert {"sikhs", "sikh*"} <= swapped and "muslims" not in swapped and "muslim*" not in swapped
+    assert {"musli", "musl*"} <= swapped
+    assert swapped_words_of("no group") is None and swapped_words_of(None) is None
+
+
 def test_odd_texts_have_scores(spark, labelled, make_docs):
     model = fit(*labelled)
     texts = [(1, None), (2, ""), (3, "🙂 ..."), (4, "vermin scoundrels " * 100_000), (4, None), (None, "x")]
