@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchlake.session import ensure_checkpoint_dir
+
 
 def _checksum(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -33,6 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
     before the shuffle, and the join back is one that adaptive execution splits. The number of
     rounds grows with the logarithm of the size. Each round is kept in the checkpoint folder.
     """
+    ensure_checkpoint_dir(edges.sparkSession)
     edges = edges.select("a", "b").filter("a <> b").distinct().checkpoint()
     before = _checksum(edges)
     while True:

@@ -20,6 +20,7 @@ from xxhash import xxh64_digest
 
 from matchlake.llm.common import table
 from matchlake.llm.components import components
+from matchlake.session import ensure_checkpoint_dir
 
 SEED = 42
 # Shingles whose bits are counted at once; long texts go block by block.
@@ -108,6 +109,7 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3, segment
     without id is kept and can connect others, but names no component unless none of them has
     an id (then component_id is null). An empty table gives an empty one. Other columns are ignored.
     """
+    ensure_checkpoint_dir(docs.sparkSession)
     prints = docs.select("doc_id", fingerprint(shingle)(F.col("text")).alias("print")).checkpoint()
     smallest = prints.groupBy("print").agg(F.min("doc_id").alias("first_id")).checkpoint()
     linked = components(links(smallest.select("print"), max_bits, segments))
