@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from matchlake.harness import tables as t
 from matchlake.harness.tables import oracle
-from matchlake.plans import quality, registry, silver
+from matchlake.plans import incremental, quality, registry, silver
 from matchlake.plans.daily import runs_path
 from matchlake.schemas import RUNS
-from matchlake.session import ensure_checkpoint_dir
+from matchlake.session import ensure_checkpoint_dir, materialise
 from matchlake.sources.lake import Lake, append, read_or_empty, replace_partitions, write_csv
 
 
@@ -131,8 +131,57 @@ def appended_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                        ["experiment", "model_family"])
 
 
+def refreshed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Team form and park factors after the two last months were landed again, with new matches and results.
+
+    The refresh has to do with those months and the tails of the time before; a whole rebuild would be an error here.
+    """
+    lake = _lake(spark)
+    landed = materialise(t.landed_schedule(spark, sf_dir).withColumn("date", F.substring("game_date", 1, 7)))
+    month, path = F.col("date"), lake.path("bronze", "schedule")
+    last = [row[0] for row in landed.select("date").distinct().orderBy(F.desc("date")).limit(2).collect()]
+    first_landing = F.col("ingested_at") == F.col("game_date").cast("timestamp")
+    known = (month == last[1]) & (F.substring("game_date", 9, 2) <= "10") & first_landing
+    replace_partitions(landed.filter((month < last[1]) | known), path)
+    incremental.refresh(lake, last[1:])
+    replace_partitions(landed.filter(month >= last[1]), path)
+    if incremental.refresh(lake, last) is None:
+        raise AssertionError("everything was rebuilt")
+    sides = [f"{side}_{name}" for side in ("home", "away") for name in REFRESHED]
+    features = lake.gold("features").select("game_pk", "game_date", *sides, "venue_park_factor_runs", "target_home_win")
+    return features.select(*[
+        F.round(F.round(c, 9), 6).alias(c) if kind == "double" else F.col(c) for c, kind in features.dtypes
+    ])
+
+
+REFRESHED = ["runs_scored_l10", "runs_allowed_l10", "win_pct_l10", "days_rest"]
+
+
+def _refreshed_oracle() -> str:
+    """The same features from the newest version of every match."""
+    rolled = ", ".join(
+        f"{side}.{name} AS {side}_{name}" if name == "days_rest" else f"round(round({side}.{name}, 9), 6) AS {side}_{name}"
+        for side in ("home", "away") for name in REFRESHED
+    )
+    sql = oracle(
+        f"""
+        SELECT g.game_pk, g.game_date, {rolled},
+            (SELECT round(round(arg_max({{'f': p.venue_park_factor_runs}}, p.game_date).f, 9), 6) FROM parks_daily_v p
+             WHERE p.venue_id = g.venue_id AND p.game_date <= g.game_date) AS venue_park_factor_runs,
+            g.home_win AS target_home_win
+        FROM games_v g
+        JOIN rolling_v home ON home.game_pk = g.game_pk AND home.team_id = g.home_team_id
+        JOIN rolling_v away ON away.game_pk = g.game_pk AND away.team_id = g.away_team_id
+        """,
+        "rolling_v",
+        "parks_daily_v",
+    )
+    return sql.replace(t.ORACLE["games_v"], f"SELECT * EXCLUDE (ver, ingested_on) FROM ({t.ORACLE['latest_v']})")
+
+
 def queries() -> dict:
     return {
+        "refreshed_days": refreshed_days,
         "partitions_replaced": partitions_replaced,
         "bronze_views": bronze_views,
         "inner_dates": inner_dates,
@@ -147,6 +196,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "refreshed_days": _refreshed_oracle(),
         "partitions_replaced": oracle(
             """
             SELECT CAST(year(game_date) AS VARCHAR) AS date, count(*) AS n, CAST(sum(game_pk) AS BIGINT) AS keys

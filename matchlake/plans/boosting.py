@@ -30,6 +30,8 @@ MISSING, CELLS = 255, 256
 LEAST_GAIN = 1e-6
 # Trees whose values tasks add to the stored margins before these are stored anew.
 REFRESH = 16
+# Partitions whose sums the driver adds up itself.
+FEW = 16
 DEFAULTS = {
     "trees": 100, "depth": 3, "rate": 0.1, "min_child_weight": 1.0, "rows": 1.0, "columns": 1.0,
     "reg_lambda": 1.0, "bins": 255, "seed": 42,
@@ -202,9 +204,13 @@ def slopes(objective: str, label: np.ndarray, margins: np.ndarray) -> tuple[np.n
 
 def _histograms(
     states: DataFrame, recent: Sequence[Tree], tree: Tree, nodes: Sequence[int], columns: np.ndarray, width: int,
-    objective: str, draws: Callable[[np.ndarray], np.ndarray],
+    objective: str, draws: Callable[[np.ndarray], np.ndarray], few: bool,
 ) -> np.ndarray:
-    """Sums of gradients and hessians by node, feature and bin: one aggregation for all `nodes`."""
+    """Sums of gradients and hessians by node, feature and bin: one aggregation for all `nodes`.
+
+    Of few partitions the driver adds up the sums itself, which spares a shuffle a level; of more, Spark does. Sums of whole numbers
+    are the same either way.
+    """
     shape = (2, len(nodes), width, CELLS)
     slot_of = np.full(len(tree.feature), -1)
     slot_of[list(nodes)] = range(len(nodes))
@@ -226,10 +232,12 @@ def _histograms(
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns_out], ["cell", "g", "h"])
 
     parts = states.mapInArrow(add, "cell long, g long, h long")
-    added = parts.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
+    if not few:
+        parts = parts.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+    found = parts.toArrow()
     sums = np.zeros((2, len(nodes) * width * CELLS), np.int64)
     for i, name in enumerate(("g", "h")):
-        sums[i, added["cell"].to_numpy()] = added[name].to_numpy()
+        np.add.at(sums[i], found["cell"].to_numpy(), found[name].to_numpy())
     return sums.reshape(shape)
 
 
@@ -248,21 +256,23 @@ def best_split(
 ) -> Split | None:
     """The split of a node that gains most; of equal ones that of the first feature, the least bin, and to the right for
     rows without a value. `sums` are gradients and hessians by feature and bin."""
-    best = None
-    for j in columns:
-        of_bins, none = sums[:, j, : len(cuts[j])] / SCALE, sums[:, j, MISSING] / SCALE
-        total = of_bins.sum(axis=1) + none
-        for missing_left in (False, True):
-            g, h = np.cumsum(of_bins, axis=1) + (none[:, None] if missing_left else 0.0)
-            g_right, h_right = total[0] - g, total[1] - h
-            allowed = (h >= min_child_weight) & (h_right >= min_child_weight) & (h > 0) & (h_right > 0)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                gain = g**2 / (h + reg_lambda) + g_right**2 / (h_right + reg_lambda)
-            gain = np.where(allowed, gain - total[0] ** 2 / (total[1] + reg_lambda), -np.inf)
-            at = int(np.argmax(gain))
-            if gain[at] > LEAST_GAIN and (best is None or gain[at] > best.gain):
-                best = Split(int(j), at, missing_left, float(gain[at]), (g[at], h[at]), (g_right[at], h_right[at]))
-    return best
+    picked = sums[:, columns] / SCALE
+    none, total = picked[:, :, MISSING], picked.sum(axis=2)
+    left = np.cumsum(picked[:, :, :MISSING], axis=2)
+    left = np.stack([left, left + none[:, :, None]], axis=2)  # by sum, feature, side of the missing ones, and bin
+    right = total[:, :, None, None] - left
+    (g, h), (g_right, h_right) = left, right
+    bins = np.array([len(cuts[j]) for j in columns])[:, None, None] > np.arange(MISSING)
+    allowed = bins & (h >= min_child_weight) & (h_right >= min_child_weight) & (h > 0) & (h_right > 0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = g**2 / (h + reg_lambda) + g_right**2 / (h_right + reg_lambda)
+    whole = total[0] ** 2 / (total[1] + reg_lambda) if total[1].any() else np.zeros(len(columns))
+    gain = np.where(allowed, gain - whole[:, None, None], -np.inf)
+    at = np.unravel_index(int(np.argmax(gain)), gain.shape)
+    if not gain[at] > LEAST_GAIN:
+        return None
+    ends = (float(g[at]), float(h[at])), (float(g_right[at]), float(h_right[at]))
+    return Split(int(columns[at[0]]), int(at[2]), bool(at[1]), float(gain[at]), *ends)
 
 
 def _grow(
@@ -320,17 +330,18 @@ def fit_boosted(train: DataFrame, features: Sequence[str], target: str, objectiv
     if objective == LOGISTIC and mean in (0.0, 1.0):
         base = float(np.log((n + 1) / 1) * (1 if mean else -1))  # all alike: as if one more were different
     cuts = cut_points(train, features, settings["bins"])
-    states = materialise(_states(train, features, label, cuts, base))
+    # Few rows make few partitions: every level is a job over all of them.
+    states = materialise(_states(train, features, label, cuts, base).hint("rebalance"))
     draw_columns = np.random.default_rng(settings["seed"])
     some = max(1, int(settings["columns"] * len(features)))
     trees: list[Tree] = []
     stored = 0  # trees whose values the stored margins have
-    kept = states.persist()
+    kept, few = states.persist(), len(states.inputFiles()) <= FEW
     for number in range(settings["trees"]):
         columns = np.sort(draw_columns.choice(len(features), some, replace=False))
         draws = lambda draw, at=number: drawn(draw, settings["seed"], at, settings["rows"])
         count = lambda tree, nodes, at=columns: _histograms(
-            kept, trees[stored:], tree, nodes, at, len(features), objective, draws
+            kept, trees[stored:], tree, nodes, at, len(features), objective, draws, few
         )
         trees.append(_grow(count, cuts, columns, settings))
         if len(trees) - stored == REFRESH and len(trees) < settings["trees"]:

@@ -14,6 +14,7 @@ from matchlake.operators.trailing import PLAIN, Strategy, running_min
 from matchlake.plans.splits import SPLITS
 from matchlake.schemas import RUNS
 from matchlake.sources.lake import append
+from matchlake.sources.versions import VersionLog
 
 # Experiments, the served family, and the tag that marks promotion.
 WINNER_EXPERIMENT, RUNS_EXPERIMENT = "winner", "runs"
@@ -82,6 +83,28 @@ def passes_gate(
     return value < incumbent["value"] if lower_is_better else value > incumbent["value"]
 
 
+def promote(
+    spark: SparkSession, folder: str, run_id: str, value: float, runs: DataFrame, experiment: str, metric: str,
+    lower_is_better: bool = True, family: str = SERVED_FAMILY,
+) -> bool:
+    """Make a run the promoted one if it passes the gate, against any other writer.
+
+    The promoted runs of an experiment and family are numbered in a log under `folder`. A run is compared with the newest of them
+    and takes the next number; if another run has taken it meanwhile, it is compared with that one. An empty log
+    begins with the newest promoted run of the table `runs`.
+    """
+    log = VersionLog(spark, f"{folder}/{experiment}/{family}")
+    while True:
+        number, incumbent = log.newest()
+        if incumbent is None:
+            if not passes_gate(runs, experiment, metric, value, lower_is_better, family):
+                return False
+        elif not (value < incumbent["value"] if lower_is_better else value > incumbent["value"]):
+            return False
+        if log.put(number + 1, {"run_id": run_id, "value": value}):
+            return True
+
+
 def replay_gate(
     runs: DataFrame,
     metric: str,

@@ -31,11 +31,17 @@ _PITCHING = (
     "baseOnBalls:string,strikeOuts:string,numberOfPitches:string>"
 )
 _PLAYER = f"struct<person:{_PERSON},stats:struct<pitching:{_PITCHING}>>"
-_BOX_SIDE = (
-    f"struct<team:{_REF},teamStats:struct<batting:{_BATTING},fielding:struct<errors:string>>,"
-    f"pitchers:array<string>,players:map<string,{_PLAYER}>>"
-)
-BOXSCORE_PAYLOAD = f"struct<teams:struct<home:{_BOX_SIDE},away:{_BOX_SIDE}>>"
+_TEAM_LINE = f"team:{_REF},teamStats:struct<batting:{_BATTING},fielding:struct<errors:string>>"
+_PLAYERS = f"pitchers:array<string>,players:map<string,{_PLAYER}>"
+
+
+def _both_sides(fields: str) -> str:
+    return f"struct<teams:struct<home:struct<{fields}>,away:struct<{fields}>>>"
+
+
+# Each table has a type with what it needs only: the parser skips all else, the players of a team line above all.
+TEAM_PAYLOAD, PITCHER_PAYLOAD = _both_sides(_TEAM_LINE), _both_sides(f"team:{_REF},{_PLAYERS}")
+BOXSCORE_PAYLOAD = _both_sides(f"{_TEAM_LINE},{_PLAYERS}")
 TRANSACTION_PAYLOAD = (
     "struct<typeCode:string,typeDesc:string,description:string,"
     f"person:{_PERSON},fromTeam:{_REF},toTeam:{_REF}>"
@@ -111,7 +117,9 @@ def games(schedule: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def parse_boxscores(boxscores: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def parse_boxscores(
+    boxscores: DataFrame, keep: Sequence[str] = (), payload_type: str = BOXSCORE_PAYLOAD
+) -> DataFrame:
     """Boxscores with what both tables below need of their payload, parsed once.
 
     Stored, the result serves both; the payload itself is not read again.
@@ -120,18 +128,18 @@ def parse_boxscores(boxscores: DataFrame, keep: Sequence[str] = ()) -> DataFrame
         "game_pk",
         "ingested_at",
         F.xxhash64("payload").alias("fingerprint"),
-        parsed(BOXSCORE_PAYLOAD).alias("p"),
+        parsed(payload_type).alias("p"),
         *keep,
     )
 
 
-def _parsed_boxscores(boxscores: DataFrame, keep: Sequence[str]) -> DataFrame:
-    return boxscores if "p" in boxscores.columns else parse_boxscores(boxscores, keep)
+def _parsed_boxscores(boxscores: DataFrame, keep: Sequence[str], payload_type: str) -> DataFrame:
+    return boxscores if "p" in boxscores.columns else parse_boxscores(boxscores, keep, payload_type)
 
 
 def team_game_stats(boxscores: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Batting and fielding line of both teams of each match, from raw or parsed boxscores."""
-    lines = _parsed_boxscores(boxscores, keep).select(
+    lines = _parsed_boxscores(boxscores, keep, TEAM_PAYLOAD).select(
         "game_pk",
         "ingested_at",
         "fingerprint",
@@ -165,7 +173,7 @@ def pitcher_game_stats(boxscores: DataFrame, keep: Sequence[str] = ()) -> DataFr
 
     Boxscores are raw or parsed.
     """
-    sides = _parsed_boxscores(boxscores, keep).select(
+    sides = _parsed_boxscores(boxscores, keep, PITCHER_PAYLOAD).select(
         "game_pk",
         "fingerprint",
         "ingested_at",

@@ -68,7 +68,9 @@ def _register(lake, experiment, family, fitted, params, table, started: datetime
         write_csv(importance, lake.path("gold", f"importance/{run_id}"))
         if gated in metrics:
             runs = read_or_empty(lake.spark, runs_path(lake), RUNS)
-            promoted = registry.passes_gate(runs, experiment, gated, metrics[gated])
+            promoted = registry.promote(
+                lake.spark, lake.path("gold", "promotions"), run_id, metrics[gated], runs, experiment, gated
+            )
             tags[registry.PROMOTED] = str(promoted).lower()
             metrics["promoted"] = float(promoted)
     row = registry.run_row(lake.spark, run_id, experiment, family, started, params, metrics, tags)

@@ -274,6 +274,28 @@ def test_gate_needs_strict_improvement(spark):
     assert passes(9.0, experiment="none yet")
 
 
+def test_of_two_writers_one_is_promoted(spark, tmp_path, monkeypatch):
+    """Both have read the same incumbent; the one that comes second has to beat the first one."""
+    runs = _history(spark, ("a", "winner", "f", 0.7, "true"))
+
+    def promote(run_id, value):
+        return registry.promote(spark, str(tmp_path / "log"), run_id, value, runs, "winner", "val_log_loss", family="f")
+
+    put, inside = registry.VersionLog.put, []
+
+    def interrupted(log, number, document):
+        if not inside:
+            inside.append(True)
+            inside.append(promote("other", 0.5))
+        return put(log, number, document)
+
+    monkeypatch.setattr(registry.VersionLog, "put", interrupted)
+    assert not promote("first", 0.6) and inside == [True, True]
+    assert promote("better", 0.4) and not promote("as good", 0.4) and not promote("worse", 0.45)
+    _, newest = registry.VersionLog(spark, str(tmp_path / "log" / "winner" / "f")).newest()
+    assert newest == {"run_id": "better", "value": 0.4}
+
+
 @pytest.mark.parametrize("strategy", [Strategy("plain"), Strategy("blocks", 2)])
 def test_replayed_gate(spark, strategy):
     metrics = [0.7, 0.7, None, 0.65, 0.68, 0.6]
