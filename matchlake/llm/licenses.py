@@ -102,14 +102,10 @@ def shingles(text: Column) -> Column:
     return let(F.array_remove(words, ""), of)
 
 
-def flip(band: int) -> int:
-    """A band's permutation of the hashes: it flips these bits."""
-    return (band + 1) * 0x9E3779B97F4A7C15 % 2**63
-
-
 def least_of(values: Column, band: int) -> Column:
-    """A MinHash value: the least of the hashes under the band's own permutation."""
-    return F.array_min(F.transform(values, lambda x: x.bitwiseXOR(F.lit(flip(band)))))
+    """A MinHash value: the shingle whose hash under the band's own seed is least."""
+    hashed = F.transform(values, lambda x: F.struct(F.xxhash64(F.lit(band), x).alias("order"), x.alias("shingle")))
+    return F.array_min(hashed)["shingle"]
 
 
 def template_table(templates: DataFrame) -> DataFrame:
@@ -125,7 +121,7 @@ def _candidates(hashes: Column, places: Column, size: int, values: list[set[int]
     have a template's value if it holds that shingle, so all other windows need not be looked at.
     """
     step, length = stride(size), window_length(size)
-    of_class = sorted({value ^ flip(band) for band, wanted in enumerate(values) for value in wanted})
+    of_class = sorted({value for wanted in values for value in wanted})
 
     def around(place: Column) -> Column:
         first = F.greatest(F.floor((place - length) / step).cast("int") + 1, F.lit(0))
@@ -169,7 +165,7 @@ def license_scan(docs: DataFrame, templates: DataFrame, containment: float = CON
         if row.band < len(of_class):
             of_class[row.band].add(row.value)
     none = F.array().cast("array<struct<class:int,start:int,held:array<bigint>>>")
-    attained = sorted({v ^ flip(n) for values in wanted.values() for n, of_band in enumerate(values) for v in of_band})
+    attained = sorted({value for values in wanted.values() for of_band in values for value in of_band})
 
     def candidates(hashes: Column) -> Column:
         numbers = F.slice(F.sequence(F.lit(0), F.size(hashes)), 1, F.size(hashes))

@@ -42,6 +42,16 @@ def test_odd_texts(make_docs, templates):
     assert found(make_docs(rows), templates.limit(0)) == {}
 
 
+@pytest.mark.parametrize(("size", "cut"), [(9, 1), (10, 1), (14, 2), (24, 4)])
+def test_altered_copies_at_the_limit_are_found(spark, make_docs, size, cut):
+    """A copy without its last words holds just the share of shingles that is needed."""
+    texts = [[f"c{n}x{i}" for i in range(size)] for n in range(40)]
+    templates = spark.createDataFrame([(f"t{n}", " ".join(words)) for n, words in enumerate(texts)], "license string, text string")
+    rows = [(n, " ".join(["before it", *words[: size - cut], f"and other words {n} after it"])) for n, words in enumerate(texts)]
+    hits = found(make_docs(rows), templates)
+    assert len({i for i, name in hits if name == f"t{i}"}) == len(hits) >= 0.99 * 40
+
+
 def test_bands_make_misses_rare():
     for size in (n for n in range(1, 300) if licenses.window_class(n) == n):
         likeness = licenses.least_likeness(size)
