@@ -15,6 +15,7 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from pathlib import Path
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ ORC_OPTIONS = {
     "orc.stripe.size": str(16 << 20),
 }
 # Words that a worker keeps twice at most, and the length from which a word is not kept.
-CACHED_WORDS, LONG_WORD = 200_000, 64
+CACHED_WORDS, LONG_WORD = 300_000, 64
 # What may stand after a word: always tokens of its own after a letter or digit.
 STOPS = ".,;:!?%&*$#|"
 # Words of small Latin letters, which the vocabulary's normaliser and splitter leave as they are.
@@ -94,16 +95,14 @@ class WordEncoder:
         self.words = Recent(self._encode, CACHED_WORDS, LONG_WORD)
 
     def _encode(self, word: str) -> bytes:
-        small = word.lower()
-        stem = small.rstrip(STOPS)
-        if SMALL_LETTERS(stem):  # then capitals have the ids of small letters
-            if len(stem) < len(word):
-                return self.words[stem] + self.words[small[len(stem) :]]
-            if word != stem:
-                return self.words[stem]
-            if not stem.isascii():
-                stem = stem.encode().decode("latin-1").translate(BYTE_LETTERS)
-            return np.array([token.id for token in self.tokenize(stem)], "<u4").tobytes()
+        if SMALL_LETTERS(word):
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+            ids = [token.id for token in self.tokenize(letters)]
+            return pack(f"<{len(ids)}I", *ids)
+        stem = word.rstrip(STOPS)
+        small = stem.lower()
+        if SMALL_LETTERS(small):  # then capitals have the ids of small letters
+            return self.words[small] + self.words[word[len(stem) :]] if len(stem) < len(word) else self.words[small]
         (encoding,) = self.tokenizer.encode_batch_fast([word], add_special_tokens=False)
         return np.array(encoding.ids, "<u4").tobytes()
 
