@@ -58,7 +58,8 @@ class Lake:
         if newest is not None:
             partitioned = any("/" in folder for folder in newest.parts.values())
             versioned.partition_by = partition_by if partitioned else None
-            return versioned.read(newest)
+            found, declared = versioned.read(newest), [field.split()[0] for field in schema.split(", ")]
+            return found.select(*declared, *([partition_by] if versioned.partition_by else []))
         return read_table(self.spark, self.path(layer, table), schema)
 
     def silver(self, table: str) -> DataFrame:
