@@ -27,6 +27,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.filter("a <> b").unionByName(least.select("a", F.col("root").alias("b")))
 
 
+def nearer(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) with a > b that connect what the given ones do, after one large and one small star.
+
+    Often the smallest b of a is then the smallest node of its component, not always. For edges that are cheap to
+    read again; the result is kept in the checkpoint folder.
+    """
+    ensure_checkpoint_dir(edges.sparkSession)
+    return _small_star(_large_star(edges)).distinct().checkpoint()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of the edges (a, b); the root is the smallest node of its component.
 
@@ -39,7 +49,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.select("a", "b").filter("a <> b").distinct().checkpoint()
     before = _checksum(edges)
     while True:
-        edges = _small_star(_large_star(edges)).distinct().checkpoint()
+        edges = nearer(edges)
         after = _checksum(edges)
         if after == before:
             break
