@@ -1,8 +1,9 @@
 """Second-order boosted trees on binned columns.
 
-Each row keeps its bins (a byte a feature) and its margin. A level of a tree is one aggregation: tasks add up the gradients and
-hessians of their rows by node, feature and bin, Spark adds up those sums, and the driver, which gets a number of
-sums that depends on the settings alone, picks the splits. Only the lighter child of a split is counted; its sibling is
+Rows lie in blocks of some thousands, which hold their bins (a byte a feature) and their margins as arrays. A level of a tree is
+one small job: tasks add up the gradients and hessians of their rows by node, feature and bin, and the driver, which gets a number of
+sums that depends on the settings alone, picks the splits. The first job of a tree also adds the tree before to the margins and keeps
+the blocks for the other levels. Only the lighter child of a split is counted; its sibling is
 what is left of the parent. Gradients and hessians are whole multiples of 2 ** -30, so sums, and with
 them the trees, do not depend on how rows lie in partitions, nor on a task that runs twice.
 
@@ -17,10 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.session import discard, materialise
+from matchlake.session import delete, ensure_checkpoint_dir
 
 LOGISTIC, SQUARED = "logistic", "squared"
 SCALE = 1 << 30
@@ -28,15 +30,17 @@ SCALE = 1 << 30
 MISSING, CELLS = 255, 256
 # The least gain of a split.
 LEAST_GAIN = 1e-6
-# Trees whose values tasks add to the stored margins before these are stored anew.
+# Trees after which the blocks are stored anew, so that a lost one is made again from at most as many trees.
 REFRESH = 16
+# Rows of a partition, if there are cores for more partitions, and at most.
+LEAST_ROWS, MOST_ROWS = 1 << 14, 1 << 20
 # Partitions whose sums the driver adds up itself.
 FEW = 16
 DEFAULTS = {
     "trees": 100, "depth": 3, "rate": 0.1, "min_child_weight": 1.0, "rows": 1.0, "columns": 1.0,
     "reg_lambda": 1.0, "bins": 255, "seed": 42,
 }
-STATE = "bins binary, label double, margin double, draw long"
+BLOCK = "bins binary, label binary, margin binary, draw binary"
 NODES = (
     "tree int, node int, feature int, threshold double, missing_left boolean, value double, cover double, gain double"
 )
@@ -172,14 +176,55 @@ def _states(train: DataFrame, features: Sequence[str], label: Column, cuts: list
     )
 
 
-def _unpacked(batch: pa.RecordBatch, trees: Sequence[Tree]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bins, missing ones, and margins with the values of `trees`."""
-    n = batch.num_rows
-    x = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(n, -1)
-    missing, margins = x == MISSING, batch.column("margin").to_numpy().copy()
-    for tree in trees:
-        tree.add_to(margins, x, missing)
-    return x, missing, margins
+@dataclass(frozen=True)
+class Block:
+    """Some thousand rows: bins by feature and row, labels, margins and draws; of the rows that the tree at hand is grown on,
+    their places, gradients and hessians."""
+
+    bins: np.ndarray
+    label: np.ndarray
+    margin: np.ndarray
+    draw: np.ndarray
+    inside: np.ndarray | None = None
+    slopes: tuple[np.ndarray, np.ndarray] | None = None
+
+    def before(self, number: int, last: Tree | None, objective: str, settings: dict) -> Block:
+        """The block before tree `number` is grown, with the values of the `last` one."""
+        margin = self.margin if last is None else self.margin + last.value[reached(last, self.bins)]
+        inside = np.flatnonzero(drawn(self.draw, settings["seed"], number, settings["rows"]))
+        return Block(self.bins, self.label, margin, self.draw, inside, slopes(objective, self.label[inside], margin[inside]))
+
+
+def reached(tree: Tree, bins: np.ndarray) -> np.ndarray:
+    """The node of a tree over bin numbers in which each row ends, of bins by feature and row."""
+    inner = np.flatnonzero(tree.feature >= 0)
+    at, rows = np.zeros(bins.shape[1], np.int64), np.arange(bins.shape[1])
+    left = np.arange(CELLS) <= tree.threshold[:, None]
+    left[:, MISSING] = tree.missing_left
+    tested = np.maximum(tree.feature, 0)
+    for _ in range(int(inner[-1] + 1).bit_length() if len(inner) else 0):
+        below = 2 * at + 2 - left[at, bins[tested[at], rows]]
+        at = np.where(tree.feature[at] >= 0, below, at)
+    return at
+
+
+def _blocks(states: DataFrame, parts: int, width: int) -> RDD:
+    """The training rows as `parts` partitions of blocks; an Arrow batch makes a block."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, width).T
+            rest = [batch.column(name).to_numpy() for name in ("label", "margin", "draw")]
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (bins, *rest)], names)
+
+    names = ["bins", "label", "margin", "draw"]
+    kinds = np.uint8, np.float64, np.float64, np.int64
+
+    def block(row) -> Block:
+        bins, *rest = (np.frombuffer(part, kind) for part, kind in zip(row, kinds))
+        return Block(bins.reshape(width, -1), *rest)
+
+    return states.repartition(parts).mapInArrow(packed, BLOCK).rdd.map(block)
 
 
 def drawn(draw: np.ndarray, seed: int, tree: int, share: float) -> np.ndarray:
@@ -202,43 +247,33 @@ def slopes(objective: str, label: np.ndarray, margins: np.ndarray) -> tuple[np.n
     return np.rint(first * SCALE), np.rint(second * SCALE)
 
 
-def _histograms(
-    states: DataFrame, recent: Sequence[Tree], tree: Tree, nodes: Sequence[int], columns: np.ndarray, width: int,
-    objective: str, draws: Callable[[np.ndarray], np.ndarray], few: bool,
-) -> np.ndarray:
-    """Sums of gradients and hessians by node, feature and bin: one aggregation for all `nodes`.
+def _histograms(blocks: RDD, tree: Tree, nodes: Sequence[int], columns: np.ndarray, width: int) -> np.ndarray:
+    """Sums of gradients and hessians by node, feature and bin: one job for all `nodes`.
 
     Of few partitions the driver adds up the sums itself, which spares a shuffle a level; of more, Spark does. Sums of whole numbers
     are the same either way.
     """
-    shape = (2, len(nodes), width, CELLS)
     slot_of = np.full(len(tree.feature), -1)
     slot_of[list(nodes)] = range(len(nodes))
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(shape, np.int64)
-        for batch in batches:
-            x, missing, margins = _unpacked(batch, recent)
-            slot = slot_of[tree.reach(x, missing)]
-            used = np.flatnonzero((slot >= 0) & draws(batch.column("draw").to_numpy()))
-            parts = slopes(objective, batch.column("label").to_numpy()[used], margins[used])
-            first = slot[used] * CELLS
-            for j in columns:
-                cells = first + x[used, j]
+    def add(rows: Iterator[Block]) -> Iterator[np.ndarray]:
+        sums = np.zeros((2, len(nodes), len(columns), CELLS), np.int64)
+        for block in rows:
+            slot = slot_of[reached(tree, block.bins)[block.inside]]
+            counted = np.flatnonzero(slot >= 0)
+            used, first = block.inside[counted], slot[counted] * CELLS
+            parts = [part[counted] for part in block.slopes]
+            for i, j in enumerate(columns):
+                cells = first + block.bins[j][used]
                 for part, into in zip(parts, sums):
-                    into[:, j] += np.bincount(cells, part, len(nodes) * CELLS).astype(np.int64).reshape(-1, CELLS)
-        found = np.flatnonzero(sums[1].ravel())
-        columns_out = [found, sums[0].ravel()[found], sums[1].ravel()[found]]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns_out], ["cell", "g", "h"])
+                    into[:, i] += np.bincount(cells, part, len(nodes) * CELLS).astype(np.int64).reshape(-1, CELLS)
+        yield sums
 
-    parts = states.mapInArrow(add, "cell long, g long, h long")
-    if not few:
-        parts = parts.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-    found = parts.toArrow()
-    sums = np.zeros((2, len(nodes) * width * CELLS), np.int64)
-    for i, name in enumerate(("g", "h")):
-        np.add.at(sums[i], found["cell"].to_numpy(), found[name].to_numpy())
-    return sums.reshape(shape)
+    parts = blocks.mapPartitions(add)
+    picked = sum(parts.collect()) if blocks.getNumPartitions() <= FEW else parts.treeReduce(np.add)
+    sums = np.zeros((2, len(nodes), width, CELLS), np.int64)
+    sums[:, :, columns] = picked
+    return sums
 
 
 @dataclass(frozen=True)
@@ -330,38 +365,37 @@ def fit_boosted(train: DataFrame, features: Sequence[str], target: str, objectiv
     if objective == LOGISTIC and mean in (0.0, 1.0):
         base = float(np.log((n + 1) / 1) * (1 if mean else -1))  # all alike: as if one more were different
     cuts = cut_points(train, features, settings["bins"])
-    # Few rows make few partitions: every level is a job over all of them.
-    states = materialise(_states(train, features, label, cuts, base).hint("rebalance"))
+    spark, width = train.sparkSession, len(features)
+    ensure_checkpoint_dir(spark)
+    cores = spark.sparkContext.defaultParallelism
+    parts = max(min(cores, -(-n // LEAST_ROWS)), -(-n // MOST_ROWS))
+    blocks = _blocks(_states(train, features, label, cuts, base), parts, width)
     draw_columns = np.random.default_rng(settings["seed"])
-    some = max(1, int(settings["columns"] * len(features)))
+    some = max(1, int(settings["columns"] * width))
     trees: list[Tree] = []
-    stored = 0  # trees whose values the stored margins have
-    kept, few = states.persist(), len(states.inputFiles()) <= FEW
+    kept = stored = None  # the blocks of the tree before, and the folder that they are made from
     for number in range(settings["trees"]):
-        columns = np.sort(draw_columns.choice(len(features), some, replace=False))
-        draws = lambda draw, at=number: drawn(draw, settings["seed"], at, settings["rows"])
-        count = lambda tree, nodes, at=columns: _histograms(
-            kept, trees[stored:], tree, nodes, at, len(features), objective, draws, few
-        )
-        trees.append(_grow(count, cuts, columns, settings))
-        if len(trees) - stored == REFRESH and len(trees) < settings["trees"]:
-            fresh = materialise(_with_margins(kept, trees[stored:]))
+        columns = np.sort(draw_columns.choice(width, some, replace=False))
+        last = trees[-1] if trees else None
+        ready = _before(kept or blocks, number, last, objective, settings).persist(StorageLevel.MEMORY_AND_DISK)
+        if number % REFRESH == 0:
+            ready.checkpoint()
+        trees.append(_grow(lambda tree, nodes, at=columns, rows=ready: _histograms(rows, tree, nodes, at, width), cuts, columns, settings))
+        if kept:
             kept.unpersist()
-            discard(states)
-            states, stored = fresh, len(trees)
-            kept = states.persist()
-    kept.unpersist()
-    discard(states)
+        if number % REFRESH == 0:
+            if stored:
+                delete(spark, stored)
+            stored = ready.getCheckpointFile()
+        kept = ready
+    if kept:
+        kept.unpersist()
+        delete(spark, stored)
     return BoostedTrees(list(features), objective, base, [_with_values(tree, cuts) for tree in trees])
 
 
-def _with_margins(states: DataFrame, trees: Sequence[Tree]) -> DataFrame:
-    def refreshed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            margins = _unpacked(batch, trees)[2]
-            yield batch.set_column(batch.schema.get_field_index("margin"), "margin", pa.array(margins))
-
-    return states.mapInArrow(refreshed, STATE)
+def _before(blocks: RDD, number: int, last: Tree | None, objective: str, settings: dict) -> RDD:
+    return blocks.map(lambda block: block.before(number, last, objective, settings))
 
 
 def _with_values(tree: Tree, cuts: list[np.ndarray]) -> Tree:

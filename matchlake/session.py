@@ -69,10 +69,11 @@ def discard(df: DataFrame) -> None:
     path = next((p for p in _stored if files and f"/{p.rsplit('/', 1)[1]}/" in files[0]), None)
     if path:
         _stored.remove(path)
-        _delete(df.sparkSession, path)
+        delete(df.sparkSession, path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the checkpoint folder."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -81,5 +82,5 @@ def release_stored(spark: SparkSession) -> int:
     """Delete all tables that `materialise` wrote, once no frame that reads them is needed."""
     released = len(_stored)
     while _stored:
-        _delete(spark, _stored.pop())
+        delete(spark, _stored.pop())
     return released

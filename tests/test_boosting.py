@@ -168,3 +168,25 @@ def test_deep_trees_add_up(spark):
     rows = attribution.tree_contributions(df.orderBy("id"), Fitted(model), ["id"]).collect()
     sums = np.array([sum(r["_contributions"]) for r in sorted(rows)])
     assert np.allclose(sums + expectation, model.margins(x), atol=1e-8)
+
+
+def test_levels_are_counted_in_several_tasks(spark, monkeypatch):
+    """Few bytes are many rows: partitions go by rows, the trees stay the same, and no stored blocks are left."""
+    df, x, _, _ = table(spark, 500, seed=4)
+    settings = {"trees": 4, "depth": 3, "rows": 0.7}
+    one = fit_boosted(df, NAMES, "won", LOGISTIC, **settings)
+    monkeypatch.setattr(boosting, "LEAST_ROWS", 150)
+    monkeypatch.setattr(boosting, "REFRESH", 3)
+    counted, kept, count = [], [], boosting._histograms
+
+    def watched(blocks, *rest):
+        counted.append(blocks.getNumPartitions())
+        kept.append(blocks)
+        return count(blocks, *rest)
+
+    monkeypatch.setattr(boosting, "_histograms", watched)
+    several = fit_boosted(df, NAMES, "won", LOGISTIC, **settings)
+    assert set(counted) == {4} and (one.margins(x) == several.margins(x)).all()
+    assert not any(blocks.is_cached for blocks in kept)
+    files = spark._jvm.org.apache.hadoop.fs.Path(kept[-1].getCheckpointFile() or kept[-2].getCheckpointFile() or "none")
+    assert not files.getFileSystem(spark._jsc.hadoopConfiguration()).exists(files)
