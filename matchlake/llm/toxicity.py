@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
@@ -81,15 +82,21 @@ def swapped_words_of(text: str | None) -> set[str] | None:
     return _with_beginnings(words - gone | {swaps[word] for word in gone}) if gone else None
 
 
-_WORDS = ArrayType(StringType())
+_FEATURES = pa.struct([("words", pa.list_(pa.string())), ("swapped", pa.list_(pa.string()))])
+# Texts whose features a worker holds as Python strings at once.
+SOME_TEXTS = 64
 
 
-@F.pandas_udf(StructType().add("words", _WORDS).add("swapped", _WORDS))
-def features_of(texts: pd.Series) -> pd.DataFrame:
+@F.arrow_udf(StructType().add("words", ArrayType(StringType())).add("swapped", ArrayType(StringType())))
+def features_of(texts: pa.Array) -> pa.Array:
     """The features of each text, and those of its counterfactual if it has one."""
-    words = [sorted(words_of(text)) for text in texts]
-    swapped = [None if (of := swapped_words_of(text)) is None else sorted(of) for text in texts]
-    return pd.DataFrame({"words": pd.Series(words, dtype=object), "swapped": pd.Series(swapped, dtype=object)})
+    parts = []
+    for at in range(0, len(texts), SOME_TEXTS):
+        some = texts.slice(at, SOME_TEXTS).to_pylist()
+        words = [sorted(words_of(text)) for text in some]
+        swapped = [None if (of := swapped_words_of(text)) is None else sorted(of) for text in some]
+        parts.append(pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip((words, swapped), _FEATURES)], fields=list(_FEATURES)))
+    return pa.concat_arrays(parts) if parts else pa.array([], _FEATURES)
 
 
 def swapped_terms() -> dict[str, str]:

@@ -88,3 +88,22 @@ def test_held_out_accuracy(spark):
     toxic = [r for r in rows if r.toxic == 1]
     assert sum(r.predicted for r in clean) <= 0.02 * len(clean)
     assert sum(r.predicted for r in toxic) >= 0.6 * len(toxic)
+
+
+def test_features_of_many_texts_are_not_held_as_strings_at_once(spark):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from matchlake.llm.toxicity import features_of, swapped_words_of, words_of
+
+    texts = [" ".join(f"women{n}word{k}" for k in range(100)) + " women" for n in range(600)] + [None, ""]
+    tracemalloc.start()
+    found = features_of.func(pa.array(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20_000_000  # 40 MB and more of strings if all are held
+    for n in (0, 63, 64, 599, 600, 601):
+        row = found[n].as_py()
+        assert row["words"] == sorted(words_of(texts[n]))
+        assert row["swapped"] == (None if (of := swapped_words_of(texts[n])) is None else sorted(of))
