@@ -29,6 +29,11 @@ HASHES, CELLS, GROWTH = 3, 12, 4
 REPEAT = 99
 ONE, MINUS_ONE = np.uint64(1), np.uint64(2**64 - 1)
 _GOLDEN = 0x9E3779B97F4A7C15
+# Digests of each text from which the number of different ones is estimated.
+LEAST = 48
+_BITS, _LOW = np.uint64(21), np.uint64(0x1FFFFF)
+_PARTS = np.arange(HASHES, dtype=np.uint64)[:, None]
+_SHIFTS = _PARTS * _BITS
 
 
 def mix(x: np.ndarray, salt: int) -> np.ndarray:
@@ -69,17 +74,21 @@ def digests(text: str) -> np.ndarray:
 
 def places(keys: np.ndarray, size: int, salt: int) -> np.ndarray:
     """The cells of each digest: one in each of HASHES equal parts of the sketch, part after part."""
-    part, mixed = np.uint64(size // HASHES), mix(keys, salt)
-    each = [(mixed >> np.uint64(21 * n) & np.uint64(0x1FFFFF)) * part >> np.uint64(21) for n in range(HASHES)]
-    return np.concatenate([cell + np.uint64(n) * part for n, cell in enumerate(each)]).astype(np.int64)
+    part = np.uint64(size // HASHES)
+    cells = (mix(keys, salt) >> _SHIFTS & _LOW) * part >> _BITS
+    return (cells + _PARTS * part).ravel().astype(np.int64)
 
 
 def _add(cells: np.ndarray, keys: np.ndarray, signs: np.ndarray | None, salt: int) -> None:
     """Add digests, or with a sign of 2**64 - 1, which stands for -1, take them away. Sums wrap."""
-    where = places(keys, cells.shape[1], salt)
-    count = np.ones(len(keys), np.uint64) if signs is None else signs
-    for row, values in enumerate((count, keys * count, checksum(keys) * count)):
-        np.add.at(cells[row], where, np.concatenate([values] * HASHES))
+    size = cells.shape[1]
+    where = places(keys, size, salt)
+    if signs is None:
+        rows = np.ones(len(keys), np.uint64), keys, checksum(keys)
+    else:
+        rows = signs, keys * signs, checksum(keys) * signs
+    values = np.concatenate([row for row in rows for _ in range(HASHES)])
+    np.add.at(cells.reshape(-1), np.concatenate([where, where + size, where + 2 * size]), values)
 
 
 def sketch(keys: np.ndarray, size: int = CELLS, salt: int = 0) -> np.ndarray:
@@ -98,10 +107,14 @@ def peel(cells: np.ndarray, salt: int = 0) -> tuple[np.ndarray, np.ndarray] | No
         sign = count[pure]
         keys = digest[pure] * sign
         whole = check[pure] == checksum(keys) * sign
-        keys, first = np.unique(keys[whole], return_index=True)
+        keys, sign = keys[whole], sign[whole]
         if not len(keys):
             break
-        sign = sign[whole][first]
+        order = keys.argsort(kind="stable")  # a digest may be alone in several cells
+        keys, sign = keys[order], sign[order]
+        first = np.ones(len(keys), bool)
+        np.not_equal(keys[1:], keys[:-1], out=first[1:])
+        keys, sign = keys[first], sign[first]
         found.append(keys)
         signs.append(sign)
         n += len(keys)
@@ -116,15 +129,24 @@ def peel(cells: np.ndarray, salt: int = 0) -> tuple[np.ndarray, np.ndarray] | No
     return keys[sign == ONE], keys[sign == MINUS_ONE]
 
 
+def expected(a: np.ndarray, b: np.ndarray) -> float:
+    """About how many digests differ: as the least of `a`, which are a random part of it, are also in `b` or not."""
+    least, n = a[:LEAST], len(a) + len(b)
+    if not len(least) or not len(b):
+        return n
+    found = b[np.minimum(np.searchsorted(b, least), len(b) - 1)] == least
+    return n - 2 * found.mean() * len(a)
+
+
 def difference(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The digests only in `a` and only in `b`.
 
-    The first sketch is large enough if about a third of the digests differ. Sketches grow by GROWTH, each
+    The first sketch has nearly two cells for each digest that is expected to differ. Sketches grow by GROWTH, each
     time with other hashes, until one can be peeled; past a size at which all but unlucky ones can,
     the sets are compared directly.
     """
     n = len(a) + len(b)
-    size, salt = HASHES * max(CELLS // HASHES, int(0.15 * n), abs(len(a) - len(b)) // 2), 0
+    size, salt = HASHES * max(CELLS // HASHES, 6 + int(0.6 * expected(a, b)), abs(len(a) - len(b)) // 2), 0
     while size <= 16 * max(n, CELLS):
         found = peel(sketch(a, size, salt) - sketch(b, size, salt), salt)
         if found is not None:

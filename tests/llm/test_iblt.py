@@ -94,3 +94,16 @@ def test_one_row_repeated_rows_and_none(make_docs):
     repeated = [(1, "one. two. three."), (1, "one. two. three."), (2, "other")]
     assert sorted(plain(fingerprint_rows(make_docs(repeated)))) == sorted(brute(repeated))
     assert fingerprint_rows(make_docs([])).count() == 0
+
+
+def test_the_first_sketch_is_large_enough_for_unlike_texts(monkeypatch):
+    """Neighbours that share nothing, or a part of their digests, are told apart at the first attempt."""
+    draw, tried = np.random.default_rng(3), []
+    keys = np.unique(draw.integers(0, 2**63, 1200).astype(np.uint64))
+    draw.shuffle(keys)
+    monkeypatch.setattr(iblt, "peel", lambda cells, salt=0: tried.append(salt) or peel(cells, salt))
+    for common in (0, 100, 300):
+        a, b = np.sort(keys[:400]), np.sort(keys[400 - common : 800 - common])
+        only_a, only_b = difference(a, b)
+        assert set(only_a) == set(a) - set(b) and set(only_b) == set(b) - set(a)
+    assert tried == [0, 0, 0]
