@@ -6,7 +6,7 @@ so that a query and its oracle start from the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from matchlake.functions.innings import innings_to_number
@@ -95,17 +95,18 @@ def latest_games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pitchers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pitcher lines from order lines; even ids pitch for the home team."""
-    lines = read(spark, sf_dir, "lineitem")
+    # One shuffle of the lines, by match, serves their sums, the starters and the join with the matches.
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity").repartition("l_orderkey")
     home_side = (F.col("l_suppkey") % 2 == 0).alias("is_home")
-    per_pitcher = lines.groupBy("l_orderkey", "l_suppkey").agg(
+    per_pitcher = lines.filter("l_suppkey IS NOT NULL").groupBy("l_orderkey", "l_suppkey").agg(
         F.sum("l_quantity").cast("long").alias("q"), F.count(F.lit(1)).alias("c")
     )
-    starters = lines.groupBy("l_orderkey", home_side).agg(F.min("l_suppkey").alias("starter"))
+    of_side = Window.partitionBy("l_orderkey", "is_home")
     teams = games(spark, sf_dir).select("game_pk", "home_team_id", "away_team_id")
     text = F.expr("concat(cast((q % 22) div 3 as string), '.', cast((q % 22) % 3 as string))")
     return (
         per_pitcher.withColumn("is_home", home_side)
-        .join(starters, ["l_orderkey", "is_home"])
+        .withColumn("starter", F.min("l_suppkey").over(of_side))
         .join(teams, F.col("l_orderkey") == F.col("game_pk"))
         .select(
             "game_pk",

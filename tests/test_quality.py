@@ -71,3 +71,18 @@ def test_gate_and_declared_checks(spark, make_games):
     with pytest.raises(quality.QualityError, match="1 duplicate game_pk rows"):
         quality.enforce(report)
     quality.enforce(report.filter("passed"))
+
+
+def test_order_lines_are_read_and_shuffled_once_for_pitcher_lines(spark):
+    from matchlake.harness import tables as t
+
+    sf_dir = "/root/testdata/sf0.001"
+    found = t.pitchers(spark, sf_dir)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert len([line for line in plan.splitlines() if "Scan parquet" in line and "l_suppkey" in line]) == 1
+    lines = t.read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").distinct().collect()
+    first = {}
+    for order, supplier in lines:
+        first[order, supplier % 2] = min(supplier, first.get((order, supplier % 2), supplier))
+    starters = {(r.game_pk, r.pitcher_id) for r in found.collect() if r.is_starter}
+    assert starters == {(order, supplier) for (order, _), supplier in first.items()}
