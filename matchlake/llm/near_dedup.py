@@ -4,14 +4,17 @@ Two documents are linked if the sets of their different five-word shingles have
 0.8; the groups are the components of the links. Fingerprints only propose pairs.
 
 Documents at 0.8 differ in about 15 % of the bits of a SimHash fingerprint, which is too many for exact
-search among 64 bits. So the fingerprint has BITS bits; SEGMENTS parts of it, of WIDTH bits, are the keys of a table each,
-which two documents at 0.8 share with probability 0.15 and closer ones far more often. For those at the limit each document also has
+search among 64 bits. So the fingerprint has BITS bits, cut into SEGMENTS parts of WIDTH bits, each the key of a table that is
+also looked up under the keys one bit away. Two documents at 0.8 meet there with probability 0.36, closer ones far more often. For those at the limit each document also has
 BANDS keys of ROWS MinHash values, no value in two bands: two documents at 0.8 share one with probability 0.9998.
 
 A large group is not written out in pairs. First each document is compared with the least and the greatest that share a
-key with it. Then, ROUNDS times, each is compared with one other of each of its index entries, drawn anew by a hash, unless links are known
-to connect the two. At last all pairs that an entry holds are compared, but for those of one
-component; so no partner is left out, and a group of near copies, by then one component, costs its size.
+key with it. Then each is compared with one other of each of its index entries, drawn by a hash, unless links are known
+to connect the two, and in entries of more than MEMBERS with the member that has the fewest shingles to itself, which is the likest to
+all others. At last all pairs that an entry of at most MEMBERS holds are compared, but for those of one
+component. Of larger entries those pairs are compared that the shingles do not rule out: with shingles in order of how many documents hold
+them, two documents at 0.8 share one among the first few of both. So no partner is left out, and a group of near copies, by then one
+component, costs its size, and so do its members that are too unlike.
 """
 
 from __future__ import annotations
@@ -30,9 +33,9 @@ from matchlake.llm.components import components, nearer
 from matchlake.llm.simhash import shingle_hashes
 from matchlake.session import discard, materialise
 
-WORDS, WIDTH = 6, 24
+WORDS, WIDTH = 6, 32
 BITS = 64 * WORDS
-SEGMENTS = 8
+SEGMENTS = BITS // WIDTH
 # Two texts of likeness 0.8 have shingle vectors at a cosine of at least 0.889: 58 of 384 bits differ, 72 at most if ties
 # of short texts count. This is only a gate before the exact test, five standard deviations (7.6 bits) above.
 MAX_BITS = 110
@@ -41,7 +44,8 @@ VALUES = BANDS * ROWS
 # The likeness that links, SHARE / OF; whole numbers, so that 0.8 itself is exact.
 SHARE, OF = 4, 5
 BLOCK = 1 << 14
-ROUNDS = 2
+# Members of an entry that are all compared; in larger entries the shingles rule out pairs first.
+MEMBERS = 32
 _draw = np.random.RandomState(7)
 _XOR = _draw.randint(0, 1 << 62, VALUES).astype(np.uint64)[:, None]
 _TIMES = (_draw.randint(0, 1 << 62, VALUES).astype(np.uint64) * np.uint64(2) + np.uint64(1))[:, None]
@@ -116,8 +120,6 @@ def _segment(number: int) -> Column:
     """A segment as a number, with its own number above its bits."""
     word, shift = divmod(number * WIDTH, 64)
     low = F.shiftrightunsigned(F.col("print")[word], shift)
-    if shift + WIDTH > 64:
-        low = low.bitwiseOR(F.shiftleft(F.col("print")[word + 1], 64 - shift))
     return low.bitwiseAND(F.lit((1 << WIDTH) - 1)) + F.lit(number << WIDTH)
 
 
@@ -127,6 +129,17 @@ def _keyed(nodes: DataFrame, *columns: str) -> DataFrame:
     return nodes.select(*columns, F.explode(F.concat(segments, "bands")).alias("key"))
 
 
+def _looked_up(nodes: DataFrame) -> DataFrame:
+    """(node, key) of all segment keys one bit from a node's own, where the node has a zero.
+
+    So of two segments that differ in one bit one is looked up under the other's key, and not the other way round.
+    """
+    segments = F.array(*[_segment(n) for n in range(SEGMENTS)])
+    bits = F.array(*[F.lit(1 << bit) for bit in range(WIDTH)])
+    near = F.transform(F.filter(bits, lambda bit: F.col("own").bitwiseAND(bit) == 0), lambda bit: F.col("own") + bit)
+    return nodes.select("node", F.explode(segments).alias("own")).select("node", F.explode(near).alias("key"))
+
+
 def _pairs(found: DataFrame) -> DataFrame:
     """(a, b) with a < b, once each, of (node, other)."""
     found = found.filter("node <> other")
@@ -134,10 +147,14 @@ def _pairs(found: DataFrame) -> DataFrame:
 
 
 def shared_entries(nodes: DataFrame) -> DataFrame:
-    """(node, key) of the keys that several nodes have; all others lead nowhere."""
-    entries = _keyed(nodes, "node")
+    """(node, key) of the keys that several nodes have or look up; all others lead nowhere."""
+    own = _keyed(nodes, "node")
+    entries = own.unionByName(_looked_up(nodes).join(own.select("key"), "key", "left_semi"))
+    entries = materialise(entries)
     ends = entries.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-    return materialise(entries.join(ends.filter("least < most").select("key"), "key", "left_semi"))
+    shared = materialise(entries.join(ends.filter("least < most").select("key"), "key", "left_semi"))
+    discard(entries)
+    return shared
 
 
 def star_pairs(entries: DataFrame) -> DataFrame:
@@ -154,14 +171,85 @@ def crossing_entries(entries: DataFrame, roots: DataFrame) -> DataFrame:
     return materialise(rooted.join(held.select("key"), "key", "left_semi"))
 
 
-def drawn_pairs(crossing: DataFrame, number: int) -> DataFrame:
-    """(a, b): each node with a node of each of its entries, which a hash draws for entry and round, if of another component."""
-    draw = F.xxhash64("node", "key", F.lit(number))
+def _hub_pairs(crossing: DataFrame, draw: Column) -> DataFrame:
+    """(a, b): each node with the node of least `draw` of each of its entries, if of another component."""
     hubs = crossing.groupBy("key").agg(F.min(F.struct(draw, "node", "root")).alias("hub"))
     hubs = hubs.select("key", F.col("hub.node").alias("other"), F.col("hub.root").alias("of_root"))
     return _pairs(crossing.join(hubs, "key").filter("root <> of_root"))
 
 
+def crossing_of(entries: DataFrame, stars: DataFrame) -> DataFrame:
+    """`crossing_entries` by the stars (a, b) of links, each with the least b it has."""
+    return crossing_entries(entries, stars.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")))
+
+
+def drawn_pairs(crossing: DataFrame, number: int) -> DataFrame:
+    """(a, b): each node with a node of each of its entries, which a hash draws for entry and round, if of another component."""
+    return _hub_pairs(crossing, F.xxhash64("node", "key", F.lit(number)))
+
+
+def large_entries(crossing: DataFrame) -> DataFrame:
+    """(key) of the entries of more than MEMBERS nodes."""
+    return crossing.groupBy("key").count().filter(F.col("count") > MEMBERS).select("key")
+
+
+def ordered_shingles(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, n, alone, first) of the nodes of (node, key, root): how many shingles they have and have to themselves, and the first ones.
+
+    The order is by the number of these nodes that hold a shingle, then by its hash. `first` has the place and hash of each that comes before a
+    likeness of SHARE / OF is out of reach and that others hold too.
+    """
+    held = sets.join(large.select("node").distinct(), "node", "left_semi")
+    each = materialise(held.select("node", F.explode("held").alias("shingle")))
+    often = materialise(each.groupBy("shingle").agg(F.count("*").alias("often")).filter("often > 1"))
+    place = F.struct(F.coalesce("often", F.lit(1)).alias("often"), "shingle")
+    order = each.join(often, "shingle", "left").groupBy("node").agg(F.sort_array(F.collect_list(place)).alias("order"))
+    n = F.size("order")
+    reach = n - F.ceil(n * SHARE / OF).cast("int") + 1
+    first = F.transform(F.slice("order", 1, reach), lambda x, i: F.struct(i.alias("place"), x.often.alias("often"), x.shingle.alias("shingle")))
+    alone = F.size(F.filter("order", lambda x: x.often == 1))
+    ordered = order.select(
+        "node", n.alias("n"), alone.alias("alone"), F.filter(first, lambda x: x.often > 1).alias("first")
+    )
+    ordered = materialise(ordered)
+    discard(each)
+    discard(often)
+    return ordered
+
+
+def central_pairs(large: DataFrame, ordered: DataFrame) -> DataFrame:
+    """(a, b): each node with the node of each of its entries that has the least share of shingles to itself."""
+    return _hub_pairs(large.join(ordered, "node"), F.col("alone") / F.col("n"))
+
+
+def shingle_pairs(large: DataFrame, ordered: DataFrame) -> DataFrame:
+    """(a, b): the pairs of nodes of different components (node, key, root) that may have a likeness of SHARE / OF.
+
+    Two sets at the limit share SHARE / (SHARE + OF) of the sum of their sizes. The first shingle that both hold must therefore have as
+    many, itself included, behind it in both. Pairs that share no key are found as well.
+    """
+    rooted = large.select("node", "root").distinct().join(ordered, "node")
+    rows = rooted.select("node", "root", "n", F.explode("first").alias("at"))
+    rows = rows.select("node", "root", "n", (F.col("n") - F.col("at.place")).alias("left"), F.col("at.shingle").alias("shingle"))
+
+    def within(left: str, sizes: Column) -> Column:
+        return F.col(left) * (SHARE + OF) >= sizes * SHARE
+
+    met = rows.groupBy("shingle").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.min("n").alias("least_n"))
+    rows = rows.join(met.filter("least < most").select("shingle", "least_n"), "shingle")
+    rows = materialise(rows.filter(within("left", F.col("n") + F.col("least_n"))).drop("least_n"))
+    # Whole components first: an entry that one of them fills is one row here, and meets no node of its own.
+    others = rows.groupBy("shingle", F.col("root").alias("of_root")).agg(F.min("n").alias("least_n"), F.max("left").alias("most_left"))
+    sizes = F.col("n") + F.col("least_n")
+    near = (F.col("root") < F.col("of_root")) & within("left", sizes) & within("most_left", sizes)
+    met = rows.join(others, "shingle").filter(near).drop("least_n", "most_left", "root")
+    members = rows.select(
+        "shingle", F.col("root").alias("of_root"), F.col("node").alias("other"), F.col("n").alias("of_n"), F.col("left").alias("of_left")
+    )
+    sizes = F.col("n") + F.col("of_n")
+    return _pairs(met.join(members, ["shingle", "of_root"]).filter(within("left", sizes) & within("of_left", sizes)))
+
+
 def pairs_between(crossing: DataFrame) -> DataFrame:
     """(a, b): all pairs of nodes of different components that share a key, of (node, key, root)."""
     # An entry that one component fills is one row here, and meets no node of its own.
@@ -210,15 +298,23 @@ def near_groups(docs: DataFrame, shingle: int = 5, max_bits: int = MAX_BITS) ->
     entries = shared_entries(nodes)
     sets = shingle_sets_of(nodes.join(entries.select("node").distinct(), "node", "left_semi"), docs, shingle)
     links = verified(star_pairs(entries), nodes, sets, max_bits)
-    for number in range(ROUNDS):
-        links = nearer(links)
-        crossing = crossing_entries(entries, links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")))
-        found = verified(drawn_pairs(crossing, number), nodes, sets, max_bits)
-        links = links.unionByName(found)
-        discard(crossing)
+    crossing = crossing_of(entries, links := nearer(links))
+    links = links.unionByName(verified(drawn_pairs(crossing, 0), nodes, sets, max_bits))
+    discard(crossing)
+    crossing = crossing_of(entries, links := nearer(links))
+    large = materialise(crossing.join(large_entries(crossing), "key", "left_semi"))
+    ordered = ordered_shingles(large, sets)
+    links = links.unionByName(verified(central_pairs(large, ordered), nodes, sets, max_bits))
+    discard(crossing)
+    discard(large)
+    # A component only grows, so whatever entry crosses components from here on did so before, and has its shingles ordered.
     crossing = crossing_entries(entries, components(links))
-    linked = components(links.unionByName(verified(pairs_between(crossing), nodes, sets, max_bits)))
+    of_large = materialise(large_entries(crossing))
+    found = pairs_between(crossing.join(of_large, "key", "left_anti"))
+    found = found.unionByName(shingle_pairs(crossing.join(of_large, "key", "left_semi"), ordered)).distinct()
+    linked = components(links.unionByName(verified(found, nodes, sets, max_bits)))
     discard(crossing)
+    discard(ordered)
     rows = prints.select("doc_id", "version", "node").join(linked, "node", "left")
     return rows.select("doc_id", "version", F.coalesce("root", "node").alias("root"))
 

@@ -4,11 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchlake.llm.near_dedup import (
+    MEMBERS,
     crossing_entries,
     drawn_pairs,
     near_groups,
+    ordered_shingles,
     pairs_between,
     shared_entries,
+    shingle_pairs,
     sketches,
     star_pairs,
 )
@@ -103,3 +106,68 @@ def test_texts_with_the_same_shingles_are_one_node(make_docs):
     docs = make_docs([(1, "a b c d e"), (2, "A  b c\td e"), (3, None), (4, " ")])
     nodes = {r.doc_id: r.of.node for r in docs.select("doc_id", sketches(5)(F.col("text")).alias("of")).collect()}
     assert nodes[1] == nodes[2] and nodes[3] == nodes[4] != nodes[1]
+
+
+def test_segments_one_bit_apart_share_an_entry(spark):
+    """Nodes that are far from each other in all segments but one, where they differ in one bit, any of its bits."""
+    for bit in (0, 31, 32, 63):
+        far = [0x123456789ABCDEF0 * (k + 1) % 2**62 for k in range(6)]
+        near = [~x for x in far]
+        near[2] = far[2] ^ (1 << bit) ^ (0xFFFF << (0 if bit >= 32 else 32))  # the word's other segment is far too
+        rows = [(n, [x - 2**64 if x >= 2**63 else x for x in of], []) for n, of in enumerate((far, near))]
+        nodes = spark.createDataFrame(rows, "node long, print array<long>, bands array<long>")
+        assert {r.node for r in shared_entries(nodes).collect()} == {0, 1}
+
+
+def numbered(draw, members, base, most):
+    """Sets of `base` numbers of which up to `most` are others that no set shares."""
+    sets = []
+    for n in range(members):
+        other = draw.randint(0, most)
+        sets.append(sorted(draw.sample(range(base), base - other)) + [base + 1000 * n + i for i in range(other)])
+    return sets
+
+
+def large_entry(spark, sets, roots):
+    large = spark.createDataFrame([(n, 1, root) for n, root in enumerate(roots)], "node long, key long, root long")
+    held = spark.createDataFrame(list(enumerate(sets)), "node long, held array<long>")
+    found = shingle_pairs(large, ordered_shingles(large, held))
+    return {(r.a, r.b) for r in found.collect()}
+
+
+def like(x, y):
+    return 5 * len(set(x) & set(y)) >= 4 * len(set(x) | set(y))
+
+
+def test_shingles_leave_out_no_pair_at_the_limit(spark):
+    draw = random.Random(3)
+    sets = numbered(draw, 30, 40, 7) + numbered(draw, 30, 43, 7) + numbered(draw, 10, 35, 2)
+    roots = [n if n % 3 else 0 for n in range(len(sets))]
+    found = large_entry(spark, sets, roots)
+    wanted = {(a, b) for b in range(len(sets)) for a in range(b) if roots[a] != roots[b] and like(sets[a], sets[b])}
+    assert wanted and wanted <= found
+    assert all(roots[a] != roots[b] for a, b in found)
+
+
+def test_members_of_a_large_entry_that_are_too_unlike_are_not_paired(spark):
+    """A component and many members with too many shingles of their own: before, each met each."""
+    draw = random.Random(4)
+    joined = numbered(draw, 100, 100, 3)
+    unlike = [sorted(draw.sample(range(100), 80)) + [9 * 10**6 + 100 * n + i for i in range(20)] for n in range(100)]
+    roots = [0] * 100 + list(range(100, 200))
+    assert len(roots) > MEMBERS and not large_entry(spark, joined + unlike, roots)
+
+
+def test_a_large_entry_is_grouped_as_by_all_pairs(make_docs):
+    draw = random.Random(6)
+    base = [f"b{i}" for i in range(300)]
+    rows = [(n, " ".join(varied(base, draw, draw.choice([1, 2, 4, 6, 8, 10, 14])))) for n in range(3 * MEMBERS)]
+    roots = {r.doc_id: r.root for r in near_groups(make_docs(rows)).collect()}
+    sets = [shingles(text) for _, text in rows]
+    group = list(range(len(rows)))
+    for b in range(len(rows)):
+        for a in range(b):
+            if group[a] != group[b] and like(sets[a], sets[b]):
+                group = [group[a] if g == group[b] else g for g in group]
+    assert len(set(group)) > 1
+    assert len(set(roots.values())) == len(set(group)) == len({(roots[n], group[n]) for n in roots})
