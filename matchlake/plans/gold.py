@@ -29,6 +29,10 @@ FEATURES = [
     "home_il_events_l30", "away_il_events_l30",
     "venue_park_factor_runs", "is_day_game", "month",
 ]
+# What the matches of a team and of its relief pitchers say about it.
+TEAM_FORM = [
+    "runs_scored_l10", "runs_allowed_l10", "win_pct_l10", "days_rest", "bullpen_era_l10", "bullpen_ip_l3",
+]
 WINNER_TARGET = "target_home_win"
 RUNS_TARGET = "target_total_runs"
 
@@ -43,8 +47,11 @@ def per_nine(amount: str, innings: str, frame) -> Column:
     return F.sum(amount).over(frame) * F.lit(9.0) / pitched
 
 
-def team_games(games: DataFrame, guard_status: bool = True) -> DataFrame:
-    """Each match from both teams' point of view; only Final matches carry results."""
+def team_games(games: DataFrame, guard_status: bool = True, starters: bool = False) -> DataFrame:
+    """Each match from both teams' point of view; only Final matches carry results.
+
+    With `starters` also whether the team is at home, and its probable pitcher.
+    """
 
     def result(name: str) -> Column:
         return F.when(F.col("status") == FINAL, F.col(name)) if guard_status else F.col(name)
@@ -61,31 +68,34 @@ def team_games(games: DataFrame, guard_status: bool = True) -> DataFrame:
         "runs_allowed": result("home_score"),
         "won": ~result("home_win"),
     }
+    if starters:
+        home |= {"is_home": F.lit(True), "probable_id": F.col("home_probable_pitcher_id")}
+        away |= {"is_home": F.lit(False), "probable_id": F.col("away_probable_pitcher_id")}
     return unpivot_sides(games, ["game_pk", "game_date", "status"], home, away)
 
 
+def _team_measures(frames: Frames) -> dict[str, Column]:
+    recent = frames.last(TEAM_GAMES)
+    return {
+        "runs_scored_l10": F.avg("runs_scored").over(recent),
+        "runs_allowed_l10": F.avg("runs_allowed").over(recent),
+        "win_pct_l10": F.avg(F.col("won").cast("int")).over(recent),
+        "n_prior_games": F.count("runs_scored").over(recent),
+        "days_rest": days_since_previous("game_date", frames.ordered),
+    }
+
+
 def team_rolling(games: DataFrame, guard_status: bool = True, strategy: Strategy = PLAIN) -> DataFrame:
     """Runs scored and allowed, win share and rest of each team going into each match.
 
     Frames count rows: a match that is not Final takes a slot and adds nothing.
     """
-
-    def measures(frames: Frames) -> dict[str, Column]:
-        recent = frames.last(TEAM_GAMES)
-        return {
-            "runs_scored_l10": F.avg("runs_scored").over(recent),
-            "runs_allowed_l10": F.avg("runs_allowed").over(recent),
-            "win_pct_l10": F.avg(F.col("won").cast("int")).over(recent),
-            "n_prior_games": F.count("runs_scored").over(recent),
-            "days_rest": days_since_previous("game_date", frames.ordered),
-        }
-
     rolled = trailing(
         team_games(games, guard_status),
         ["team_id"],
         ["game_date", "game_pk"],
         TEAM_GAMES,
-        measures,
+        _team_measures,
         strategy,
     )
     return rolled.select(
@@ -119,38 +129,43 @@ def pitcher_form(games: DataFrame, pitchers: DataFrame, strategy: Strategy = PLA
     )
 
 
-def bullpen_form(games: DataFrame, pitchers: DataFrame, strategy: Strategy = PLAIN) -> DataFrame:
-    """Relief earned-run rate and recent relief workload of each team."""
+def with_relief(sides: DataFrame, pitchers: DataFrame) -> DataFrame:
+    """Append innings and earned runs of each team's relief pitchers, of Final matches only."""
     relief = (
         pitchers.filter(~F.col("is_starter"))
         .groupBy("game_pk", "team_id")
         .agg(F.sum("innings_pitched").alias("ip"), F.sum("earned_runs").alias("er"))
     )
+    played = F.col("status") == FINAL
+    return sides.join(relief, ["game_pk", "team_id"], "left").withColumns(
+        {"ip": F.when(played, F.col("ip")), "er": F.when(played, F.col("er"))}
+    )
+
+
+def _bullpen_measures(frames: Frames) -> dict[str, Column]:
+    form = frames.last(BULLPEN_FORM_GAMES)
+    return {
+        "bullpen_era_l10": per_nine("er", "ip", form),
+        "bullpen_ip_l3": F.sum("ip").over(frames.last(BULLPEN_FATIGUE_GAMES)),
+        "bullpen_prior_games": F.count("ip").over(form),
+    }
+
+
+def bullpen_form(games: DataFrame, pitchers: DataFrame, strategy: Strategy = PLAIN) -> DataFrame:
+    """Relief earned-run rate and recent relief workload of each team."""
     sides = unpivot_sides(
         games,
         ["game_pk", "game_date", "status"],
         {"team_id": F.col("home_team_id")},
         {"team_id": F.col("away_team_id")},
     )
-    played = F.col("status") == FINAL
-    worked = sides.join(relief, ["game_pk", "team_id"], "left").select(
-        "game_pk",
-        "team_id",
-        "game_date",
-        F.when(played, F.col("ip")).alias("ip"),
-        F.when(played, F.col("er")).alias("er"),
-    )
-
-    def measures(frames: Frames) -> dict[str, Column]:
-        form = frames.last(BULLPEN_FORM_GAMES)
-        return {
-            "bullpen_era_l10": per_nine("er", "ip", form),
-            "bullpen_ip_l3": F.sum("ip").over(frames.last(BULLPEN_FATIGUE_GAMES)),
-            "bullpen_prior_games": F.count("ip").over(form),
-        }
-
     rolled = trailing(
-        worked, ["team_id"], ["game_date", "game_pk"], BULLPEN_FORM_GAMES, measures, strategy
+        with_relief(sides, pitchers).drop("status"),
+        ["team_id"],
+        ["game_date", "game_pk"],
+        BULLPEN_FORM_GAMES,
+        _bullpen_measures,
+        strategy,
     )
     return rolled.select(
         "game_pk", "team_id", "bullpen_era_l10", "bullpen_ip_l3", "bullpen_prior_games"
@@ -244,10 +259,16 @@ def assemble_features(
     sides = (
         sides.join(rolling.drop("n_prior_games"), ["game_pk", "team_id"], "left")
         .join(bullpen.drop("bullpen_prior_games"), ["game_pk", "team_id"], "left")
-        .join(roster, ["team_id", "game_date"], "left")
     )
+    return _assembled(games, sides, form, roster, parks)
+
+
+def _assembled(
+    games: DataFrame, sides: DataFrame, form: DataFrame, roster: DataFrame, parks: DataFrame
+) -> DataFrame:
+    """One row per match from team-side rows that know the team's and its relief pitchers' form."""
     sides = asof_join(
-        sides, form, "probable_id", "pitcher_id", "game_date", "game_date",
+        sides.join(roster, ["team_id", "game_date"], "left"), form, "probable_id", "pitcher_id", "game_date", "game_date",
         {"era_l5": "sp_era_l5", "k_per_9_l5": "sp_k_per_9_l5", "days_rest": "sp_days_rest"},
         tiebreak="game_pk",
     )
@@ -281,12 +302,30 @@ def assemble_features(
 def build_features(
     games: DataFrame, pitchers: DataFrame, transactions: DataFrame, strategy: Strategy = PLAIN
 ) -> DataFrame:
-    """The feature table in one lazy plan, without storing the intermediates."""
-    return assemble_features(
+    """The feature table in one lazy plan, without storing the intermediates.
+
+    Form of teams and of their relief pitchers are frames over the same rows in the same order: one pass gives both, and
+    its rows are the sides of the matches, so nothing is joined back. Of starts only those of probable pitchers are looked at.
+    """
+
+    def measures(frames: Frames) -> dict[str, Column]:
+        return {**_team_measures(frames), **_bullpen_measures(frames)}
+
+    sides = team_games(games, starters=True)
+    rolled = trailing(
+        with_relief(sides, pitchers), ["team_id"], ["game_date", "game_pk"],
+        max(TEAM_GAMES, BULLPEN_FORM_GAMES), measures, strategy,
+    )
+    # A side without a team has no form.
+    formed = rolled.select(
+        "game_pk", "game_date", "is_home", "team_id", "probable_id",
+        *[F.when(F.col("team_id").isNotNull(), F.col(c)).alias(c) for c in TEAM_FORM],
+    )
+    probable = sides.select(F.col("probable_id").alias("pitcher_id")).distinct()
+    return _assembled(
         games,
-        team_rolling(games, strategy=strategy),
-        pitcher_form(games, pitchers, strategy),
-        bullpen_form(games, pitchers, strategy),
+        formed,
+        pitcher_form(games, pitchers.join(probable, "pitcher_id", "left_semi"), strategy),
         roster_activity(games, transactions),
         park_factors(games, strategy),
     )

@@ -139,3 +139,28 @@ def test_doubleheader_takes_the_form_of_the_higher_key(make_games, make_pitchers
     starts = make_pitchers([(1000, 100, 7, True, 9.0, 1, 0), (1001, 100, 7, True, 9.0, 3, 0), (1002, 100, 7, True, 9.0, 8, 0)])
     rows = collected(gold.build_features(games, starts, make_transactions([])), "game_pk")
     assert rows[3]["home_sp_era_l5"] == pytest.approx(2.0) and rows[3]["home_sp_days_rest"] == 0
+
+
+def test_team_and_relief_form_take_one_pass(make_games, make_pitchers, make_transactions):
+    """As of the separate tables, but the sides of matches are dealt by match and team once, not five times over."""
+    games = make_games([
+        {"game_date": OPENING + timedelta(days=i), "home_score": 3 + i, "home_probable_pitcher_id": 7,
+         "home_team_id": None if i == 3 else 100, "status": "Postponed" if i == 1 else "Final"}
+        for i in range(6)
+    ])
+    lines = make_pitchers([
+        row for i in range(6) for row in [
+            (1000 + i, 100, 7, True, 6.0, i, 6), (1000 + i, 100, 8, False, 3.0, i % 3, 1), (1000 + i, 200, 9, True, 5.0, 1, 2),
+        ]
+    ])
+    moves = make_transactions([(1, OPENING, "IL10", 100, None, True)])
+    features = gold.build_features(games, lines, moves)
+    plan = features._jdf.queryExecution().executedPlan().toString()
+    assert len([line for line in plan.splitlines() if "hashpartitioning(game_pk" in line and "team_id" in line]) <= 2
+    apart = gold.assemble_features(
+        games, gold.team_rolling(games), gold.pitcher_form(games, lines), gold.bullpen_form(games, lines),
+        gold.roster_activity(games, moves), gold.park_factors(games),
+    )
+    rows = collected(features, "game_pk")
+    assert rows == collected(apart, "game_pk")
+    assert rows[5]["home_bullpen_era_l10"] is not None and rows[3]["home_runs_scored_l10"] is None
