@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 
+from matchlake.harness import tables
 from matchlake.harness.check import compare
 from matchlake.harness.oracles import oracle_sql
 from matchlake.harness.queries import queries
@@ -23,3 +24,9 @@ def test_query_matches_its_oracle(spark, name):
 
 def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(queries())
+
+
+def test_odds_events_come_from_one_scan(spark):
+    """They were joined with the orders that the matches come from already."""
+    plan = tables.landed_odds(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
