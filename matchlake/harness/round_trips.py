@@ -12,7 +12,7 @@ from matchlake.harness.tables import oracle
 from matchlake.plans import incremental, quality, registry, silver
 from matchlake.plans.daily import runs_path
 from matchlake.schemas import RUNS
-from matchlake.session import ensure_checkpoint_dir, materialise
+from matchlake.session import ensure_checkpoint_dir
 from matchlake.sources.lake import Lake, append, read_or_empty, replace_partitions, write_csv
 
 
@@ -137,7 +137,7 @@ def refreshed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     The refresh has to do with those months and the tails of the time before; a whole rebuild would be an error here.
     """
     lake = _lake(spark)
-    landed = materialise(t.landed_schedule(spark, sf_dir).withColumn("date", F.substring("game_date", 1, 7)))
+    landed = t.landed_schedule(spark, sf_dir).withColumn("date", F.substring("game_date", 1, 7))
     month, path = F.col("date"), lake.path("bronze", "schedule")
     last = [row[0] for row in landed.select("date").distinct().orderBy(F.desc("date")).limit(2).collect()]
     first_landing = F.col("ingested_at") == F.col("game_date").cast("timestamp")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchlake.session import materialise
+
 
 def asof_join(
     left: DataFrame,
@@ -18,6 +20,7 @@ def asof_join(
     right_date: str,
     values: Mapping[str, str],
     tiebreak: str,
+    stored: bool = False,
 ) -> DataFrame:
     """Left rows plus the newest right row of the same key dated on or before them.
 
@@ -27,6 +30,7 @@ def asof_join(
     Both sides are first reduced to one row per (key, date). The ordered scan then
     sees at most two rows per key and calendar day, however many rows a key has, and
     the matches come back through an equi-join that AQE can split on a hot key.
+    With `stored` the answers are materialised: a few are then broadcast, and the left rows need no shuffle.
     """
     for df, name in ((left, left_date), (right, right_date)):
         if not isinstance(df.schema[name].dataType, T.DateType):
@@ -64,6 +68,8 @@ def asof_join(
         .filter("_asked")
         .select("_key", "_date", "_hit")
     )
+    if stored:
+        answers = materialise(answers)
     joined = left.join(
         answers,
         (F.col(left_key) == F.col("_key")) & (F.col(left_date) == F.col("_date")),

@@ -263,26 +263,41 @@ def assemble_features(
     return _assembled(games, sides, form, roster, parks)
 
 
+def assemble_sides(
+    games: DataFrame, formed: DataFrame, form: DataFrame, roster: DataFrame, parks: DataFrame
+) -> DataFrame:
+    """The same from rows of `side_form`, where nothing has to be joined back.
+
+    What is known of a pitcher or a venue on a day is stored, so that Spark knows its size before it plans the joins.
+    """
+    return _assembled(games, _known_sides(formed), form, roster, parks, stored=True)
+
+
 def _assembled(
-    games: DataFrame, sides: DataFrame, form: DataFrame, roster: DataFrame, parks: DataFrame
+    games: DataFrame, sides: DataFrame, form: DataFrame, roster: DataFrame, parks: DataFrame, stored: bool = False
 ) -> DataFrame:
     """One row per match from team-side rows that know the team's and its relief pitchers' form."""
     sides = asof_join(
-        sides.join(roster, ["team_id", "game_date"], "left"), form, "probable_id", "pitcher_id", "game_date", "game_date",
+        sides, form, "probable_id", "pitcher_id", "game_date", "game_date",
         {"era_l5": "sp_era_l5", "k_per_9_l5": "sp_k_per_9_l5", "days_rest": "sp_days_rest"},
-        tiebreak="game_pk",
-    )
-    folded = fold_sides(
-        sides, "game_pk", "is_home",
-        ["runs_scored_l10", "runs_allowed_l10", "win_pct_l10", "days_rest", "sp_era_l5",
-         "sp_k_per_9_l5", "sp_days_rest", "bullpen_era_l10", "bullpen_ip_l3", "il_events_l30"],
-    )
+        tiebreak="game_pk", stored=stored,
+    ).join(roster, ["team_id", "game_date"], "left")
     matches = asof_join(
         games, parks, "venue_id", "venue_id", "game_date", "game_date",
-        {"venue_park_factor_runs": "venue_park_factor_runs"}, tiebreak="game_pk",
+        {"venue_park_factor_runs": "venue_park_factor_runs"}, tiebreak="game_pk", stored=stored,
     )
+    known = [
+        "runs_scored_l10", "runs_allowed_l10", "win_pct_l10", "days_rest", "sp_era_l5", "sp_k_per_9_l5", "sp_days_rest",
+        "bullpen_era_l10", "bullpen_ip_l3", "il_events_l30",
+    ]
+    if stored:  # read twice, they are joined side by side, which is cheaper than to group them
+        for side, rows in (("home", sides.filter("is_home")), ("away", sides.filter("NOT is_home"))):
+            rows = rows.select("game_pk", *[F.col(c).alias(f"{side}_{c}") for c in known])
+            matches = matches.join(rows, "game_pk", "left")
+    else:
+        matches = matches.join(fold_sides(sides, "game_pk", "is_home", known), "game_pk", "left")
     return (
-        matches.join(folded, "game_pk", "left")
+        matches
         .withColumns(
             {
                 "is_day_game": F.col("day_night") == "day",
@@ -299,32 +314,44 @@ def _assembled(
     )
 
 
-def build_features(
-    games: DataFrame, pitchers: DataFrame, transactions: DataFrame, strategy: Strategy = PLAIN
-) -> DataFrame:
-    """The feature table in one lazy plan, without storing the intermediates.
+def side_form(games: DataFrame, pitchers: DataFrame, strategy: Strategy = PLAIN) -> DataFrame:
+    """Each match from both teams' point of view, with the form of the team and of its relief pitchers.
 
-    Form of teams and of their relief pitchers are frames over the same rows in the same order: one pass gives both, and
-    its rows are the sides of the matches, so nothing is joined back. Of starts only those of probable pitchers are looked at.
+    Both are frames over the same rows in the same order, so one pass gives them.
     """
 
     def measures(frames: Frames) -> dict[str, Column]:
         return {**_team_measures(frames), **_bullpen_measures(frames)}
 
-    sides = team_games(games, starters=True)
     rolled = trailing(
-        with_relief(sides, pitchers), ["team_id"], ["game_date", "game_pk"],
+        with_relief(team_games(games, starters=True), pitchers), ["team_id"], ["game_date", "game_pk"],
         max(TEAM_GAMES, BULLPEN_FORM_GAMES), measures, strategy,
     )
-    # A side without a team has no form.
-    formed = rolled.select(
+    return rolled.select(
+        "game_pk", "game_date", "is_home", "team_id", "probable_id", *TEAM_FORM, "n_prior_games", "bullpen_prior_games"
+    )
+
+
+def _known_sides(formed: DataFrame) -> DataFrame:
+    """Sides with their form; a side without a team has none."""
+    return formed.select(
         "game_pk", "game_date", "is_home", "team_id", "probable_id",
         *[F.when(F.col("team_id").isNotNull(), F.col(c)).alias(c) for c in TEAM_FORM],
     )
-    probable = sides.select(F.col("probable_id").alias("pitcher_id")).distinct()
+
+
+def build_features(
+    games: DataFrame, pitchers: DataFrame, transactions: DataFrame, strategy: Strategy = PLAIN
+) -> DataFrame:
+    """The feature table in one lazy plan, without storing the intermediates.
+
+    The rows of the form of teams and of their relief pitchers are the sides of the matches, so nothing is joined back.
+    Of starts only those of probable pitchers are looked at.
+    """
+    probable = team_games(games, starters=True).select(F.col("probable_id").alias("pitcher_id")).distinct()
     return _assembled(
         games,
-        formed,
+        _known_sides(side_form(games, pitchers, strategy)),
         pitcher_form(games, pitchers.join(probable, "pitcher_id", "left_semi"), strategy),
         roster_activity(games, transactions),
         park_factors(games, strategy),

@@ -14,6 +14,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Sequence
 from datetime import date, timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from matchlake.operators.latest import latest_wins
 from matchlake.operators.sides import unpivot_sides
 from matchlake.plans import gold, market, silver
 from matchlake.schemas import GOLD, SILVER
-from matchlake.session import materialise
+from matchlake.session import at_once, materialise
 from matchlake.sources.lake import Lake
 from matchlake.sources.versions import LANDED_IN, SnapshotTable, VersionLog, merge_landing, month_of
 
@@ -32,6 +33,8 @@ TYPED_KEYS = {
     "games": ["game_pk"], "team_game_stats": ["game_pk", "team_id"], "pitcher_game_stats": ["game_pk", "pitcher_id"],
     "transactions": ["transaction_id"],
 }
+# The rows that the tables of both kinds of team form are taken from.
+SIDES, OF_SIDES = "sides", ["team_rolling", "bullpen_form"]
 TAILS = {
     "games": SILVER["games"], "pitchers": SILVER["pitcher_game_stats"], "transactions": SILVER["transactions"],
     "form": GOLD["pitcher_form"], "parks": GOLD["park_factors"],
@@ -78,8 +81,16 @@ PARSED = {
 
 def rebuild_typed(lake: Lake) -> None:
     """All typed tables from all raw rows."""
-    for name, (raw, parse) in PARSED.items():
-        typed_table(lake, name).rebuild(parse(lake.bronze(raw)))
+    at_once(*[partial(_rebuild_typed, lake, name) for name in PARSED])
+    _rebuild_odds(lake)
+
+
+def _rebuild_typed(lake: Lake, name: str) -> None:
+    raw, parse = PARSED[name]
+    typed_table(lake, name).rebuild(parse(lake.bronze(raw)))
+
+
+def _rebuild_odds(lake: Lake) -> None:
     _odds_table(lake).rebuild(_odds(lake.bronze("odds"), lake.silver("games")))
 
 
@@ -91,40 +102,46 @@ def _odds(raw: DataFrame, games: DataFrame) -> DataFrame:
     return market.odds(raw, games).withColumn(MONTH, F.substring("odds_date", 1, 7))
 
 
-def _features(
-    games: DataFrame, recent: DataFrame, pitchers: DataFrame, moves: DataFrame
-) -> dict[str, DataFrame]:
-    """All feature tables, with day and month, for the matches of `recent`, which are among `games`."""
-    days = recent.select("game_pk", "game_date")
-    ours = days.select("game_pk")
-    built = {
-        "team_rolling": gold.team_rolling(games).join(days, "game_pk"),
-        "pitcher_form": gold.pitcher_form(games, pitchers).join(ours, "game_pk", "left_semi"),
-        "bullpen_form": gold.bullpen_form(games, pitchers).join(days, "game_pk"),
-        "park_factors": gold.park_factors(games).join(ours, "game_pk", "left_semi"),
-        "roster_activity": gold.roster_activity(games, moves).join(days.select("game_date").distinct(), "game_date", "left_semi"),
+def _features(games: DataFrame, pitchers: DataFrame, moves: DataFrame, since: date | None = None) -> dict[str, DataFrame]:
+    """The sides of the matches of `games` from a day on with their form, and the feature tables that need no sides, by name."""
+    wanted = (lambda df: df.filter(F.col("game_date") >= F.lit(since))) if since else (lambda df: df)
+    return {
+        SIDES: wanted(gold.side_form(games, pitchers)),
+        "pitcher_form": wanted(gold.pitcher_form(games, pitchers)),
+        "park_factors": wanted(gold.park_factors(games)).filter(F.col("game_pk").isNotNull()),
+        "roster_activity": wanted(gold.roster_activity(games, moves)).filter(F.col("game_date").isNotNull()),
     }
-    return {name: materialise(df.withColumn(MONTH, month_of(F.col("game_date")))) for name, df in built.items()}
 
 
-def _assembled(recent: DataFrame, built: dict[str, DataFrame], form: DataFrame, parks: DataFrame) -> DataFrame:
-    features = gold.assemble_features(
-        recent, built["team_rolling"].drop("game_date", MONTH), form, built["bullpen_form"].drop("game_date", MONTH),
-        built["roster_activity"].drop(MONTH), parks,
-    )
-    return features.withColumn(MONTH, month_of(F.col("game_date")))
+def _of_sides(name: str, sides: DataFrame) -> DataFrame:
+    columns = [field.split()[0] for field in GOLD[name].split(", ")]
+    return sides.filter(F.col("game_pk").isNotNull()).select(*columns, "game_date")
+
+
+def _monthly(df: DataFrame) -> DataFrame:
+    return df.withColumn(MONTH, month_of(F.col("game_date")))
 
 
 def rebuild_features(lake: Lake, seal: date | None = None) -> None:
     """All feature tables from the typed ones; with `seal` also the tails of the time before that day."""
     games, pitchers, moves = lake.silver("games"), lake.silver("pitcher_game_stats"), lake.silver("transactions")
-    built = _features(games, games, pitchers, moves)
-    form, parks = (built[name].drop(MONTH) for name in ("pitcher_form", "park_factors"))
-    built["features"] = _assembled(games, built, form, parks)
-    for name, df in built.items():
-        feature_table(lake, name).rebuild(df)
+    built = _features(games, pitchers, moves)
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        if name == SIDES:
+            return materialise(df)
+        table = feature_table(lake, name)
+        return table.read(table.rebuild(_monthly(df))).drop(MONTH)
+
+    stored = dict(zip(built, at_once(*[partial(store, name, df) for name, df in built.items()])))
+    sides, form, parks = stored[SIDES], stored["pitcher_form"], stored["park_factors"]
+    _, *tails = at_once(
+        lambda: store("features", gold.assemble_sides(games, sides, form, stored["roster_activity"], parks)),
+        *[partial(_write_tails, lake, seal, games, pitchers, moves, form, parks)] * bool(seal),
+        *[partial(store, name, _of_sides(name, sides)) for name in OF_SIDES],
+    )
     if seal:
-        _keep_tails(lake, seal, games, pitchers, moves, form, parks)
+        _use_tails(lake, seal, tails[0])
 
 
 def _last(df: DataFrame, entity: Sequence[str], n: int) -> DataFrame:
@@ -133,15 +150,24 @@ def _last(df: DataFrame, entity: Sequence[str], n: int) -> DataFrame:
     return df.withColumn("_place", F.row_number().over(newest)).filter(F.col("_place") <= n).select("game_pk")
 
 
+def _on_last_days(df: DataFrame, entity: str, n: int) -> DataFrame:
+    """The rows of the days that hold the last n rows of each entity, found from the numbers of rows a day."""
+    later = Window.partitionBy(entity).orderBy(F.desc("game_date")).rowsBetween(Window.unboundedPreceding, -1)
+    days = df.groupBy(entity, "game_date").count().withColumn("_later", F.coalesce(F.sum("count").over(later), F.lit(0)))
+    first = days.filter(F.col("_later") < n).groupBy(F.col(entity).alias("_entity")).agg(F.min("game_date").alias("_first"))
+    reached = F.col(entity).eqNullSafe(F.col("_entity")) & (F.col("game_date") >= F.col("_first"))
+    return df.join(materialise(first), reached, "left_semi")
+
+
 def _last_in_league(df: DataFrame, n: int) -> DataFrame:
     return df.orderBy(F.desc("game_date"), F.desc("game_pk")).limit(n).select("game_pk")
 
 
-def _keep_tails(
+def _write_tails(
     lake: Lake, seal: date, games: DataFrame, pitchers: DataFrame, moves: DataFrame, form: DataFrame, parks: DataFrame
-) -> None:
-    """Store what frames from `seal` on reach of the time before it, and take it into use."""
-    before = materialise(games.filter(F.col("game_date") < F.lit(seal)))
+) -> str:
+    """Store what frames from `seal` on reach of the time before it; returns the folder."""
+    before = games.filter(F.col("game_date") < F.lit(seal))
     played = before.filter((F.col("status") == gold.FINAL) & F.col("total_runs").isNotNull())
     starts = pitchers.filter("is_starter").select("game_pk", "pitcher_id").join(before.select("game_pk", "game_date"), "game_pk")
     sides = unpivot_sides(
@@ -150,14 +176,16 @@ def _keep_tails(
     roster_from = seal - timedelta(days=gold.ROSTER_DAYS)
     reach = max(gold.TEAM_GAMES, gold.BULLPEN_FORM_GAMES)
     needed = [
-        _last(sides, ["team_id"], reach), _last(played, ["venue_id"], gold.PARK_GAMES),
+        _last(_on_last_days(sides, "team_id", reach), ["team_id"], reach),
+        _last(_on_last_days(played, "venue_id", gold.PARK_GAMES), ["venue_id"], gold.PARK_GAMES),
         _last_in_league(played, gold.PARK_GAMES), _last(starts, ["pitcher_id"], gold.PITCHER_STARTS),
         before.filter(F.col("game_date") >= F.lit(roster_from)).select("game_pk"),
     ]
     keys = needed[0]
     for more in needed[1:]:
         keys = keys.unionByName(more)
-    tail_games = materialise(before.join(keys.distinct(), "game_pk", "left_semi"))
+    # Stored, the few keys have a known size, and the matches are not shuffled to meet them.
+    tail_games = materialise(before.join(materialise(keys.distinct()), "game_pk", "left_semi"))
     earlier = F.col("game_date") < F.lit(seal)
     rows = {
         "games": tail_games,
@@ -167,8 +195,15 @@ def _keep_tails(
         "parks": latest_wins(parks.filter(earlier), ["venue_id"], "game_date", ["game_pk"]),
     }
     folder = f"_tails/{uuid.uuid4().hex}"
-    for name, schema in TAILS.items():
+
+    def write(name: str, schema: str) -> None:
         rows[name].select(*[c.split()[0] for c in schema.split(", ")]).write.parquet(lake.path("gold", f"{folder}/{name}"))
+
+    at_once(*[partial(write, name, schema) for name, schema in TAILS.items()])
+    return folder
+
+
+def _use_tails(lake: Lake, seal: date, folder: str) -> None:
     log = _state(lake)
     while not log.put(log.newest()[0] + 1, {"sealed": seal.isoformat(), "parts": {"": folder}}):
         pass
@@ -218,8 +253,11 @@ def refresh(lake: Lake, partitions: Sequence[str]) -> date | None:
         return None
     changed: list[tuple[DataFrame, str]] = []
     line_keys = []
-    for name, (raw, parse) in PARSED.items():
-        came, went = merge_landing(typed_table(lake, name), lake.bronze(raw), partitions, parse, TYPED_KEYS[name])
+    merged = at_once(*[
+        partial(merge_landing, typed_table(lake, name), lake.bronze(raw), partitions, parse, TYPED_KEYS[name])
+        for name, (raw, parse) in PARSED.items()
+    ])
+    for name, (came, went) in zip(PARSED, merged):
         for rows in (came, went):
             if name == "games":
                 changed.append((rows, "game_date"))
@@ -239,9 +277,8 @@ def refresh(lake: Lake, partitions: Sequence[str]) -> date | None:
     if nothing:
         return sealed
     if first is None or first < sealed or older:
-        games = lake.silver("games")
-        rebuild_features(lake, first or _seal(games))
-        _odds_table(lake).rebuild(_odds(lake.bronze("odds"), games))
+        _rebuild_odds(lake)  # first, because the new tails say that all is done
+        rebuild_features(lake, first or _seal(lake.silver("games")))
         return None
     return _refresh_from(lake, state, sealed, first, recent)
 
@@ -252,20 +289,25 @@ def _seal(games: DataFrame) -> date | None:
 
 def _refresh_from(lake: Lake, state: dict, sealed: date, first: date, recent: DataFrame) -> date:
     month = f"{sealed:%Y-%m}"
-    games = materialise(_tail(lake, state, "games").unionByName(recent))
     pitchers = _from(typed_table(lake, "pitcher_game_stats"), month).drop(MONTH)
     pitchers = pitchers.join(recent.select("game_pk"), "game_pk", "left_semi")
-    pitchers = materialise(_tail(lake, state, "pitchers").unionByName(pitchers))
     moves = _from(typed_table(lake, "transactions"), month).drop(MONTH).filter(F.col("transaction_date") >= F.lit(sealed))
-    moves = materialise(_tail(lake, state, "transactions").unionByName(moves))
-    built = _features(games, recent, pitchers, moves)
-    form = materialise(_tail(lake, state, "form").unionByName(built["pitcher_form"].drop(MONTH)))
-    parks = materialise(_tail(lake, state, "parks").unionByName(built["park_factors"].drop(MONTH)))
-    built["features"] = _assembled(recent, built, form, parks)
-    for name, df in built.items():
-        _replace_from(feature_table(lake, name), sealed, "game_date", df)
+    games, pitchers, moves = at_once(*[
+        partial(materialise, _tail(lake, state, name).unionByName(rows))
+        for name, rows in (("games", recent), ("pitchers", pitchers), ("transactions", moves))
+    ])
+    built = _features(games, pitchers, moves, sealed)
+    built = dict(zip(built, at_once(*[partial(materialise, df) for df in built.values()])))
+    sides = built.pop(SIDES)
+    form = _tail(lake, state, "form").unionByName(built["pitcher_form"])
+    parks = _tail(lake, state, "parks").unionByName(built["park_factors"])
+    built["features"] = gold.assemble_sides(recent, sides, form, built["roster_activity"], parks)
+    built |= {name: _of_sides(name, sides) for name in OF_SIDES}
     raw = lake.bronze("odds").filter(F.col("date") >= F.lit(sealed.isoformat()))
-    _replace_from(_odds_table(lake), sealed, "odds_date", _odds(raw, recent))
-    _keep_tails(lake, first, games, pitchers, moves, form, parks)
+    tails, *_ = at_once(
+        partial(_write_tails, lake, first, games, pitchers, moves, form, parks),
+        partial(_replace_from, _odds_table(lake), sealed, "odds_date", _odds(raw, recent)),
+        *[partial(_replace_from, feature_table(lake, name), sealed, "game_date", _monthly(df)) for name, df in built.items()],
+    )
+    _use_tails(lake, first, tails)
     return sealed
-

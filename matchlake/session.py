@@ -5,7 +5,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on. Everything else is left to the cluster.
@@ -63,6 +66,17 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def at_once(*jobs: Callable) -> list:
+    """Results of actions that do not need each other, begun together, so that one fills the cores another leaves idle.
+
+    All of them come to an end; then the first error is raised.
+    """
+    inheriting = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        begun = [pool.submit(inheriting(job)) for job in jobs]
+    return [job.result() for job in begun]
+
+
 def discard(df: DataFrame) -> None:
     """Delete the table that `materialise` wrote for this frame, once no other frame reads it."""
     files = df.inputFiles()

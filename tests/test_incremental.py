@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from matchlake.plans import incremental
 from matchlake.plans.incremental import MONTH, TYPED_KEYS, feature_table, typed_table
 from matchlake.schemas import BRONZE, GOLD, SILVER
+from matchlake.session import materialise
 from matchlake.sources.lake import Lake, replace_partitions
 
 FIRST = date(2024, 2, 1)
@@ -164,3 +165,34 @@ def test_a_change_before_the_tails_rebuilds_everything(spark, tmp_path, world):
     assert incremental.refresh(lake, [str(d) for d in days[9:13]]) is None
     refreshed = contents(lake)
     assert refreshed == rebuilt(lake)
+
+
+def test_a_rebuild_stores_the_sides_of_the_matches_once(spark, tmp_path, world, monkeypatch):
+    """Both kinds of team form and the features come from one pass over them."""
+    lake = Lake(spark, str(tmp_path / "lake"))
+    days = list(world)
+    land(lake, world, days[:42], datetime(2024, 3, 11))
+    incremental.rebuild_typed(lake)
+    stored = []
+
+    def counted(df):
+        found = materialise(df)
+        stored.append((set(found.columns), found.count()))
+        return found
+
+    monkeypatch.setattr(incremental, "materialise", counted)
+    incremental.rebuild_features(lake, days[38])
+    matches = lake.silver("games").count()
+    assert [n for columns, n in stored if "team_id" in columns and n > matches] == [2 * matches]
+
+
+def test_the_last_rows_are_found_on_the_last_days(spark):
+    rows = [(i, FIRST + timedelta(days=i // 5), None if i % 3 == 2 else i % 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "game_pk long, game_date date, team_id int")
+    near = incremental._on_last_days(df, "team_id", 4)
+    assert near.count() < 20
+
+    def keys(frame):
+        return sorted(row.game_pk for row in incremental._last(frame, ["team_id"], 4).collect())
+
+    assert keys(near) == keys(df) and len(keys(df)) == 12
