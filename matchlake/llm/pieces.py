@@ -8,14 +8,16 @@ along a path, the least of several paths counts).
 A unigram vocabulary weighs each piece with its negative log probability. A vocabulary of merges (BPE)
 is compiled into a transducer that remembers the piece before: an arc exists only if the
 merges leave the two pieces as they are. A sequence all of whose neighbours pass this is the one that
-merging gives, so exactly one path reaches the end, and it is the library's answer.
+merging gives, so exactly one path reaches each place, and the one to the end is the library's answer.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import struct
+from collections import Counter
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -87,22 +89,51 @@ class Transducer:
         self.of_piece = {self.texts[i]: i for i in ids if self.kinds[i] == NORMAL}
         self.of_byte = {int(self.texts[i][1:-1], 16): i for i in ids if self.kinds[i] == BYTE}
         self.unknown = self.kinds.index(UNKNOWN)
-        # What no piece crosses can be composed word by word.
-        crossing = any(BLANK in piece.lstrip(BLANK) for piece in self.of_piece)
-        self.word = re.compile("(?s).+" if crossing else f"{BLANK}*[^{BLANK}]+|{BLANK}+")
-        # All pieces in one automaton: it follows every path of the vocabulary through a word at once.
+        self.codes = Recent(self._bytes, 0, 0)
+        self.codes.update({piece: struct.pack("<I", i) for piece, i in self.of_piece.items()})
+        self.word = self._words()
+        # All pieces in one automaton: it follows every path of the vocabulary through a word at once. With merges,
+        # a character alone is what is left where no longer piece fits, and needs no arc.
         self.automaton = ahocorasick.Automaton()
+        self.halves: dict[str, tuple[str, str]] = {}  # what the last merge of a piece joins
         for piece in self.of_piece:
-            if not self.merges or self._merged(piece) == [piece]:
+            if not self.merges or len(piece) > 1 and self._merged(piece, self.halves) == [piece]:
                 self.automaton.add_word(piece, piece)
-        if self.of_piece:
+        if len(self.automaton):
             self.automaton.make_automaton()
+        # Pieces that merge in the order of scores, which no other piece shares.
+        shared = Counter(self.scores[i] for i in self.of_piece.values())
+        self.own = {piece for piece, i in self.of_piece.items() if shared[self.scores[i]] == 1}
+        self.ordered: set[str] = set()
+        for piece in sorted(self.halves, key=len):
+            parts = [x for x in self.halves[piece] if len(x) > 1]
+            if piece in self.own and all(x in self.ordered and self._score(piece) < self._score(x) for x in parts):
+                self.ordered.add(piece)
+        self.sides: tuple[dict[str, list], dict[str, list]] = {}, {}
         self.words = Recent(self._word, KEPT_WORDS, LONG_WORD)
         self.pairs: dict[str, dict[str, bool]] = {}
         self.n_pairs = 0
         self.outputs = [self._output(i) for i in ids]
 
-    def _merged(self, text: str) -> list[str]:
+    def _score(self, piece: str) -> float:
+        return self.scores[self.of_piece[piece]]
+
+    def _words(self) -> re.Pattern:
+        """Splits a text into words that can be composed apart, as no piece crosses from one to the next."""
+        if any(BLANK in piece.lstrip(BLANK) for piece in self.of_piece):
+            return re.compile("(?s).+")
+        # Characters that stand in one piece, blanks before it aside, are in one group.
+        groups: dict[str, set[str]] = {}
+        for piece in self.of_piece:
+            inner = piece.lstrip(BLANK)
+            if len(inner) > 1 and not groups.get(inner[0], set()).issuperset(inner):
+                joined = set(inner).union(*(groups.get(x, ()) for x in inner))
+                groups.update(dict.fromkeys(joined, joined))
+        different = sorted({id(x): x for x in groups.values()}.values(), key=len, reverse=True)
+        runs = [f"[{re.escape(''.join(sorted(x)))}]+" for x in different]
+        return re.compile(f"{BLANK}*(?:{'|'.join([*runs, f'[^{BLANK}]'])})|{BLANK}+")
+
+    def _merged(self, text: str, halves: dict[str, tuple[str, str]] | None = None) -> list[str]:
         """What merging the best pair of neighbours, the left one of equal ones, over and over leaves."""
         parts = list(text)
         while True:
@@ -114,6 +145,8 @@ class Transducer:
             if not scored:
                 return parts
             i = min(scored)[1]
+            if halves is not None and len(parts) == 2:
+                halves[text] = (parts[0], parts[1])
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
     def _follows(self, before: str, piece: str) -> bool:
@@ -123,13 +156,44 @@ class Transducer:
             self.n_pairs += 1
             if self.n_pairs > KEPT_PAIRS:
                 self.pairs, self.n_pairs = {}, 1
-            known[piece] = not before or self._merged(before + piece) == [before, piece]
+            known[piece] = not before or self._apart(before, piece)
+        return known[piece]
+
+    def _side(self, piece: str, side: int) -> list[tuple[str, float, float]]:
+        """The parts that stand at one end of a piece while it merges, with the scores they come and go at."""
+        known = self.sides[side]
+        if piece not in known:
+            known[piece], part, goes = [], piece, -math.inf
+            while len(part) > 1:
+                comes = self._score(part)
+                known[piece].append((part, comes, goes))
+                part, goes = self.halves[part][side], comes
+            known[piece].append((part, math.inf, goes))
         return known[piece]
 
+    def _apart(self, before: str, piece: str) -> bool:
+        """Whether no merge joins the end of one piece with the start of the next while both merge.
+
+        Merges run from the highest score down, so a part at either end stands there between two scores, and a merge of
+        two such parts happens if its turn is in the time of both; of equal merges the left one comes first.
+        """
+        if any(len(x) > 1 and x not in self.ordered for x in (before, piece)):
+            return self._merged(before + piece) == [before, piece]
+        starts = self._side(piece, 0)
+        for end, end_comes, end_goes in self._side(before, 1):
+            for start, start_comes, start_goes in starts:
+                if (joined := end + start) in self.of_piece:
+                    if joined not in self.own:
+                        return self._merged(before + piece) == [before, piece]
+                    turn = min(self._score(joined), end_comes, start_comes)
+                    if turn > end_goes and turn >= start_goes:
+                        return False
+        return True
+
     def _arcs(self, word: str) -> list[list[tuple[int, str]]]:
         """For each place (end, piece) of its arcs, the longest last; a character without piece has one for its bytes."""
         arcs: list[list[tuple[int, str]]] = [[] for _ in word]
-        for last, piece in self.automaton.iter(word) if self.of_piece else ():
+        for last, piece in self.automaton.iter(word) if len(self.automaton) else ():
             arcs[last + 1 - len(piece)].append((last + 1, piece))
         for place, found in enumerate(arcs, 1):
             if not found or found[0][0] > place:
@@ -156,34 +220,29 @@ class Transducer:
         return path[::-1]
 
     def _only_path(self, word: str) -> list[str]:
-        """A state is a place and the piece before it. One path reaches the end, so the first that does is the least."""
-        size, pairs, dead, none, every = len(word), self.pairs, set(), {}, self._arcs(word)
-        trail = [("", 0, every[0])]  # states on the way, with the arcs not tried yet, the longest last
-        while True:
-            before, place, arcs = trail[-1]
-            known = pairs.get(before, none)
-            while arcs:
-                end, piece = arcs.pop()
-                fits = known.get(piece)
+        """A state is a place and the piece before it. One path reaches each place, so each has one state."""
+        ends, pairs, none = ["", *word], self.pairs, {}
+        for last, piece in self.automaton.iter(word) if len(self.automaton) else ():
+            if len(ends[last + 1]) == 1:
+                before = ends[last + 1 - len(piece)]
+                fits = pairs.get(before, none).get(piece)
                 if fits is None:
                     fits = self._follows(before, piece)
-                if fits and (end, piece) not in dead:
-                    if end == size:
-                        return [state[0] for state in trail[1:]] + [piece]
-                    trail.append((piece, end, every[end].copy()))
-                    break
-            else:
-                dead.add((place, before))
-                trail.pop()
-
-    def _ids(self, piece: str) -> list[int]:
-        if piece in self.of_piece:
-            return [self.of_piece[piece]]
-        return [self.of_byte.get(byte, self.unknown) for byte in piece.encode("utf-8", "surrogatepass")]
+                if fits:
+                    ends[last + 1] = piece
+        path, at = [], len(word)
+        while at:
+            path.append(ends[at])
+            at -= len(ends[at])
+        return path[::-1]
+
+    def _bytes(self, character: str) -> bytes:
+        """The ids of a character that has no piece."""
+        found = [self.of_byte.get(byte, self.unknown) for byte in character.encode("utf-8", "surrogatepass")]
+        return struct.pack(f"<{len(found)}I", *found)
 
     def _word(self, word: str) -> bytes:
-        ids = [i for piece in self.shortest_path(word) for i in self._ids(piece)]
-        return np.array(ids, "<u4").tobytes()
+        return b"".join(map(self.codes.__getitem__, self.shortest_path(word)))
 
     def normalise(self, text: str) -> str:
         return self.prefix + text.replace(" ", BLANK) if text else ""

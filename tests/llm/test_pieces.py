@@ -80,6 +80,48 @@ def test_unigram_takes_the_path_of_least_weight():
     assert transducer.decode(transducer.encode("ab é")) == "ab é"
 
 
+def merge_model(pieces):
+    return unigram_model(pieces) + field(2, field(3, 2) + field(35, 1))
+
+
+def test_words_are_cut_where_no_piece_crosses():
+    words = TRANSDUCER.word.findall("▁the.\n▁of$$$日本▁▁")
+    assert words == ["▁the", ".", "\n", "▁of", "$$$", "日", "本", "▁▁"]
+    pieces = {"ab": -1.0, "bc": -2.0, "▁x": -3.0, "dd": -4.0}
+    for model in (unigram_model(pieces), merge_model(pieces)):
+        assert Transducer(model).word.findall("▁caxddd-▁x▁") == ["▁ca", "x", "ddd", "-", "▁x", "▁"]
+
+
+def test_pairs_are_told_by_scores_without_merging_anew(monkeypatch):
+    transducer, merged = Transducer(Path(MODEL).read_bytes()), []
+    monkeypatch.setattr(Transducer, "_merged", lambda self, text, *_: merged.append(text))
+    texts = ["Unwahrscheinlichkeitsrechnung thonrecionement", "incomprehensibilities; internationalisation"]
+    assert [transducer.encode(text).tolist() for text in texts] == [LIBRARY.encode(text) for text in texts]
+    assert not merged and transducer.n_pairs
+
+
+letters = st.text("ab▁c", min_size=1, max_size=5)
+
+
+@given(
+    st.dictionaries(letters, st.integers(-9, -1).map(float) | st.floats(-9, -1, width=32), max_size=25),
+    st.lists(st.text("abc d", max_size=14), max_size=5),
+)
+@settings(max_examples=300, deadline=None)
+def test_any_merges_give_what_the_library_and_merging_give(pieces, texts):
+    """Scores may be shared, and those of a piece may come before those of its parts."""
+    model = merge_model({"a": -20.0, "b": -21.0, "▁": -22.0} | pieces)
+    transducer, library = Transducer(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    for before in transducer.halves:
+        for piece in transducer.halves:
+            assert transducer._apart(before, piece) == (transducer._merged(before + piece) == [before, piece])
+    for text in texts:
+        ids = transducer.encode(text)
+        assert ids.tolist() == library.encode(text)
+        whole = transducer._merged(transducer.normalise(text))
+        assert ids.tobytes() == b"".join(map(transducer.codes.__getitem__, whole))
+
+
 def test_models_beyond_the_method_are_refused():
     with pytest.raises(ValueError, match="unigram and BPE"):
         Transducer(field(1, field(1, b"<unk>") + field(3, 2)) + field(2, field(3, 4)))
