@@ -95,20 +95,20 @@ class Transducer:
         # All pieces in one automaton: it follows every path of the vocabulary through a word at once. With merges,
         # a character alone is what is left where no longer piece fits, and needs no arc.
         self.automaton = ahocorasick.Automaton()
-        self.halves: dict[str, tuple[str, str]] = {}  # what the last merge of a piece joins
+        self.halves: dict[str, int] = {}  # where the last merge of a piece joins two
         for piece in self.of_piece:
             if not self.merges or len(piece) > 1 and self._merged(piece, self.halves) == [piece]:
                 self.automaton.add_word(piece, piece)
         if len(self.automaton):
             self.automaton.make_automaton()
-        # Pieces that merge in the order of scores, which no other piece shares.
-        shared = Counter(self.scores[i] for i in self.of_piece.values())
-        self.own = {piece for piece, i in self.of_piece.items() if shared[self.scores[i]] == 1}
-        self.ordered: set[str] = set()
+        # Scores that pieces share, and pieces that do not merge in the order of scores of their own.
+        self.shared = {x for x, n in Counter(map(self._score, self.of_piece)).items() if n > 1}
+        self.loose: set[str] = set()
         for piece in sorted(self.halves, key=len):
-            parts = [x for x in self.halves[piece] if len(x) > 1]
-            if piece in self.own and all(x in self.ordered and self._score(piece) < self._score(x) for x in parts):
-                self.ordered.add(piece)
+            score, cut = self._score(piece), self.halves[piece]
+            parts = [x for x in (piece[:cut], piece[cut:]) if len(x) > 1]
+            if score in self.shared or any(x in self.loose or self._score(x) <= score for x in parts):
+                self.loose.add(piece)
         self.sides: tuple[dict[str, list], dict[str, list]] = {}, {}
         self.words = Recent(self._word, KEPT_WORDS, LONG_WORD)
         self.pairs: dict[str, dict[str, bool]] = {}
@@ -133,7 +133,7 @@ class Transducer:
         runs = [f"[{re.escape(''.join(sorted(x)))}]+" for x in different]
         return re.compile(f"{BLANK}*(?:{'|'.join([*runs, f'[^{BLANK}]'])})|{BLANK}+")
 
-    def _merged(self, text: str, halves: dict[str, tuple[str, str]] | None = None) -> list[str]:
+    def _merged(self, text: str, halves: dict[str, int] | None = None) -> list[str]:
         """What merging the best pair of neighbours, the left one of equal ones, over and over leaves."""
         parts = list(text)
         while True:
@@ -146,7 +146,7 @@ class Transducer:
                 return parts
             i = min(scored)[1]
             if halves is not None and len(parts) == 2:
-                halves[text] = (parts[0], parts[1])
+                halves[text] = len(parts[0])
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
     def _follows(self, before: str, piece: str) -> bool:
@@ -163,11 +163,13 @@ class Transducer:
         """The parts that stand at one end of a piece while it merges, with the scores they come and go at."""
         known = self.sides[side]
         if piece not in known:
-            known[piece], part, goes = [], piece, -math.inf
+            part, goes = piece, -math.inf
+            known[piece] = []
             while len(part) > 1:
                 comes = self._score(part)
                 known[piece].append((part, comes, goes))
-                part, goes = self.halves[part][side], comes
+                cut = self.halves[part]
+                part, goes = part[cut:] if side else part[:cut], comes
             known[piece].append((part, math.inf, goes))
         return known[piece]
 
@@ -177,15 +179,16 @@ class Transducer:
         Merges run from the highest score down, so a part at either end stands there between two scores, and a merge of
         two such parts happens if its turn is in the time of both; of equal merges the left one comes first.
         """
-        if any(len(x) > 1 and x not in self.ordered for x in (before, piece)):
+        if before in self.loose or piece in self.loose:
             return self._merged(before + piece) == [before, piece]
         starts = self._side(piece, 0)
         for end, end_comes, end_goes in self._side(before, 1):
             for start, start_comes, start_goes in starts:
                 if (joined := end + start) in self.of_piece:
-                    if joined not in self.own:
+                    score = self._score(joined)
+                    if score in self.shared:
                         return self._merged(before + piece) == [before, piece]
-                    turn = min(self._score(joined), end_comes, start_comes)
+                    turn = min(score, end_comes, start_comes)
                     if turn > end_goes and turn >= start_goes:
                         return False
         return True
